@@ -436,7 +436,7 @@ def cnd_03(spark, sf_dir):
         SELECT carrier,
                sum(total_flights_state) AS total_flights,
                sum(total_delayed_state) AS total_delayed,
-               {sql_exact_ratio('total_delayed', 'total_flights', factor=100)} AS delay_rate_pct
+               {sql_exact_ratio('total_delayed', 'total_flights', factor=100, dialect='spark')} AS delay_rate_pct
         FROM carrier_state_v
         GROUP BY carrier
         HAVING total_flights > 0

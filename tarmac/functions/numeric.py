@@ -40,11 +40,13 @@ def exact_ratio(num: str | Column, den: str | Column, num_scale: int = 0, factor
     return (q / F.lit(float(10**digits))).cast("double")
 
 
-def sql_exact_ratio(num: str, den: str, num_scale: int = 0, factor: int = 1, digits: int = 2) -> str:
-    """The same rounding rule as SQL text (used by the DuckDB oracle)."""
+def sql_exact_ratio(num: str, den: str, num_scale: int = 0, factor: int = 1, digits: int = 2,
+                    dialect: str = "duckdb") -> str:
+    """The same rounding rule as SQL text (DuckDB oracle or Spark SQL)."""
+    div = {"duckdb": "//", "spark": "div"}[dialect]
     a = f"(CAST(({num}) * {10**num_scale} AS BIGINT) * {factor * 10**digits})"
     b = f"(CAST(NULLIF({den}, 0) AS BIGINT) * {10**num_scale})"
     return (
-        f"CAST(CASE WHEN {a} >= 0 THEN (2 * {a} + {b}) // (2 * {b}) "
-        f"ELSE -((-2 * {a} + {b}) // (2 * {b})) END / {float(10**digits)} AS DOUBLE)"
+        f"CAST(CASE WHEN {a} >= 0 THEN (2 * {a} + {b}) {div} (2 * {b}) "
+        f"ELSE -((-2 * {a} + {b}) {div} (2 * {b})) END / {float(10**digits)} AS DOUBLE)"
     )

@@ -20,10 +20,20 @@ def read_raw_csv(spark: SparkSession, path: str, schema=BRONZE_CSV, mode: str =
         .option("header", True)
         .option("mode", mode)
         .option("enforceSchema", False)  # header names must match the schema
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Write the 21 source columns as header CSV (the raw file format)."""
-    df.select(*CSV_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
+    (
+        df.select(*CSV_COLUMNS)
+        .write.mode("overwrite")
+        .option("header", True)
+        # keep codes byte for byte: the writer trims by default
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
