@@ -3,9 +3,12 @@
 Staging feeds four consumers (three dimensions and the fact). Each
 consumer prunes different columns, so Spark cannot reuse one exchange
 for all of them and would recompute bronze and the dedupe four times.
-``materialise`` cuts the lineage once: a reliable ``checkpoint()`` into
-the cluster's checkpoint folder (survives executor loss, unlike a local
-checkpoint or an in-memory cache), or a written table in a pipeline run.
+``materialise`` cuts the lineage once by writing a parquet table into the
+cluster's shared checkpoint folder and reading it back: it survives
+executor loss (unlike a local checkpoint or an in-memory cache), it is
+computed once (an eager ``checkpoint()`` of an unpersisted frame runs the
+plan a second time to write it), and the re-read carries file statistics
+for the planner.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import DataFrame
 from tarmac.plans.dims import dim_airport, dim_carrier, dim_date
 from tarmac.plans.fact import fact_flight_delays
 from tarmac.plans.staging import stage
-from tarmac.session import checkpoint_root
+from tarmac.session import work_dir
 
 
 @dataclass
@@ -29,10 +32,11 @@ class Layers:
     fact: DataFrame
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Eager reliable checkpoint into the shared checkpoint folder."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder; read it back."""
+    path = work_dir(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def build_layers(bronze: DataFrame, target: DataFrame | None = None, normalise_first: bool = True,

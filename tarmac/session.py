@@ -1,9 +1,10 @@
 """Session settings and the shared work folder.
 
-The engine needs four things from a session: UTC wall clock (all
+The engine needs five things from a session: UTC wall clock (all
 timestamps are UTC), ANSI mode (overflowing decimal casts raise instead
 of turning into NULL), AQE (runtime coalescing, skew-join splitting and
-broadcast conversion) and dynamic partition overwrite (slice replace).
+broadcast conversion), broadcast decided on measured sizes only, and
+dynamic partition overwrite (slice replace).
 ``configure`` applies them to any session, ``local_session`` builds one
 for tests and benchmarks.
 """
@@ -22,6 +23,14 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Join strategy: no broadcast from static estimates (file sizes of
+    # compressed columns, products of input sizes for join outputs - both
+    # can make the largest table look small); AQE broadcasts a side only
+    # after its shuffle output was measured below the limit, otherwise the
+    # join stays a shuffle join. Explicit hints only behind a row count
+    # (operators.broadcast.bounded_broadcast).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 
