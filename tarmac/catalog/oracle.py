@@ -391,6 +391,14 @@ def _consistency(check: str, comps: list[str], total: str) -> str:
     return check_row(check, "silver", "WARN", n, "'Components reconcile with the total.'", msg)
 
 
+def _null_keys_check(layer: str, src: str, cols: list[str]) -> str:
+    ns = [f"(SELECT count(*) FROM {src} WHERE {c} IS NULL)" for c in cols]
+    msgs = ", ".join(f"CASE WHEN {n} > 0 THEN 'Column ''{c}'' contains ' || CAST({n} AS VARCHAR) || "
+                     f"' null value(s).' END" for c, n in zip(cols, ns))
+    return check_row("no_null_key_columns", layer, "ERROR", "(" + " + ".join(ns) + ")",
+                     "'All key columns are non-null.'", f"concat_ws('; ', {msgs})")
+
+
 def _run_core() -> str:
     """The daily run: first load stamped once, staged, dims, fact; gold = year 1998."""
     stamped_cols = ", ".join(CSV_COLUMNS) + f", {RUN_STAMP} AS _ingested_at"
@@ -409,18 +417,11 @@ def _all_checks_run() -> str:
     """Checks of the daily run (bronze, silver, gold, declarative)."""
     bronze = "run_bronze"
     rows = [
-        check_row("no_null_key_columns", "bronze", "ERROR",
-                  f"(SELECT count(*) FILTER (WHERE year IS NULL) + count(*) FILTER (WHERE month IS NULL) + "
-                  f"count(*) FILTER (WHERE carrier IS NULL) + count(*) FILTER (WHERE airport IS NULL) FROM {bronze})",
-                  "'All key columns are non-null.'", "'nulls'"),
+        _null_keys_check("bronze", bronze, ["year", "month", "carrier", "airport"]),
         _min_rows("minimum_row_count", "bronze", bronze, "Row count is {n}."),
         _freshness(bronze, "bronze"),
         _silver_unique(),
-        check_row("no_null_key_columns", "silver", "ERROR",
-                  "(SELECT count(*) FILTER (WHERE year IS NULL) + count(*) FILTER (WHERE month IS NULL) + "
-                  "count(*) FILTER (WHERE carrier IS NULL) + count(*) FILTER (WHERE airport IS NULL) + "
-                  "count(*) FILTER (WHERE airline_delay_id IS NULL) FROM staging)",
-                  "'All key columns are non-null.'", "'nulls'"),
+        _null_keys_check("silver", "staging", ["year", "month", "carrier", "airport", "airline_delay_id"]),
         _range_check("month_range", "silver", "ERROR", "month", 1, 12, "staging", "All month values are in range [1, 12]."),
         _non_negative(),
         _min_rows("fact_row_count", "gold", "gold_fact", "fact_flight_delays has {n} rows.",

@@ -151,12 +151,19 @@ def upsert(batch: DataFrame, store: Store, table: str, key: str = "airline_delay
     staged to a new table, then swapped in with a dynamic overwrite. A key
     cannot move between partitions because the partition column is part of
     the key. NULL keys never match, so existing NULL-key rows stay.
+    ``batch`` should be materialised: it is read for its years, its keys
+    and its rows. Returns the row count of the rewritten partitions.
     """
     spark = batch.sparkSession
     if not store.exists(table):
         batch.limit(0).write.format("parquet").partitionBy(partition_col).saveAsTable(store.name(table))
     cols = _insert_columns(batch, store, table)
-    existing = store.read(table).join(batch.select(partition_col).distinct(), partition_col, "left_semi")
+    # The touched partitions (a handful of years) become a static partition
+    # filter, so only those directories of the target are listed and read.
+    touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
+    if not touched:
+        return 0
+    existing = store.read(table).where(F.col(partition_col).isin(touched))
     kept = existing.join(batch.select(key).distinct(), key, "left_anti")
     merged = kept.select(*cols).unionByName(batch.select(*cols))
     stage_name = f"{table}__stage_{uuid.uuid4().hex[:8]}"
