@@ -541,7 +541,6 @@ def _daily(spark, sf_dir) -> sink.Store:
 
 def mod_12(spark, sf_dir):
     store = _daily(spark, sf_dir)
-    publish_dims(store)
     c = store.read("gold_dim_carrier").select(F.lit("carrier").alias("dim"), F.col("carrier_key").alias("key"),
                                                F.col("carrier").alias("code"), F.col("carrier_name").alias("name"))
     a = store.read("gold_dim_airport").select(F.lit("airport").alias("dim"), F.col("airport_key").alias("key"),

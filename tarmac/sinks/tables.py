@@ -196,3 +196,15 @@ def write_layout(df: DataFrame, store: Store, table: str, partition_col: str = "
         writer = writer.option("maxRecordsPerFile", chunk_size)
     writer.saveAsTable(store.name(table))
     return int(obs.get.get("rows", 0))
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", chunk_size: int = 10_000,
+               num_partitions: int | None = None, properties: dict[str, str] | None = None) -> None:
+    """Batched JDBC write: ``chunk_size`` rows per insert batch, at most
+    ``num_partitions`` concurrent connections. Not exercised here (no
+    database may run in this environment)."""
+    _check_chunk(chunk_size)
+    writer = df.write.mode(mode).option("batchsize", chunk_size)
+    if num_partitions:
+        writer = writer.option("numPartitions", num_partitions)
+    writer.jdbc(url, table, properties=dict(properties or {}))

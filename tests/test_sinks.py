@@ -66,3 +66,12 @@ def test_write_layout_partitions_by_year_and_prunes(spark, store):
     plan = plan_text(read)
     assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
     assert read.count() == 5
+
+
+def test_jdbc_argument_checks(spark):
+    from tarmac.sources.jdbc import read_jdbc
+
+    with pytest.raises(ValueError):
+        sink.write_jdbc(spark.range(1), "jdbc:none", "t", chunk_size=0)
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none", "t", partition_column="id", lower_bound=0, upper_bound=10, num_partitions=0)
