@@ -9,13 +9,13 @@ what cuts the lineage between stages.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.dates import parse_month_key, month_keys
-from tarmac.operators.broadcast import bounded_broadcast
 from tarmac.operators.quality import union_all
 from tarmac.plans import checks
 from tarmac.plans.dims import dim_airport, dim_carrier, dim_date
@@ -53,27 +53,48 @@ def load_silver(store: sink.Store, normalise_first: bool = True) -> int:
     return sink.upsert(batch, store, "staging")
 
 
+def in_parallel(*actions, max_workers: int = 4) -> list:
+    """Run independent Spark actions from a few driver threads (Spark
+    schedules jobs of different threads concurrently); results in order."""
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        return [f.result() for f in [pool.submit(a) for a in actions]]
+
+
+def _broadcast_if(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a dimension whose written row count is known to be small."""
+    return F.broadcast(df) if rows <= DIM_BROADCAST_ROWS else df
+
+
 def build_marts(store: sink.Store, chunk_size: int = 10_000) -> None:
     """Rebuild dims, fact and the two marts from staging (table replace)."""
     staging = store.read("staging")
-    sink.full_reload(dim_carrier(staging), store, "dim_carrier", chunk_size)
-    sink.full_reload(dim_airport(staging), store, "dim_airport", chunk_size)
-    sink.full_reload(dim_date(staging), store, "dim_date", chunk_size)
-    carriers = bounded_broadcast(store.read("dim_carrier"), DIM_BROADCAST_ROWS)
-    airports = bounded_broadcast(store.read("dim_airport"), DIM_BROADCAST_ROWS)
-    dates = bounded_broadcast(store.read("dim_date"), DIM_BROADCAST_ROWS)
+    n_carrier, n_airport, n_date = in_parallel(
+        lambda: sink.full_reload(dim_carrier(staging), store, "dim_carrier", chunk_size),
+        lambda: sink.full_reload(dim_airport(staging), store, "dim_airport", chunk_size),
+        lambda: sink.full_reload(dim_date(staging), store, "dim_date", chunk_size),
+    )
+    # the observed row counts of the dimension writes are the size check
+    carriers = _broadcast_if(store.read("dim_carrier"), n_carrier)
+    airports = _broadcast_if(store.read("dim_airport"), n_airport)
+    dates = _broadcast_if(store.read("dim_date"), n_date)
     fact = fact_flight_delays(staging, carriers, airports, dates)
     sink.write_layout(fact, store, "fact_flight_delays", chunk_size=chunk_size)
     fact = store.read("fact_flight_delays")
-    sink.full_reload(carrier_delay_performance(fact), store, "carrier_delay_performance", chunk_size)
-    sink.full_reload(monthly_delay_trends(fact, ordered=False), store, "monthly_delay_trends", chunk_size)
+    in_parallel(
+        lambda: sink.full_reload(carrier_delay_performance(fact), store, "carrier_delay_performance", chunk_size),
+        lambda: sink.full_reload(monthly_delay_trends(fact, ordered=False), store, "monthly_delay_trends",
+                                 chunk_size),
+    )
 
 
 def publish_dims(store: sink.Store, chunk_size: int = 10_000) -> None:
     """Gold dims: full reload from the marts, stamped with ``_updated_at``."""
     now = F.current_timestamp()
-    for name in ("dim_carrier", "dim_airport", "dim_date"):
-        sink.full_reload(store.read(name).withColumn("_updated_at", now), store, f"gold_{name}", chunk_size)
+    in_parallel(*[
+        (lambda name=name: sink.full_reload(store.read(name).withColumn("_updated_at", now), store, f"gold_{name}",
+                                            chunk_size))
+        for name in ("dim_carrier", "dim_airport", "dim_date")
+    ])
 
 
 def publish_fact_years(store: sink.Store, years: list[int], chunk_size: int = 10_000) -> int:
@@ -83,12 +104,17 @@ def publish_fact_years(store: sink.Store, years: list[int], chunk_size: int = 10
     replaces both and never double-counts a year.
     """
     source = store.read("fact_flight_delays").where(F.col("year").isin(years)).select(*FACT_COLUMNS)
-    if len(years) == 1:
-        rows = sink.replace_slice(source, store, "gold_fact_flight_delays", years[0], chunk_size=chunk_size)
-    else:
-        rows = sink.replace_slices(source, store, "gold_fact_flight_delays", years, chunk_size=chunk_size)
-    sink.replace_slices(carrier_state(source), store, "gold_carrier_state", years, chunk_size=chunk_size)
-    sink.replace_slices(monthly_state(source), store, "gold_monthly_state", years, chunk_size=chunk_size)
+
+    def fact_slices() -> int:
+        if len(years) == 1:
+            return sink.replace_slice(source, store, "gold_fact_flight_delays", years[0], chunk_size=chunk_size)
+        return sink.replace_slices(source, store, "gold_fact_flight_delays", years, chunk_size=chunk_size)
+
+    rows, _, _ = in_parallel(
+        fact_slices,
+        lambda: sink.replace_slices(carrier_state(source), store, "gold_carrier_state", years, chunk_size=chunk_size),
+        lambda: sink.replace_slices(monthly_state(source), store, "gold_monthly_state", years, chunk_size=chunk_size),
+    )
     return rows
 
 

@@ -58,6 +58,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
+def cluster_settings(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of parquet.
+
+    Scan splits of ``partition_bytes`` (compressed); shuffles start with
+    enough partitions that each holds about one split's worth and at
+    least two waves of tasks, and AQE coalesces small ones back to the
+    same advisory size, so partitions fit executor memory at any scale
+    and tiny stages do not pay for thousands of empty tasks.
+    """
+    initial = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 

@@ -9,8 +9,9 @@ Rerun safety:
 
 * ``append`` adds a batch again on a rerun (bag semantics of a raw layer);
 * ``full_reload`` replaces the whole table (empty input -> empty table);
-* ``replace_slice`` / ``replace_slices`` replace whole ``year`` partitions,
-  including the case where the new slice is empty;
+* ``replace_slice`` / ``replace_slices`` replace whole ``year`` partitions
+  (dynamic partition overwrite, then ``DROP PARTITION`` for a slice that
+  came out empty, so an emptied year does not keep its old rows);
 * ``upsert`` replaces rows by key inside the touched partitions only.
 """
 
@@ -91,28 +92,9 @@ def _insert_columns(df: DataFrame, store: Store, table: str) -> list[str]:
 
 def replace_slice(df: DataFrame, store: Store, table: str, year: int, partition_col: str = "year",
                   chunk_size: int | None = 10_000) -> int:
-    """Replace partition ``year`` with the rows of ``df`` for that year.
-
-    A static-partition INSERT OVERWRITE clears the partition even when the
-    new slice is empty, so rows of a vanished slice never linger.
-    """
-    _check_chunk(chunk_size)
-    _ensure_partitioned(df, store, table, partition_col)
-    cols = [c for c in _insert_columns(df, store, table) if c != partition_col]
-    slice_df, obs = _observed(df.where(F.col(partition_col) == year).select(*cols), "slice")
-    view = f"__slice_{uuid.uuid4().hex[:10]}"
-    slice_df.createOrReplaceTempView(view)
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.files.maxRecordsPerFile")
-    if chunk_size:
-        spark.conf.set("spark.sql.files.maxRecordsPerFile", str(chunk_size))
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {store.name(table)} PARTITION ({partition_col} = {int(year)}) "
-                  f"SELECT * FROM {view}")
-    finally:
-        spark.conf.set("spark.sql.files.maxRecordsPerFile", previous)
-    spark.catalog.dropTempView(view)
-    return int(obs.get.get("rows", 0))
+    """Replace partition ``year`` with the rows of ``df`` for that year;
+    an empty slice leaves the partition empty (it is dropped)."""
+    return replace_slices(df, store, table, [year], partition_col, chunk_size)
 
 
 def replace_slices(df: DataFrame, store: Store, table: str, years: Iterable[int], partition_col: str = "year",
@@ -130,8 +112,7 @@ def replace_slices(df: DataFrame, store: Store, table: str, years: Iterable[int]
     scoped = df.where(F.col(partition_col).isin(years)).select(*cols)
     observed, obs = _observed(scoped, "slices", F.collect_set(partition_col).alias("years"))
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    writer = observed.write.mode("overwrite")
+    writer = observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if chunk_size:
         writer = writer.option("maxRecordsPerFile", chunk_size)
     writer.insertInto(store.name(table))
@@ -168,9 +149,8 @@ def upsert(batch: DataFrame, store: Store, table: str, key: str = "airline_delay
     merged = kept.select(*cols).unionByName(batch.select(*cols))
     stage_name = f"{table}__stage_{uuid.uuid4().hex[:8]}"
     merged.write.format("parquet").partitionBy(partition_col).saveAsTable(store.name(stage_name))
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     observed, obs = _observed(store.read(stage_name).select(*cols), "upsert")
-    observed.write.mode("overwrite").insertInto(store.name(table))
+    observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(store.name(table))
     spark.sql(f"DROP TABLE IF EXISTS {store.name(stage_name)}")
     return int(obs.get.get("rows", 0))
 

@@ -75,3 +75,15 @@ def test_jdbc_argument_checks(spark):
         sink.write_jdbc(spark.range(1), "jdbc:none", "t", chunk_size=0)
     with pytest.raises(ValueError):
         read_jdbc(spark, "jdbc:none", "t", partition_column="id", lower_bound=0, upper_bound=10, num_partitions=0)
+
+
+def test_bloom_filter_layout_point_lookup(spark, store):
+    df = spark.createDataFrame([(2024, f"K{i}", "A", 202401, f"C{i % 7}", "JFK") for i in range(50)],
+                               "year int, carrier_key string, airport_key string, date_key int, carrier string, "
+                               "airport string")
+    sink.write_layout(df, store, "fact_bloom", bloom_cols=("carrier",))
+    hit = store.read("fact_bloom").where(F.col("carrier") == "C3")
+    from conftest import plan_text
+
+    assert "PushedFilters: [IsNotNull(carrier), EqualTo(carrier,C3)]" in plan_text(hit)
+    assert hit.count() == len([i for i in range(50) if i % 7 == 3])
