@@ -1,4 +1,4 @@
-"""Reference SQL (DuckDB dialect) for the registered queries.
+"""Oracle SQL (DuckDB dialect) for the registered queries.
 
 Written independently of the Spark code from the model definitions, over
 the driver's pre-registered views. Column names and presented types match
