@@ -16,7 +16,8 @@ Plan shape, chosen for very large ``lineitem``/``orders``:
   month collapses inside each task before the shuffle; only the aggregate
   rows (months x nations^2) are shuffled for the final merge;
 * nation names are attached after the aggregation, to at most
-  months x 625 rows;
+  months x 625 rows, by broadcasting the nation table once its row count
+  is checked;
 * join strategies are left to the planner: small sides are broadcast only
   when their measured size is under the broadcast threshold (statically
   from file statistics or at runtime by AQE); large sides shuffle, and AQE
@@ -28,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.operators.broadcast import bounded_broadcast
 from tarmac.schemas import BRONZE, BRONZE_DECIMAL, CSV_COLUMNS
 from tarmac.sources.tables import read_table
 
@@ -43,6 +45,7 @@ CAUSE_LINES = {
     "late_aircraft": (7,),
 }
 RELOAD_YEAR = 1998
+NATION_BROADCAST_ROWS = 10_000
 RELOAD_SHIFT_DAYS = 4000
 
 
@@ -105,7 +108,8 @@ def line_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First load: one bronze record per grain row, bronze contract types."""
     grain = line_grain(spark, sf_dir)
-    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
+    # Nation is a fixed lookup; broadcast it behind a row-count check.
+    nation = bounded_broadcast(read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"]), NATION_BROADCAST_ROWS)
     supp_n = nation.select(F.col("n_nationkey").alias("supp_nation"), F.col("n_name").alias("supp_name"))
     cust_n = nation.select(F.col("n_nationkey").alias("cust_nation"), F.col("n_name").alias("cust_name"))
     named = grain.join(supp_n, "supp_nation").join(cust_n, "cust_nation")
