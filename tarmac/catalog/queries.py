@@ -17,18 +17,19 @@ from pyspark.sql import types as T
 
 from tarmac.functions.dates import month_key_of, month_name, month_start, quarter_of
 from tarmac.functions.keys import code_key
-from tarmac.functions.numeric import exact_ratio
+from tarmac.functions.numeric import exact_ratio, sql_exact_ratio
 from tarmac.operators import quality as Q
 from tarmac.operators.dedupe import collapse_latest, latest_per_key
 from tarmac.operators.partial_state import merge_states
 from tarmac.plans import checks
+from tarmac.plans.dims import dim_date
 from tarmac.plans.layers import Layers, build_layers, materialise
 from tarmac.plans.marts import carrier_delay_performance, monthly_delay_trends, row_distribution
 from tarmac.plans.rollup import carrier_state, monthly_state
 from tarmac.plans.runs import backfill, run_daily
 from tarmac.plans.serving import headline, monthly_trend, top_carriers
 from tarmac.plans.staging import new_rows, stage
-from tarmac.schemas import CSV_COLUMNS, DELAY_COLUMNS, FACT_COLUMNS, KEY_COLUMNS, MEASURE_COLUMNS
+from tarmac.schemas import CSV_COLUMNS, DELAY_COLUMNS, FACT_COLUMNS, KEY_COLUMNS, MEASURE_COLUMNS, STAGING_COLUMNS
 from tarmac.sinks import tables as sink
 from tarmac.sources.star_adapter import bronze_batch, bronze_from_star, reload_batch
 from tarmac.sources.tables import read_table
@@ -177,8 +178,6 @@ def _orphan_checks(spark, sf_dir, dim_date_override: bool = False) -> DataFrame:
     if dim_date_override:
         # Date dimension as published before the later periods were loaded.
         published = lay.staging.where(F.col("_ingested_at") < F.lit(DIM_DATE_PUBLISHED_BEFORE).cast("timestamp"))
-        from tarmac.plans.dims import dim_date
-
         dates = dim_date(published)
     return checks.gold_checks(lay.fact, lay.dim_carrier, lay.dim_airport, dates)
 
@@ -362,13 +361,7 @@ def snk_09(spark, sf_dir):
     sink.upsert(materialise(stage(first)), store, "staging")
     both = bronze_from_star(spark, sf_dir)
     sink.upsert(materialise(stage(both, store.read("staging"))), store, "staging")
-    return present(store.read("staging").select(*layers_columns()))
-
-
-def layers_columns() -> list[str]:
-    from tarmac.schemas import STAGING_COLUMNS
-
-    return STAGING_COLUMNS
+    return present(store.read("staging").select(*STAGING_COLUMNS))
 
 
 def snk_15(spark, sf_dir):
@@ -428,8 +421,6 @@ def cnd_03(spark, sf_dir):
     """Lateral alias reuse with GROUP BY and HAVING, in Spark SQL."""
     state = carrier_state(layers(spark, sf_dir).fact)
     state.createOrReplaceTempView("carrier_state_v")
-    from tarmac.functions.numeric import sql_exact_ratio
-
     return spark.sql(f"""
         SELECT carrier,
                sum(total_flights_state) AS total_flights,

@@ -81,17 +81,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from the running context first, then from ``spark.checkpoint.dir``.
-    Only when neither is set (local tests) a private temporary folder is
-    created and registered, so that ``DataFrame.checkpoint`` works too.
+    Only a local-mode session (tests, benchmarks) may fall back to a private
+    temporary folder; on a cluster a machine-local folder would not be
+    visible to other executors, so an unset directory is an error there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a context handle: conf only
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
+        return conf_dir.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+    conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage (e.g. hdfs:// or s3a://)")
     local_dir = tempfile.mkdtemp(prefix="tarmac-ckpt-")
     sc.setCheckpointDir(local_dir)
     return local_dir

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.plans.layers import materialise
 from tarmac.plans.staging import check_schema, stage
-from tarmac.schemas import BRONZE
+from tarmac.schemas import BRONZE, STAGING_COLUMNS
 from tarmac.session import work_dir
 from tarmac.sinks import tables as sink
 from tarmac.sources.star_adapter import bronze_batch, reload_batch
@@ -50,10 +50,4 @@ def stream_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     start_staging_stream(spark, bronze_dir, store, checkpoint).awaitTermination()
     reload_batch(spark.read.schema(BRONZE).parquet(bronze_dir)).write.mode("append").parquet(bronze_dir)
     start_staging_stream(spark, bronze_dir, store, checkpoint).awaitTermination()
-    return store.read("staging").select(*[f.name for f in _staging_fields()])
-
-
-def _staging_fields():
-    from tarmac.schemas import STAGING
-
-    return STAGING.fields
+    return store.read("staging").select(*STAGING_COLUMNS)
