@@ -49,8 +49,18 @@ NATION_BROADCAST_ROWS = 10_000
 RELOAD_SHIFT_DAYS = 4000
 
 
-def _dec(c: Column) -> Column:
-    return c.cast("decimal(10,2)")
+def _cents(c: Column) -> Column:
+    """Exact hundredths as a long: the value rounded to decimal(10,2), unscaled.
+
+    Sums of longs stay in primitive aggregation buffers; a sum over
+    decimal(10,2) has type decimal(20,2), above the 18 digits Spark keeps in
+    a long, and would add up arbitrary-precision objects row by row.
+    """
+    return (c.cast("decimal(10,2)") * 100).cast("long")
+
+
+def _from_cents(c: Column) -> Column:
+    return (c.cast("decimal(20,0)") / 100).cast(BRONZE_DECIMAL)
 
 
 def line_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +87,8 @@ def line_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("s_nationkey").alias("supp_nation"),
             "cust_nation",
             "l_linenumber",
-            "l_quantity",
-            "l_discount",
+            _cents(F.col("l_quantity")).alias("qty_cents"),
+            _cents(F.col("l_discount")).alias("disc_cents"),
             "l_returnflag",
             "l_linestatus",
             F.col("l_shipdate").cast("timestamp").alias("shipped_at"),
@@ -95,14 +105,18 @@ def line_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if((F.col("l_returnflag") == DIVERTED[0]) & (F.col("l_linestatus") == DIVERTED[1])).alias(
             "arr_diverted"
         ),
-        F.sum(F.when(delayed, _dec(F.col("l_quantity")))).alias("arr_delay"),
+        F.sum(F.when(delayed, F.col("qty_cents"))).alias("arr_delay"),
     ]
+    cents = ["arr_delay"]
     for cause, line_numbers in CAUSE_LINES.items():
         hit = delayed & F.col("l_linenumber").isin(*line_numbers)
-        measures.append(F.sum(F.when(hit, _dec(F.col("l_discount")))).alias(f"{cause}_ct"))
-        measures.append(F.sum(F.when(hit, _dec(F.col("l_quantity")))).alias(f"{cause}_delay"))
+        measures.append(F.sum(F.when(hit, F.col("disc_cents"))).alias(f"{cause}_ct"))
+        measures.append(F.sum(F.when(hit, F.col("qty_cents"))).alias(f"{cause}_delay"))
+        cents += [f"{cause}_ct", f"{cause}_delay"]
     measures.append(F.max("shipped_at").alias("_ingested_at"))
-    return lines.groupBy("year", "month", "supp_nation", "cust_nation").agg(*measures)
+    grain = lines.groupBy("year", "month", "supp_nation", "cust_nation").agg(*measures)
+    # back to exact decimals once per group (empty filtered sums stay NULL)
+    return grain.select(*[_from_cents(F.col(c)).alias(c) if c in cents else F.col(c) for c in grain.columns])
 
 
 def bronze_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
