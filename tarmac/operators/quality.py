@@ -37,7 +37,7 @@ MSG_STALE = "Latest ingestion is {hours} hour(s) old, exceeding the {max}-hour f
 _ids = itertools.count()
 
 
-def _text(template: str, **parts: Column | str) -> Column:
+def message(template: str, **parts: Column | str) -> Column:
     """Fill ``{name}`` slots of a fixed message with columns or literals."""
     out: list[Column] = []
     rest = template
@@ -64,7 +64,7 @@ class Rule:
     success: Column
 
 
-def _metric(agg: Column) -> tuple[Column, Column]:
+def metric(agg: Column) -> tuple[Column, Column]:
     name = f"__m{next(_ids)}"
     return agg.alias(name), F.col(name)
 
@@ -72,8 +72,8 @@ def _metric(agg: Column) -> tuple[Column, Column]:
 def no_nulls(columns: Sequence[str], check: str, layer: str, severity: str = "ERROR",
              success: str = "All key columns are non-null.") -> Rule:
     """One failure message per column that holds NULLs, joined with ``; ``."""
-    metrics, counts = zip(*[_metric(F.count_if(F.col(c).isNull())) for c in columns])
-    msgs = [F.when(n > 0, _text(MSG_NULLS, col=c, n=n)) for c, n in zip(columns, counts)]
+    metrics, counts = zip(*[metric(F.count_if(F.col(c).isNull())) for c in columns])
+    msgs = [F.when(n > 0, message(MSG_NULLS, col=c, n=n)) for c, n in zip(columns, counts)]
     total = sum(counts[1:], counts[0])
     return Rule(check, layer, severity, list(metrics), total, F.concat_ws("; ", *msgs), F.lit(success))
 
@@ -84,10 +84,10 @@ def min_row_count(min_rows: int, check: str, layer: str, severity: str = "ERROR"
 
     ``success``/``failure`` are message templates with ``{n}`` (row count)
     and ``{min}`` slots."""
-    m, n = _metric(F.count(F.lit(1)))
+    m, n = metric(F.count(F.lit(1)))
     short = F.greatest(F.lit(min_rows) - n, F.lit(0))
     slots = lambda t: {k: v for k, v in (("n", n), ("min", str(min_rows))) if "{" + k + "}" in t}
-    return Rule(check, layer, severity, [m], short, _text(failure, **slots(failure)), _text(success, **slots(success)))
+    return Rule(check, layer, severity, [m], short, message(failure, **slots(failure)), message(success, **slots(success)))
 
 
 def value_range(column: str, min_val: int | float | None, max_val: int | float | None, check: str, layer: str,
@@ -95,11 +95,11 @@ def value_range(column: str, min_val: int | float | None, max_val: int | float |
     """Inclusive bounds; NULLs are ignored; separate below/above messages."""
     metrics, counts, msgs = [], [], []
     if min_val is not None:
-        m, n = _metric(F.count_if(F.col(column) < F.lit(min_val)))
-        metrics.append(m), counts.append(n), msgs.append(F.when(n > 0, _text(MSG_BELOW, col=column, n=n, min=min_val)))
+        m, n = metric(F.count_if(F.col(column) < F.lit(min_val)))
+        metrics.append(m), counts.append(n), msgs.append(F.when(n > 0, message(MSG_BELOW, col=column, n=n, min=min_val)))
     if max_val is not None:
-        m, n = _metric(F.count_if(F.col(column) > F.lit(max_val)))
-        metrics.append(m), counts.append(n), msgs.append(F.when(n > 0, _text(MSG_ABOVE, col=column, n=n, max=max_val)))
+        m, n = metric(F.count_if(F.col(column) > F.lit(max_val)))
+        metrics.append(m), counts.append(n), msgs.append(F.when(n > 0, message(MSG_ABOVE, col=column, n=n, max=max_val)))
     total = sum(counts[1:], counts[0])
     return Rule(check, layer, severity, metrics, total, F.concat_ws("; ", *msgs), F.lit(success))
 
@@ -117,27 +117,27 @@ def consistency(components: Sequence[str], total: str, tolerance: float, check:
     """Rows where |sum(components) - total| > tolerance, NULL counted as 0."""
     comp = sum([F.coalesce(F.col(c), F.lit(0)) for c in components[1:]], F.coalesce(F.col(components[0]), F.lit(0)))
     diff = F.abs(comp - F.coalesce(F.col(total), F.lit(0)))
-    m, n = _metric(F.count_if(diff > F.lit(tolerance)))
-    msg = _text(MSG_CONSISTENCY, n=n, cols=" + ".join(components), total=total, tol=tolerance)
+    m, n = metric(F.count_if(diff > F.lit(tolerance)))
+    msg = message(MSG_CONSISTENCY, n=n, cols=" + ".join(components), total=total, tol=tolerance)
     return Rule(check, layer, severity, [m], n, msg, F.lit(success))
 
 
 def freshness(ts_col: str, now: Column, max_age_hours: int, check: str, layer: str, severity: str = "WARN",
               success: str = "Bronze data is fresh.") -> Rule:
     """Newest stamp no older than ``max_age_hours`` (exactly the limit passes)."""
-    m, latest = _metric(F.max(ts_col))
+    m, latest = metric(F.max(ts_col))
     age_micros = F.unix_micros(now) - F.unix_micros(latest)
     stale = latest.isNull() | (age_micros > F.lit(max_age_hours * 3_600_000_000))
     tenths = age_tenths_half_up(now, latest)
     hours = F.concat(F.call_function("div", tenths, F.lit(10)).cast("string"), F.lit("."),
                      F.pmod(tenths, F.lit(10)).cast("string"))
-    msg = F.when(latest.isNull(), F.lit(MSG_NO_TIMESTAMPS)).otherwise(_text(MSG_STALE, hours=hours, max=max_age_hours))
+    msg = F.when(latest.isNull(), F.lit(MSG_NO_TIMESTAMPS)).otherwise(message(MSG_STALE, hours=hours, max=max_age_hours))
     return Rule(check, layer, severity, [m], F.when(stale, 1).otherwise(0), msg, F.lit(success))
 
 
 def count_rule(check: str, layer: str, severity: str, failure_prefix: str, failure_suffix: str, success: str) -> Rule:
     """Violations = number of rows of the (derived) frame, e.g. orphan rows."""
-    m, n = _metric(F.count(F.lit(1)))
+    m, n = metric(F.count(F.lit(1)))
     return Rule(check, layer, severity, [m], n, F.concat(F.lit(failure_prefix), n.cast("string"), F.lit(failure_suffix)),
                 F.lit(success))
 
@@ -150,8 +150,8 @@ def duplicates_frame(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def duplicates_rule(keys: Sequence[str], check: str, layer: str, severity: str = "ERROR",
                     success: str = "Surrogate key is unique.") -> Rule:
     """Excess rows (total - distinct) over a ``duplicates_frame``."""
-    m, excess = _metric(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)))
-    msg = _text(MSG_DUPLICATES, n=excess, cols=", ".join(keys))
+    m, excess = metric(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)))
+    msg = message(MSG_DUPLICATES, n=excess, cols=", ".join(keys))
     return Rule(check, layer, severity, [m], excess, msg, F.lit(success))
 
 

@@ -18,14 +18,53 @@ from tarmac.schemas import DELAY_COLUMNS, KEY_COLUMNS
 SILVER_KEYS = KEY_COLUMNS + ["airline_delay_id"]
 FRESHNESS_HOURS = 25
 
+# Check names, severities and the messages they report, kept
+# word for word. name: (severity, message when passed, message when failed);
+# a failed message of None means the validator's own message is used.
+CHECKS = {
+    "no_null_key_columns": ("ERROR", "All key columns are non-null.", None),
+    "minimum_row_count": ("ERROR", "Row count is {n}.", None),
+    "data_freshness": ("WARN", "Bronze data is fresh.", None),
+    "unique_surrogate_key": ("ERROR", "Surrogate key is unique.", None),
+    "month_range": ("ERROR", "All month values are in range [1, 12].", None),
+    "non_negative_delays": ("WARN", "All delay columns are non-negative.", None),
+    "fact_row_count": ("ERROR", "fact_flight_delays has {n} rows.", "fact_flight_delays is empty."),
+    "no_null_carrier_columns": ("ERROR", "All carrier columns are populated.",
+                                "{n} rows have empty carrier_key, carrier, or carrier_name."),
+    "no_null_airport_columns": ("ERROR", "All airport columns are populated.",
+                                "{n} rows have empty airport_key, airport, or airport_name."),
+    "no_orphaned_carrier_keys": ("ERROR", "All carrier_key values resolve to dim_carrier.",
+                                 "{n} fact rows have orphaned carrier_key values."),
+    "no_orphaned_airport_keys": ("ERROR", "All airport_key values resolve to dim_airport.",
+                                 "{n} fact rows have orphaned airport_key values."),
+    "no_orphaned_date_keys": ("ERROR", "All date_key values resolve to dim_date.",
+                              "{n} fact rows have orphaned date_key values."),
+}
+
+
+def _sev(name: str) -> str:
+    return CHECKS[name][0]
+
+
+def _ok(name: str) -> str:
+    return CHECKS[name][1]
+
+
+def _count_check(name: str, layer: str, condition: Column | None = None) -> Q.Rule:
+    """Violations = rows of the frame (matching ``condition``), fixed messages."""
+    m, n = Q.metric(F.count_if(condition) if condition is not None else F.count(F.lit(1)))
+    return Q.Rule(name, layer, _sev(name), [m], n, Q.message(CHECKS[name][2], n=n), F.lit(_ok(name)))
+
 
 def bronze_checks(bronze: DataFrame, now: Column) -> DataFrame:
     return Q.evaluate(
         bronze,
         [
-            Q.no_nulls(KEY_COLUMNS, "no_null_key_columns", "bronze"),
-            Q.min_row_count(1, "minimum_row_count", "bronze"),
-            Q.freshness("_ingested_at", now, FRESHNESS_HOURS, "data_freshness", "bronze"),
+            Q.no_nulls(KEY_COLUMNS, "no_null_key_columns", "bronze", _sev("no_null_key_columns"),
+                       _ok("no_null_key_columns")),
+            Q.min_row_count(1, "minimum_row_count", "bronze", _sev("minimum_row_count"), _ok("minimum_row_count")),
+            Q.freshness("_ingested_at", now, FRESHNESS_HOURS, "data_freshness", "bronze", _sev("data_freshness"),
+                        _ok("data_freshness")),
         ],
     )
 
@@ -35,65 +74,46 @@ def silver_checks(staging: DataFrame) -> DataFrame:
         [Q.value_range(c, 0, None, "non_negative_delays", "silver") for c in DELAY_COLUMNS],
         "non_negative_delays",
         "silver",
-        "WARN",
-        "All delay columns are non-negative.",
+        _sev("non_negative_delays"),
+        _ok("non_negative_delays"),
     )
     one_pass = Q.evaluate(
         staging,
         [
-            Q.no_nulls(SILVER_KEYS, "no_null_key_columns", "silver"),
-            Q.value_range("month", 1, 12, "month_range", "silver", success="All month values are in range [1, 12]."),
+            Q.no_nulls(SILVER_KEYS, "no_null_key_columns", "silver", _sev("no_null_key_columns"),
+                       _ok("no_null_key_columns")),
+            Q.value_range("month", 1, 12, "month_range", "silver", _sev("month_range"), _ok("month_range")),
             delays,
         ],
     )
     unique = Q.evaluate(
         Q.duplicates_frame(staging, ["airline_delay_id"]),
-        [Q.duplicates_rule(["airline_delay_id"], "unique_surrogate_key", "silver")],
+        [Q.duplicates_rule(["airline_delay_id"], "unique_surrogate_key", "silver", _sev("unique_surrogate_key"),
+                           _ok("unique_surrogate_key"))],
     )
     return unique.unionByName(one_pass)
 
 
-def _empty_text(columns: Sequence[str], check: str, what: str) -> Q.Rule:
+def _empty_text(columns: Sequence[str], name: str) -> Q.Rule:
+    """Rows where any of ``columns`` is NULL or the empty string."""
     empty = None
     for c in columns:
         cond = F.col(c).isNull() | (F.col(c) == "")
         empty = cond if empty is None else (empty | cond)
-    names = ", ".join(columns[:-1]) + ", or " + columns[-1]
-    m, n = Q._metric(F.count_if(empty))
-    return Q.Rule(check, "gold", "ERROR", [m], n,
-                  F.concat(n.cast("string"), F.lit(f" rows have empty {names}.")),
-                  F.lit(f"All {what} columns are populated."))
+    return _count_check(name, "gold", empty)
 
 
 def gold_checks(fact: DataFrame, carriers: DataFrame, airports: DataFrame, dates: DataFrame) -> DataFrame:
+    fact_rows = Q.min_row_count(1, "fact_row_count", "gold", _sev("fact_row_count"), _ok("fact_row_count"),
+                                CHECKS["fact_row_count"][2])
     frames = [
-        Q.evaluate(
-            fact,
-            [
-                Q.min_row_count(
-                    1, "fact_row_count", "gold",
-                    success="fact_flight_delays has {n} rows.",
-                    failure="fact_flight_delays is empty.",
-                )
-            ],
-        ),
-        Q.evaluate(carriers, [_empty_text(["carrier_key", "carrier", "carrier_name"], "no_null_carrier_columns", "carrier")]),
-        Q.evaluate(airports, [_empty_text(["airport_key", "airport", "airport_name"], "no_null_airport_columns", "airport")]),
+        Q.evaluate(fact, [fact_rows]),
+        Q.evaluate(carriers, [_empty_text(["carrier_key", "carrier", "carrier_name"], "no_null_carrier_columns")]),
+        Q.evaluate(airports, [_empty_text(["airport_key", "airport", "airport_name"], "no_null_airport_columns")]),
     ]
-    for key, dim, frame in (
-        ("carrier_key", "dim_carrier", carriers),
-        ("airport_key", "dim_airport", airports),
-        ("date_key", "dim_date", dates),
-    ):
-        code = key.replace("_key", "")
-        frames.append(
-            Q.evaluate(
-                Q.orphans_frame(fact, frame, key),
-                [Q.count_rule(f"no_orphaned_{code}_keys", "gold", "ERROR", "",
-                              f" fact rows have orphaned {key} values.",
-                              f"All {key} values resolve to {dim}.")],
-            )
-        )
+    for key, frame in (("carrier_key", carriers), ("airport_key", airports), ("date_key", dates)):
+        name = f"no_orphaned_{key.replace('_key', '')}_keys"
+        frames.append(Q.evaluate(Q.orphans_frame(fact, frame, key), [_count_check(name, "gold")]))
     return Q.union_all(frames)
 
 
@@ -143,7 +163,7 @@ def not_null_tests(models: Mapping[str, DataFrame], tests: Mapping[str, list[str
     for model, cols in tests.items():
         rules = []
         for c in cols:
-            m, n = Q._metric(F.count_if(F.col(c).isNull()))
+            m, n = Q.metric(F.count_if(F.col(c).isNull()))
             rules.append(Q.Rule(f"not_null_{model}_{c}", model, "ERROR", [m], n,
                                 F.concat(n.cast("string"), F.lit(" failing row(s).")), F.lit("Passed.")))
         frames.append(Q.evaluate(models[model], rules))
