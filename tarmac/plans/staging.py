@@ -22,9 +22,15 @@ from tarmac.schemas import (
 )
 
 
-def high_water_mark(target: DataFrame) -> Column:
-    """``(SELECT max(_ingested_at) FROM target)`` as a scalar subquery column."""
-    return target.agg(F.max("_ingested_at")).scalar()
+def high_water_mark(target: DataFrame):
+    """``max(_ingested_at)`` of the target, as one driver-side value (or None).
+
+    A literal (unlike a scalar subquery) is pushed into the parquet scan of
+    bronze, where the row-group min/max statistics skip every file of
+    earlier batches: bronze only grows, so this keeps an incremental run
+    proportional to the new data.
+    """
+    return target.agg(F.max("_ingested_at").alias("mark")).first()["mark"]
 
 
 def new_rows(bronze: DataFrame, target: DataFrame | None) -> DataFrame:
@@ -36,7 +42,9 @@ def new_rows(bronze: DataFrame, target: DataFrame | None) -> DataFrame:
     if target is None:
         return bronze
     mark = high_water_mark(target)
-    return bronze.where(mark.isNull() | (F.col("_ingested_at") > mark))
+    if mark is None:
+        return bronze
+    return bronze.where(F.col("_ingested_at") > F.lit(mark).cast("timestamp"))
 
 
 def dedupe_order() -> list[Column]:

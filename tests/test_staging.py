@@ -97,3 +97,17 @@ def test_overflowing_decimal_raises_under_ansi(spark):
                                  _ingested_at=T1)])
     with pytest.raises(Exception):
         stage(b).collect()
+
+
+def test_high_water_mark_reaches_the_parquet_scan(spark, store):
+    from conftest import plan_text
+    from tarmac.plans.staging import new_rows
+    from tarmac.sinks import tables as sink
+
+    b = bronze_rows(spark, [dict(year=2024, month=1, carrier="AA", airport="JFK", _ingested_at=T1)])
+    sink.append(b, store, "bronze")
+    sink.append(b.withColumn("_ingested_at", F.lit(T2).cast("timestamp")), store, "bronze")
+    target = stage(store.read("bronze").where(F.col("_ingested_at") == T1))
+    fresh = new_rows(store.read("bronze"), target)
+    assert "PushedFilters: [IsNotNull(_ingested_at), GreaterThan(_ingested_at," in plan_text(fresh)
+    assert fresh.count() == 1
