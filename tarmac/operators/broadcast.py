@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Default bound for dimension tables: ~20 MB of (key, code, name) rows.
+DIM_BROADCAST_ROWS = 200_000
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.

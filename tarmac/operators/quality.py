@@ -93,6 +93,8 @@ def min_row_count(min_rows: int, check: str, layer: str, severity: str = "ERROR"
 def value_range(column: str, min_val: int | float | None, max_val: int | float | None, check: str, layer: str,
                 severity: str = "ERROR", success: str = "") -> Rule:
     """Inclusive bounds; NULLs are ignored; separate below/above messages."""
+    if min_val is None and max_val is None:
+        raise ValueError("value_range needs min_val or max_val")
     metrics, counts, msgs = [], [], []
     if min_val is not None:
         m, n = metric(F.count_if(F.col(column) < F.lit(min_val)))

@@ -3,12 +3,11 @@
 The joins are inner equi-joins on the natural codes, so a staging row with
 a NULL code drops out and a code present in a dimension under two names
 fans out (one fact row per name). Dimensions are small by nature (codes,
-months); when they are produced in the same plan their size is unknown
-until run time, so the strategy is left to AQE: it turns the join into a
-broadcast hash join once the dimension's shuffle is measured below the
-threshold, and otherwise keeps the sort-merge join (splitting a skewed
-code's partition). Materialised dimensions pass through
-``operators.broadcast.bounded_broadcast`` instead, which counts first.
+months); callers pass them through ``operators.broadcast.bounded_broadcast``
+(a row count decides) or mark them after a write whose observed row
+count is known; unmarked, the join is a sort-merge join that AQE may
+still turn into a broadcast once it has measured the dimension, and
+whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations

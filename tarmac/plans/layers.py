@@ -13,10 +13,13 @@ for the planner.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
+from tarmac.operators.broadcast import DIM_BROADCAST_ROWS
 from tarmac.plans.dims import dim_airport, dim_carrier, dim_date
 from tarmac.plans.fact import fact_flight_delays
 from tarmac.plans.staging import stage
@@ -32,19 +35,54 @@ class Layers:
     fact: DataFrame
 
 
-def materialise(df: DataFrame, label: str = "cut") -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder; read it back."""
+def materialise(df: DataFrame, label: str = "cut", observe: dict[str, Column] | None = None):
+    """Write ``df`` as parquet under the shared checkpoint folder; read it back.
+
+    With ``observe`` ({name: aggregate}), the aggregates are computed by the
+    write itself (an ``Observation``, no extra scan) and returned with the
+    frame: ``(frame, {name: value})``.
+    """
     path = work_dir(df.sparkSession, label)
+    if observe:
+        obs = Observation(f"{label}_{uuid.uuid4().hex[:8]}")
+        df = df.observe(obs, *[agg.alias(name) for name, agg in observe.items()])
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    back = df.sparkSession.read.parquet(path)
+    return (back, obs.get) if observe else back
+
+
+def dim_sizes() -> dict[str, Column]:
+    """Size estimates of the three dimensions, taken while staging is written."""
+    return {
+        "carriers": F.approx_count_distinct(F.struct("carrier", "carrier_name")),
+        "airports": F.approx_count_distinct(F.struct("airport", "airport_name")),
+        "dates": F.approx_count_distinct(F.struct("year", "month")),
+    }
+
+
+def _maybe_broadcast(dim: DataFrame, estimate: int | None) -> DataFrame:
+    """Broadcast a dimension whose distinct-count estimate is well under the
+    bound (HyperLogLog, ~5% error; a 2x margin); otherwise shuffle-join."""
+    return F.broadcast(dim) if estimate is not None and 2 * estimate <= DIM_BROADCAST_ROWS else dim
 
 
 def build_layers(bronze: DataFrame, target: DataFrame | None = None, normalise_first: bool = True,
                  on_name_conflict: str = "distinct", cut: bool = True) -> Layers:
     staging = stage(bronze, target, normalise_first=normalise_first)
+    sizes: dict = {}
     if cut:
-        staging = materialise(staging)
+        staging, sizes = materialise(staging, "staging", dim_sizes())
     carriers = dim_carrier(staging, on_name_conflict)
     airports = dim_airport(staging, on_name_conflict)
     dates = dim_date(staging)
-    return Layers(staging, carriers, airports, dates, fact_flight_delays(staging, carriers, airports, dates))
+    # Dimensions are distinct codes / months. Their size was estimated by the
+    # staging write, so the fact join broadcasts them without another job and
+    # staging streams through the joins without being shuffled; without an
+    # estimate the planner decides (AQE broadcasts after measuring).
+    fact = fact_flight_delays(
+        staging,
+        _maybe_broadcast(carriers, sizes.get("carriers")),
+        _maybe_broadcast(airports, sizes.get("airports")),
+        _maybe_broadcast(dates, sizes.get("dates")),
+    )
+    return Layers(staging, carriers, airports, dates, fact)

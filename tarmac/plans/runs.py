@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.dates import parse_month_key, month_keys
+from tarmac.operators.broadcast import DIM_BROADCAST_ROWS
 from tarmac.operators.quality import union_all
 from tarmac.plans import checks
 from tarmac.plans.dims import dim_airport, dim_carrier, dim_date
@@ -27,7 +28,6 @@ from tarmac.plans.staging import check_schema, stage
 from tarmac.schemas import BRONZE, CSV_COLUMNS, FACT_COLUMNS
 from tarmac.sinks import tables as sink
 
-DIM_BROADCAST_ROWS = 200_000  # ~20 MB of (key, code, name) rows
 
 
 def stamp_batch(df: DataFrame, ingested_at: dt.datetime | Column | None = None) -> DataFrame:
