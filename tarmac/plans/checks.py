@@ -69,29 +69,28 @@ def bronze_checks(bronze: DataFrame, now: Column) -> DataFrame:
     )
 
 
-def silver_checks(staging: DataFrame) -> DataFrame:
-    delays = Q.combine(
-        [Q.value_range(c, 0, None, "non_negative_delays", "silver") for c in DELAY_COLUMNS],
-        "non_negative_delays",
-        "silver",
-        _sev("non_negative_delays"),
-        _ok("non_negative_delays"),
-    )
-    one_pass = Q.evaluate(
-        staging,
-        [
-            Q.no_nulls(SILVER_KEYS, "no_null_key_columns", "silver", _sev("no_null_key_columns"),
-                       _ok("no_null_key_columns")),
-            Q.value_range("month", 1, 12, "month_range", "silver", _sev("month_range"), _ok("month_range")),
-            delays,
-        ],
-    )
-    unique = Q.evaluate(
-        Q.duplicates_frame(staging, ["airline_delay_id"]),
-        [Q.duplicates_rule(["airline_delay_id"], "unique_surrogate_key", "silver", _sev("unique_surrogate_key"),
-                           _ok("unique_surrogate_key"))],
-    )
-    return unique.unionByName(one_pass)
+def silver_checks(staging: DataFrame, only: set[str] | None = None) -> DataFrame:
+    """Silver suite; ``only`` limits it to the named checks (nothing else runs)."""
+    want = lambda name: only is None or name in only
+    rules = []
+    if want("no_null_key_columns"):
+        rules.append(Q.no_nulls(SILVER_KEYS, "no_null_key_columns", "silver", _sev("no_null_key_columns"),
+                                _ok("no_null_key_columns")))
+    if want("month_range"):
+        rules.append(Q.value_range("month", 1, 12, "month_range", "silver", _sev("month_range"), _ok("month_range")))
+    if want("non_negative_delays"):
+        rules.append(Q.combine(
+            [Q.value_range(c, 0, None, "non_negative_delays", "silver") for c in DELAY_COLUMNS],
+            "non_negative_delays", "silver", _sev("non_negative_delays"), _ok("non_negative_delays"),
+        ))
+    frames = [Q.evaluate(staging, rules)] if rules else []
+    if want("unique_surrogate_key"):
+        frames.insert(0, Q.evaluate(
+            Q.duplicates_frame(staging, ["airline_delay_id"]),
+            [Q.duplicates_rule(["airline_delay_id"], "unique_surrogate_key", "silver", _sev("unique_surrogate_key"),
+                               _ok("unique_surrogate_key"))],
+        ))
+    return Q.union_all(frames)
 
 
 def _empty_text(columns: Sequence[str], name: str) -> Q.Rule:
@@ -103,17 +102,24 @@ def _empty_text(columns: Sequence[str], name: str) -> Q.Rule:
     return _count_check(name, "gold", empty)
 
 
-def gold_checks(fact: DataFrame, carriers: DataFrame, airports: DataFrame, dates: DataFrame) -> DataFrame:
-    fact_rows = Q.min_row_count(1, "fact_row_count", "gold", _sev("fact_row_count"), _ok("fact_row_count"),
-                                CHECKS["fact_row_count"][2])
-    frames = [
-        Q.evaluate(fact, [fact_rows]),
-        Q.evaluate(carriers, [_empty_text(["carrier_key", "carrier", "carrier_name"], "no_null_carrier_columns")]),
-        Q.evaluate(airports, [_empty_text(["airport_key", "airport", "airport_name"], "no_null_airport_columns")]),
-    ]
+def gold_checks(fact: DataFrame, carriers: DataFrame, airports: DataFrame, dates: DataFrame,
+                only: set[str] | None = None) -> DataFrame:
+    """Gold suite; ``only`` limits it to the named checks (nothing else runs)."""
+    want = lambda name: only is None or name in only
+    frames = []
+    if want("fact_row_count"):
+        frames.append(Q.evaluate(fact, [Q.min_row_count(1, "fact_row_count", "gold", _sev("fact_row_count"),
+                                                        _ok("fact_row_count"), CHECKS["fact_row_count"][2])]))
+    if want("no_null_carrier_columns"):
+        frames.append(Q.evaluate(carriers, [_empty_text(["carrier_key", "carrier", "carrier_name"],
+                                                        "no_null_carrier_columns")]))
+    if want("no_null_airport_columns"):
+        frames.append(Q.evaluate(airports, [_empty_text(["airport_key", "airport", "airport_name"],
+                                                        "no_null_airport_columns")]))
     for key, frame in (("carrier_key", carriers), ("airport_key", airports), ("date_key", dates)):
         name = f"no_orphaned_{key.replace('_key', '')}_keys"
-        frames.append(Q.evaluate(Q.orphans_frame(fact, frame, key), [_count_check(name, "gold")]))
+        if want(name):
+            frames.append(Q.evaluate(Q.orphans_frame(fact, frame, key), [_count_check(name, "gold")]))
     return Q.union_all(frames)
 
 
