@@ -80,11 +80,6 @@ def full_reload(df: DataFrame, store: Store, table: str, chunk_size: int | None
     return int(obs.get.get("rows", 0))
 
 
-def _ensure_partitioned(df: DataFrame, store: Store, table: str, partition_col: str) -> None:
-    if not store.exists(table):
-        df.limit(0).write.format("parquet").partitionBy(partition_col).saveAsTable(store.name(table))
-
-
 def _insert_columns(df: DataFrame, store: Store, table: str) -> list[str]:
     """Target column order (partition columns last) for positional inserts."""
     return store.read(table).columns
@@ -107,7 +102,14 @@ def replace_slices(df: DataFrame, store: Store, table: str, years: Iterable[int]
     """
     _check_chunk(chunk_size)
     years = sorted({int(y) for y in years})
-    _ensure_partitioned(df, store, table, partition_col)
+    if not store.exists(table):  # first load: a plain partitioned write
+        cols = [c for c in df.columns if c != partition_col] + [partition_col]
+        observed, obs = _observed(df.where(F.col(partition_col).isin(years)).select(*cols), "slices")
+        writer = observed.write.format("parquet").partitionBy(partition_col)
+        if chunk_size:
+            writer = writer.option("maxRecordsPerFile", chunk_size)
+        writer.saveAsTable(store.name(table))
+        return int(obs.get.get("rows", 0))
     cols = _insert_columns(df, store, table)
     scoped = df.where(F.col(partition_col).isin(years)).select(*cols)
     observed, obs = _observed(scoped, "slices", F.collect_set(partition_col).alias("years"))
@@ -135,9 +137,10 @@ def upsert(batch: DataFrame, store: Store, table: str, key: str = "airline_delay
     ``batch`` should be materialised: it is read for its years, its keys
     and its rows. Returns the row count of the rewritten partitions.
     """
-    spark = batch.sparkSession
-    if not store.exists(table):
-        batch.limit(0).write.format("parquet").partitionBy(partition_col).saveAsTable(store.name(table))
+    if not store.exists(table):  # first load: nothing to replace
+        observed, obs = _observed(batch, "upsert")
+        observed.write.format("parquet").partitionBy(partition_col).saveAsTable(store.name(table))
+        return int(obs.get.get("rows", 0))
     cols = _insert_columns(batch, store, table)
     # The touched partitions (a handful of years) become a static partition
     # filter, so only those directories of the target are listed and read.
@@ -149,6 +152,7 @@ def upsert(batch: DataFrame, store: Store, table: str, key: str = "airline_delay
     merged = kept.select(*cols).unionByName(batch.select(*cols))
     stage_name = f"{table}__stage_{uuid.uuid4().hex[:8]}"
     merged.write.format("parquet").partitionBy(partition_col).saveAsTable(store.name(stage_name))
+    spark = batch.sparkSession
     observed, obs = _observed(store.read(stage_name).select(*cols), "upsert")
     observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(store.name(table))
     spark.sql(f"DROP TABLE IF EXISTS {store.name(stage_name)}")
