@@ -27,6 +27,7 @@ from tarmac.plans.rollup import carrier_state, monthly_state
 from tarmac.plans.staging import check_schema, stage
 from tarmac.schemas import BRONZE, CSV_COLUMNS, FACT_COLUMNS
 from tarmac.sinks import tables as sink
+from tarmac.sources.csv_source import read_raw_csv
 
 
 
@@ -38,8 +39,11 @@ def stamp_batch(df: DataFrame, ingested_at: dt.datetime | Column | None = None)
     return df.select(*CSV_COLUMNS).withColumn("_ingested_at", ts)
 
 
-def load_bronze(batch: DataFrame, store: sink.Store, ingested_at=None) -> int:
-    """Stamp and append a raw batch to bronze; returns rows appended."""
+def load_bronze(batch: DataFrame | str, store: sink.Store, ingested_at=None) -> int:
+    """Stamp and append a raw batch (a frame, or a CSV path / directory /
+    glob read with the explicit schema) to bronze; returns rows appended."""
+    if isinstance(batch, str):
+        batch = read_raw_csv(store.spark, batch)
     stamped = stamp_batch(batch, ingested_at)
     return sink.append(stamped.select([F.col(f.name).cast(f.dataType) for f in BRONZE.fields]), store, "bronze")
 
@@ -153,7 +157,7 @@ def all_checks(store: sink.Store, now: Column) -> DataFrame:
     )
 
 
-def run_daily(batch: DataFrame, store: sink.Store, month_key: str, ingested_at=None, now=None,
+def run_daily(batch: DataFrame | str, store: sink.Store, month_key: str, ingested_at=None, now=None,
               chunk_size: int = 10_000) -> RunResult:
     """One scheduled run for ``month_key``: append, stage, marts, gold, checks.
 

@@ -85,3 +85,18 @@ def test_oracle_agreement_small(spark, key):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows) == digest(ocols, orows)
+
+
+def test_daily_run_from_csv_path(spark, store, tmp_path):
+    from tarmac.plans.runs import run_daily
+    from tarmac.schemas import CSV_COLUMNS
+    from tarmac.sources.csv_source import write_csv
+    from tarmac.sources.star_adapter import bronze_batch
+
+    batch = bronze_batch(spark, SF_SMALL).select(*CSV_COLUMNS)
+    path = str(tmp_path / "delays_csv")
+    write_csv(batch, path)
+    result = run_daily(path, store, "1998-06-01", ingested_at=STAMP, now=NOW)
+    assert result.bronze_rows == batch.count()
+    assert store.read("staging").count() == result.silver_rows
+    assert result.checks.where("NOT passed").count() == 0
