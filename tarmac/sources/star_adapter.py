@@ -63,13 +63,50 @@ def _from_cents(c: Column) -> Column:
     return (c.cast("decimal(20,0)") / 100).cast(BRONZE_DECIMAL)
 
 
+# Line status codes, derived before the big shuffle (see ``line_grain``).
+OTHER, DELAYED, CANCELLED_LINE, DIVERTED_LINE = 0, 1, 2, 3
+
+
+def _line_status() -> Column:
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    return (
+        F.when(flag == DELAYED_FLAG, DELAYED)
+        .when((flag == CANCELLED[0]) & (status == CANCELLED[1]), CANCELLED_LINE)
+        .when((flag == DIVERTED[0]) & (status == DIVERTED[1]), DIVERTED_LINE)
+        .otherwise(OTHER)
+        .cast("tinyint")
+    )
+
+
+def _delay_cause() -> Column:
+    """Index of the delay cause of a delayed line (by line number), else NULL."""
+    cause = None
+    for i, line_numbers in enumerate(CAUSE_LINES.values()):
+        hit = (F.col("l_returnflag") == DELAYED_FLAG) & F.col("l_linenumber").isin(*line_numbers)
+        cause = F.when(hit, i) if cause is None else cause.when(hit, i)
+    return cause.cast("tinyint")
+
+
 def line_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Aggregated grain keyed by (year, month, supplier nation, customer nation)."""
+    """Aggregated grain keyed by (year, month, supplier nation, customer nation).
+
+    Everything the aggregation needs from a line is reduced to fixed-width
+    values (status and cause codes, exact cents) before the line meets
+    ``orders``, so the largest shuffle carries no strings.
+    """
     li = read_table(
         spark,
         sf_dir,
         "lineitem",
         ["l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"],
+    ).select(
+        "l_orderkey",
+        "l_suppkey",
+        _line_status().alias("status"),
+        _delay_cause().alias("cause"),
+        _cents(F.col("l_quantity")).alias("qty_cents"),
+        _cents(F.col("l_discount")).alias("disc_cents"),
+        "l_shipdate",
     )
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
@@ -86,30 +123,25 @@ def line_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.month("l_shipdate").alias("month"),
             F.col("s_nationkey").alias("supp_nation"),
             "cust_nation",
-            "l_linenumber",
-            _cents(F.col("l_quantity")).alias("qty_cents"),
-            _cents(F.col("l_discount")).alias("disc_cents"),
-            "l_returnflag",
-            "l_linestatus",
+            "status",
+            "cause",
+            "qty_cents",
+            "disc_cents",
             F.col("l_shipdate").cast("timestamp").alias("shipped_at"),
         )
     )
 
-    delayed = F.col("l_returnflag") == DELAYED_FLAG
+    status = F.col("status")
     measures = [
         F.count(F.lit(1)).alias("arr_flights"),
-        F.count_if(delayed).alias("arr_del15"),
-        F.count_if((F.col("l_returnflag") == CANCELLED[0]) & (F.col("l_linestatus") == CANCELLED[1])).alias(
-            "arr_cancelled"
-        ),
-        F.count_if((F.col("l_returnflag") == DIVERTED[0]) & (F.col("l_linestatus") == DIVERTED[1])).alias(
-            "arr_diverted"
-        ),
-        F.sum(F.when(delayed, F.col("qty_cents"))).alias("arr_delay"),
+        F.count_if(status == DELAYED).alias("arr_del15"),
+        F.count_if(status == CANCELLED_LINE).alias("arr_cancelled"),
+        F.count_if(status == DIVERTED_LINE).alias("arr_diverted"),
+        F.sum(F.when(status == DELAYED, F.col("qty_cents"))).alias("arr_delay"),
     ]
     cents = ["arr_delay"]
-    for cause, line_numbers in CAUSE_LINES.items():
-        hit = delayed & F.col("l_linenumber").isin(*line_numbers)
+    for i, cause in enumerate(CAUSE_LINES):
+        hit = F.col("cause") == i
         measures.append(F.sum(F.when(hit, F.col("disc_cents"))).alias(f"{cause}_ct"))
         measures.append(F.sum(F.when(hit, F.col("qty_cents"))).alias(f"{cause}_delay"))
         cents += [f"{cause}_ct", f"{cause}_delay"]
