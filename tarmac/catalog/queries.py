@@ -558,7 +558,7 @@ def mod_15(spark, sf_dir):
     return present(store.read("gold_fact_flight_delays").select(*FACT_COLUMNS))
 
 
-# ------------------------------------------------------- rows-only checks
+# ------------------------------------------- file layouts, sample (rows-only)
 
 
 def src_01(spark, sf_dir):
