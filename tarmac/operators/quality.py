@@ -180,7 +180,7 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         )
         for r in rules
     ]
-    return df.agg(*metrics).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return df.agg(*metrics).select(F.inline(F.array(*rows)))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
