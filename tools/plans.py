@@ -14,7 +14,9 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tarmac.catalog import queries as Q  # noqa: E402
+from tarmac.plans.staging import stage  # noqa: E402
 from tarmac.session import local_session  # noqa: E402
+from tarmac.sources.star_adapter import bronze_from_star  # noqa: E402
 
 KEYS = ["mod_01", "mod_05", "mod_06", "mod_10", "mod_11", "win_01", "dq_10", "joi_04", "agg_18"]
 
@@ -36,6 +38,12 @@ def main() -> None:
            "Generated by `tools/plans.py`. `AQEShuffleRead local` / `BroadcastQueryStage` mark joins that AQE "
            "turned into broadcasts after measuring the small side; `WindowGroupLimit` below an `Exchange` is "
            "the map-side part of latest-wins dedupe; `partial_*` aggregates run before the shuffle.\n"]
+    if not sys.argv[1:]:
+        # what the staging lineage cut writes: adapter, dedupe and cleaning
+        build = stage(bronze_from_star(spark, sf_dir))
+        out.append("## staging build\nThe frame `layers()` writes once into the checkpoint folder "
+                   "(every model query then reads the written table).\n\n```\n"
+                   + final_plan(build).strip() + "\n```\n")
     for key in keys:
         df = Q.QUERIES[key](spark, sf_dir)
         doc = (Q.QUERIES[key].__doc__ or "").strip().splitlines()
