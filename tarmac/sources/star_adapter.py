@@ -197,7 +197,11 @@ def bronze_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     (copy 0 for every row, copy 1 for rows of the reloaded year), so the
     star tables are scanned and aggregated once, not once per batch.
     """
-    first = bronze_batch(spark, sf_dir)
+    return with_redelivery(bronze_batch(spark, sf_dir))
+
+
+def with_redelivery(first: DataFrame) -> DataFrame:
+    """``first`` plus the re-delivered year (see ``reload_batch``), in one pass."""
     copies = first.withColumn(
         "_copy",
         F.explode(F.when(F.col("year") == RELOAD_YEAR, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))),
