@@ -21,7 +21,6 @@ from tarmac.operators.quality import union_all
 from tarmac.plans import checks
 from tarmac.plans.dims import dim_airport, dim_carrier, dim_date
 from tarmac.plans.fact import fact_flight_delays
-from tarmac.plans.layers import materialise
 from tarmac.plans.marts import carrier_delay_performance, monthly_delay_trends
 from tarmac.plans.rollup import carrier_state, monthly_state
 from tarmac.plans.staging import check_schema, stage
@@ -53,8 +52,8 @@ def load_silver(store: sink.Store, normalise_first: bool = True) -> int:
     target = store.read("staging") if store.exists("staging") else None
     batch = stage(store.read("bronze"), target, normalise_first=normalise_first)
     check_schema(batch)
-    batch = materialise(batch)  # read three times by the upsert
-    return sink.upsert(batch, store, "staging")
+    with sink.scratch_table(batch, store, "staging_batch") as written:  # read three times by the upsert
+        return sink.upsert(written, store, "staging")
 
 
 def in_parallel(*actions, max_workers: int = 4) -> list:

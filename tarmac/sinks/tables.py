@@ -18,7 +18,8 @@ Rerun safety:
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +46,19 @@ class Store:
         return self.spark.table(self.name(table))
 
 
+@contextmanager
+def scratch_table(df: DataFrame, store: Store, label: str) -> Iterator[DataFrame]:
+    """``df`` written once as a managed table of ``store``, read back for the
+    block and dropped afterwards (its files go with it), so a daily run
+    leaves no intermediate data behind in shared storage."""
+    name = store.name(f"{label}__scratch_{uuid.uuid4().hex[:8]}")
+    df.write.format("parquet").saveAsTable(name)
+    try:
+        yield store.spark.table(name)
+    finally:
+        store.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def _check_chunk(chunk_size: int | None) -> None:
     if chunk_size is not None and chunk_size <= 0:
         raise ValueError("chunk_size must be greater than 0")

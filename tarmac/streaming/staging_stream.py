@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.plans.layers import materialise
 from tarmac.plans.staging import check_schema, stage
 from tarmac.schemas import BRONZE, STAGING_COLUMNS
 from tarmac.session import work_dir
@@ -29,7 +28,8 @@ def start_staging_stream(spark: SparkSession, bronze_dir: str, store: sink.Store
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
         staged = stage(batch, None, normalise_first=normalise_first)
         check_schema(staged)
-        sink.upsert(materialise(staged), store, "staging")
+        with sink.scratch_table(staged, store, "staging_batch") as written:
+            sink.upsert(written, store, "staging")
 
     source = spark.readStream.schema(BRONZE).parquet(bronze_dir)
     return (

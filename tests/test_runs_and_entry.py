@@ -50,6 +50,8 @@ def test_daily_run_rerun_is_idempotent_for_silver_gold_and_state(spark, store):
     merged = store.read("gold_carrier_state").groupBy().agg(F.sum("total_flights_state")).first()[0]
     direct = store.read("gold_fact_flight_delays").groupBy().agg(F.sum("arr_flights")).first()[0]
     assert merged == direct
+    leftovers = [t.name for t in spark.catalog.listTables(store.database) if "__" in t.name]
+    assert leftovers == []  # scratch batches and upsert stages are dropped
 
 
 def test_entry_and_registry(spark):
