@@ -536,6 +536,8 @@ SELECT * FROM (SELECT 'latest_month', CAST(month_start AS VARCHAR), delay_rate_p
                ORDER BY month_start DESC LIMIT 1)"""
     sql["set_01"] = W(BRONZE) + f"SELECT {bronze_cols} FROM bronze"
     sql["snk_05"] = core + "SELECT * FROM dim_carrier"
+    sql["snk_17"] = core + (f"SELECT {staging_cols} FROM staging "
+                            "ORDER BY md5(airline_delay_id || '42'), airline_delay_id LIMIT 5")
     # chunked, sorted and bloom-indexed writes must read back the fact unchanged
     for key in ("snk_06", "snk_11", "snk_12"):
         sql[key] = core + f"SELECT {fact_cols} FROM fact"

@@ -87,3 +87,18 @@ def test_bloom_filter_layout_point_lookup(spark, store):
 
     assert "PushedFilters: [IsNotNull(carrier), EqualTo(carrier,C3)]" in plan_text(hit)
     assert hit.count() == len([i for i in range(50) if i % 7 == 3])
+
+
+def test_sample_rows_is_seeded_and_independent_of_partitioning(spark):
+    import hashlib
+
+    from tarmac.operators.sample import sample_rows
+
+    df = spark.range(500).select(F.format_string("id-%d", "id").alias("k"), F.col("id").alias("v"))
+    got = [r.k for r in sample_rows(df, 7, "k", seed=3).collect()]
+    again = [r.k for r in sample_rows(df.repartition(5), 7, "k", seed=3).collect()]
+    brute = sorted((hashlib.md5(f"id-{i}3".encode()).hexdigest(), f"id-{i}") for i in range(500))[:7]
+    assert got == again == [k for _, k in brute]
+    assert got != [r.k for r in sample_rows(df, 7, "k", seed=4).collect()]
+    with pytest.raises(ValueError):
+        sample_rows(df, 0, "k")
