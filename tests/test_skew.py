@@ -42,3 +42,4 @@ def test_cluster_settings_scale_with_input():
     big = cluster_settings(100 << 40, total_cores=8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 128
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
