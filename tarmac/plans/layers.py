@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tarmac.operators.broadcast import DIM_BROADCAST_ROWS
+from tarmac.operators.broadcast import DIM_BROADCAST_ROWS, bounded_broadcast
 from tarmac.plans.dims import dim_airport, dim_carrier, dim_date
 from tarmac.plans.fact import fact_flight_delays
 from tarmac.plans.staging import stage
@@ -51,19 +51,20 @@ def materialise(df: DataFrame, label: str = "cut", observe: dict[str, Column] |
     return (back, obs.get) if observe else back
 
 
-def dim_sizes() -> dict[str, Column]:
-    """Size estimates of the three dimensions, taken while staging is written."""
-    return {
-        "carriers": F.approx_count_distinct(F.struct("carrier", "carrier_name")),
-        "airports": F.approx_count_distinct(F.struct("airport", "airport_name")),
-        "dates": F.approx_count_distinct(F.struct("year", "month")),
-    }
+def _dim_for_join(dim: DataFrame, staging_rows: int | None) -> DataFrame:
+    """Broadcast a dimension only behind an exact bound.
 
-
-def _maybe_broadcast(dim: DataFrame, estimate: int | None) -> DataFrame:
-    """Broadcast a dimension whose distinct-count estimate is well under the
-    bound (HyperLogLog, ~5% error; a 2x margin); otherwise shuffle-join."""
-    return F.broadcast(dim) if estimate is not None and 2 * estimate <= DIM_BROADCAST_ROWS else dim
+    A dimension (distinct codes of staging) never has more rows than
+    staging, whose exact row count the staging write observed; at or under
+    the bound that is proof enough. Above it, a bounded count of the
+    dimension itself decides (one small job); without a count the planner
+    decides (AQE broadcasts only after measuring).
+    """
+    if staging_rows is None:
+        return dim
+    if staging_rows <= DIM_BROADCAST_ROWS:
+        return F.broadcast(dim)
+    return bounded_broadcast(dim, DIM_BROADCAST_ROWS)
 
 
 def build_layers(bronze: DataFrame, target: DataFrame | None = None, normalise_first: bool = True,
@@ -71,18 +72,18 @@ def build_layers(bronze: DataFrame, target: DataFrame | None = None, normalise_f
     staging = stage(bronze, target, normalise_first=normalise_first)
     sizes: dict = {}
     if cut:
-        staging, sizes = materialise(staging, "staging", dim_sizes())
+        staging, sizes = materialise(staging, "staging", {"rows": F.count(F.lit(1))})
     carriers = dim_carrier(staging, on_name_conflict)
     airports = dim_airport(staging, on_name_conflict)
     dates = dim_date(staging)
-    # Dimensions are distinct codes / months. Their size was estimated by the
-    # staging write, so the fact join broadcasts them without another job and
-    # staging streams through the joins without being shuffled; without an
-    # estimate the planner decides (AQE broadcasts after measuring).
+    # Dimensions are distinct codes / months, bounded by the staging row
+    # count the write observed, so the fact join broadcasts them without
+    # another job and staging streams through the joins without a shuffle.
+    rows = sizes.get("rows")
     fact = fact_flight_delays(
         staging,
-        _maybe_broadcast(carriers, sizes.get("carriers")),
-        _maybe_broadcast(airports, sizes.get("airports")),
-        _maybe_broadcast(dates, sizes.get("dates")),
+        _dim_for_join(carriers, rows),
+        _dim_for_join(airports, rows),
+        _dim_for_join(dates, rows),
     )
     return Layers(staging, carriers, airports, dates, fact)

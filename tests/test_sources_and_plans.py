@@ -63,3 +63,20 @@ def test_bounded_broadcast_checks_size(spark):
     big = spark.range(1000).withColumnRenamed("id", "k")
     assert "BroadcastHashJoin" in plan_text(big.join(bounded_broadcast(small, 10), "k"))
     assert "BroadcastHashJoin" not in plan_text(small.join(bounded_broadcast(big, 10), "k"))
+
+
+def test_dimension_broadcast_needs_an_exact_bound(spark):
+    from tarmac.operators.broadcast import DIM_BROADCAST_ROWS
+    from tarmac.plans.layers import _dim_for_join
+
+    fact = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(DIM_BROADCAST_ROWS + 1).withColumnRenamed("id", "k")
+
+    def broadcast_join(dim, staging_rows):
+        return "BroadcastHashJoin" in plan_text(fact.join(_dim_for_join(dim, staging_rows), "k"), "simple")
+
+    assert broadcast_join(small, 1000)  # the staging row count bounds the dimension
+    assert broadcast_join(small, 10**9)  # staging too large: a bounded count of the dimension decides
+    assert not broadcast_join(big, 10**9)  # over the bound: shuffle join
+    assert not broadcast_join(small, None)  # no count: left to the planner
