@@ -162,7 +162,7 @@ def upsert(batch: DataFrame, store: Store, table: str, key: str = "airline_delay
     if not touched:
         return 0
     existing = store.read(table).where(F.col(partition_col).isin(touched))
-    kept = existing.join(batch.select(key).distinct(), key, "left_anti")
+    kept = existing.join(batch.select(key), key, "left_anti")  # duplicate batch keys cannot change an anti join
     merged = kept.select(*cols).unionByName(batch.select(*cols))
     stage_name = f"{table}__stage_{uuid.uuid4().hex[:8]}"
     merged.write.format("parquet").partitionBy(partition_col).saveAsTable(store.name(stage_name))
