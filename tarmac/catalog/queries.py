@@ -425,16 +425,20 @@ def cnd_02(spark, sf_dir):
 def cnd_03(spark, sf_dir):
     """Lateral alias reuse with GROUP BY and HAVING, in Spark SQL."""
     state = carrier_state(layers(spark, sf_dir).fact)
-    state.createOrReplaceTempView("carrier_state_v")
-    return spark.sql(f"""
+    ratio = sql_exact_ratio("total_delayed", "total_flights", factor=100, dialect="spark")
+    # the frame is passed as a query argument: no session-wide temp view
+    return spark.sql(
+        """
         SELECT carrier,
                sum(total_flights_state) AS total_flights,
                sum(total_delayed_state) AS total_delayed,
-               {sql_exact_ratio('total_delayed', 'total_flights', factor=100, dialect='spark')} AS delay_rate_pct
-        FROM carrier_state_v
+               """ + ratio + """ AS delay_rate_pct
+        FROM {state}
         GROUP BY carrier
         HAVING total_flights > 0
-    """)
+        """,
+        state=state,
+    )
 
 
 def mth_01(spark, sf_dir):
