@@ -66,7 +66,7 @@ def test_entry_and_registry(spark):
 
 
 ORACLE_SAMPLE = ["mod_01", "mod_06", "mod_07", "mod_10", "mod_11", "win_01", "dq_01", "dq_06", "agg_18", "joi_06",
-                 "agg_11", "snk_11", "snk_17"]
+                 "agg_11", "snk_11", "snk_17", "cnd_03"]
 
 
 @pytest.mark.parametrize("key", ORACLE_SAMPLE)
