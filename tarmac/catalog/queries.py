@@ -567,7 +567,7 @@ def mod_15(spark, sf_dir):
     return present(store.read("gold_fact_flight_delays").select(*FACT_COLUMNS))
 
 
-# ------------------------------------------- file layouts, sample (rows-only)
+# ------------------------------------------- file layouts, seeded sample
 
 
 def src_01(spark, sf_dir):
