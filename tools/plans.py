@@ -18,7 +18,7 @@ from tarmac.plans.staging import stage  # noqa: E402
 from tarmac.session import local_session  # noqa: E402
 from tarmac.sources.star_adapter import bronze_from_star  # noqa: E402
 
-KEYS = ["mod_01", "mod_05", "mod_06", "mod_10", "mod_11", "win_01", "dq_10", "joi_04", "agg_18"]
+KEYS = ["mod_01", "mod_05", "mod_06", "mod_10", "mod_11", "win_01", "dq_10", "dq_21", "joi_04", "agg_18"]
 
 
 def final_plan(df) -> str:
@@ -37,7 +37,8 @@ def main() -> None:
     out = [f"# Final physical plans ({sf_dir}, local[8], AQE on)\n",
            "Generated by `tools/plans.py`. `AQEShuffleRead local` / `BroadcastQueryStage` mark joins that AQE "
            "turned into broadcasts after measuring the small side; `WindowGroupLimit` below an `Exchange` is "
-           "the map-side part of latest-wins dedupe; `partial_*` aggregates run before the shuffle.\n"]
+           "the map-side part of latest-wins dedupe; `partial_*` aggregates run before the shuffle; "
+           "`ReusedExchange` is a broadcast built once and shared by several branches.\n"]
     if not sys.argv[1:]:
         # what the staging lineage cut writes: adapter, dedupe and cleaning
         build = stage(bronze_from_star(spark, sf_dir))
