@@ -102,3 +102,13 @@ def test_sample_rows_is_seeded_and_independent_of_partitioning(spark):
     assert got != [r.k for r in sample_rows(df, 7, "k", seed=4).collect()]
     with pytest.raises(ValueError):
         sample_rows(df, 0, "k")
+
+
+def test_scratch_table_is_dropped_even_on_failure(spark, store):
+    df = spark.range(10)
+    with sink.scratch_table(df, store, "tmp") as written:
+        assert written.count() == 10
+    with pytest.raises(RuntimeError):
+        with sink.scratch_table(df, store, "tmp"):
+            raise RuntimeError("job failed")
+    assert [t.name for t in spark.catalog.listTables(store.database) if "__scratch_" in t.name] == []
