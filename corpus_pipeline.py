@@ -1,5 +1,68 @@
-"""The corpus pipeline: documents through the training-data operators, stage by stage."""
+"""The corpus pipeline: documents through five of the training-data operators.
+
+Each stage is a function (spark, docs, sf_dir) -> DataFrame whose result is
+written as Parquet and read again as the next one's ``docs``. All but the last
+return the columns of ``documents``. Every stage copes with null columns,
+empty and very long texts, repeated rows, empty tables and extra columns
+(kept up to the last stage); see the operators for the defined results.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from tarmac.llm import mixing, packing, quality, secrets, simhash
+from tarmac.llm.common import read_documents, read_labels, tokenizer_path
+from tarmac.plans.layers import materialise
+from tarmac.session import configure
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scoring under 0.3 go; the others stay as they are."""
+    configure(spark)
+    return quality.keep_good(docs, read_labels(spark, sf_dir), threshold=0.3)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked within 4 bits over 4-word shingles, the least doc_id stays."""
+    configure(spark)
+    return simhash.keep_one(docs, shingle=4, radius=4)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Found secrets are replaced in the text; no document goes."""
+    configure(spark)
+    return secrets.redact(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: repeated rows, or none."""
+    configure(spark)
+    return mixing.mix(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the mixed documents, packed into sequences of 2048 tokens."""
+    configure(spark)
+    return packing.pack_documents(docs, tokenizer_path(), capacity=2048)
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("secret_scans", secret_scans),
+    ("source_mixing", source_mixing),
+    ("best_fit_packing", best_fit_packing),
+]
+
+# SQL cannot express the classifier, the forest and the tokenizer; tests hold
+# the stages against brute-force versions.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read back."""
+    docs = read_documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

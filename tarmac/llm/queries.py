@@ -6,15 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import mixing, packing, simhash
-from tarmac.llm.common import read_documents
+import corpus_pipeline
+from tarmac.llm import mixing, packing, quality, secrets, simhash
+from tarmac.llm.common import read_documents, read_labels, tokenizer_path
 
 
-def tokenizer_path() -> str:
-    """The public byte-level BPE file; an installed package names its place."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_table(read_documents(spark, sf_dir), read_labels(spark, sf_dir))
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +29,14 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_table(read_documents(spark, sf_dir))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    fn.__name__: fn for fn in (op2_source_mix, op3_simhash_near_dedup, op4_best_fit_packing)
+    fn.__name__: fn for fn in (op1_quality_classifier, op2_source_mix, op3_simhash_near_dedup, op4_best_fit_packing, op8_secret_scan, pipeline)
 }
