@@ -175,8 +175,8 @@ def link_runs(values: np.ndarray, runs: np.ndarray, radius: int, work: int = 1 <
         word = query // LANES + step
         mixed = (low[word] != star[query]) | (high[word] != star[query])
         query, word = query[mixed], word[mixed]
-        for i in range(0, len(query), 4 * work):
-            q, w = query[i:i + 4 * work], word[i:i + 4 * work]
+        for i in range(0, len(query), work // 4):
+            q, w = query[i:i + work // 4], word[i:i + work // 4]
             lanes_below = np.clip(last[q] - w * LANES, 0, LANES).astype(np.uint64)
             lanes_from = np.clip(q + 1 - w * LANES, 0, LANES).astype(np.uint64)
             full = np.uint64(0xFFFFFFFFFFFFFFFF)
