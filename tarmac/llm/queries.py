@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tarmac.llm import mixing, packing, quality, secrets, simhash
+from tarmac.llm import langid, line_rules, mixing, packing, quality, repeats, secrets, simhash
 from tarmac.llm.common import read_documents, read_labels, tokenizer_path
 
 
@@ -29,14 +29,28 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_table(read_documents(spark, sf_dir))
+
+
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.line_rules(read_documents(spark, sf_dir))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_table(read_documents(spark, sf_dir))
 
 
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_table(read_documents(spark, sf_dir), length=200)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    fn.__name__: fn for fn in (op1_quality_classifier, op2_source_mix, op3_simhash_near_dedup, op4_best_fit_packing, op8_secret_scan, pipeline)
+    fn.__name__: fn for fn in (
+        op1_quality_classifier, op2_source_mix, op3_simhash_near_dedup, op4_best_fit_packing, op6_language_id,
+        op7_line_rules, op8_secret_scan, op10_repeated_passages, pipeline)
 }
