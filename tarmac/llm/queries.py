@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tarmac.llm import langid, line_rules, mixing, packing, quality, repeats, secrets, simhash
+from tarmac.llm import imatch, langid, line_rules, mixing, packing, quality, repeats, secrets, simhash
 from tarmac.llm.common import read_documents, read_labels, tokenizer_path
 
 
@@ -41,6 +41,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_table(read_documents(spark, sf_dir))
 
 
+def op9_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_table(read_documents(spark, sf_dir))
+
+
 def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_table(read_documents(spark, sf_dir), length=200)
 
@@ -52,5 +56,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn for fn in (
         op1_quality_classifier, op2_source_mix, op3_simhash_near_dedup, op4_best_fit_packing, op6_language_id,
-        op7_line_rules, op8_secret_scan, op10_repeated_passages, pipeline)
+        op7_line_rules, op8_secret_scan, op9_imatch_fingerprints, op10_repeated_passages, pipeline)
 }
