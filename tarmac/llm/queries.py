@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tarmac.llm import imatch, langid, line_rules, mixing, packing, quality, repeats, secrets, simhash
+from tarmac.llm import imatch, langid, line_rules, lm, mixing, packing, quality, repeats, secrets, simhash
 from tarmac.llm.common import read_documents, read_labels, tokenizer_path
 
 
@@ -29,6 +29,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_table(read_documents(spark, sf_dir))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_table(read_documents(spark, sf_dir))
 
@@ -55,6 +59,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn for fn in (
-        op1_quality_classifier, op2_source_mix, op3_simhash_near_dedup, op4_best_fit_packing, op6_language_id,
+        op1_quality_classifier, op2_source_mix, op3_simhash_near_dedup, op4_best_fit_packing, op5_lm_scoring, op6_language_id,
         op7_line_rules, op8_secret_scan, op9_imatch_fingerprints, op10_repeated_passages, pipeline)
 }
