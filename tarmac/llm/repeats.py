@@ -119,9 +119,15 @@ def bloom_of(values: DataFrame, column: str) -> np.ndarray:
     words = (values.select(F.explode(F.array(*spots)).alias("bit"))
              .groupBy(F.shiftright("bit", 6).alias("word"))
              .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").bitwiseAND(F.lit(63)).cast("int"))).alias("bits")))
-    got = words.toPandas()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # few large values instead of many rows
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.column(0).to_numpy().astype("<u4").tobytes()], pa.binary()),
+                                   pa.array([batch.column(1).to_numpy().astype("<i8").tobytes()], pa.binary())], names=["word", "bits"])
+
     table = np.zeros(BLOOM_BITS // 64, np.int64)
-    table[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
+    for word, bits in words.mapInArrow(pack, "word binary, bits binary").toLocalIterator():
+        table[np.frombuffer(word, "<u4")] = np.frombuffer(bits, "<i8")
     return table.view(np.uint64)
 
 
