@@ -100,7 +100,9 @@ def draw(docs: DataFrame, extra: list[str], seed: str = SEED, max_repeat: int =
     # the document in which the budget ends is taken if at least half of it fits
     ended = split.withColumn("chosen", 2 * F.col("sofar") + F.col("size") <= 2 * F.col("budget"))
     whole = narrow.where("fate <> 'cut'").withColumn("sofar", F.col("before")).withColumn("chosen", F.col("fate") == "in")
-    decided = whole.unionByName(ended).withColumn("chosen", F.col("chosen") & (F.col("size") > 0))
+    worded = F.col("size") > 0
+    decided = whole.unionByName(ended).withColumn("chosen", F.col("chosen") & worded).withColumn(
+        "epochs", F.when(worded, F.col("epochs")).otherwise(F.lit(0)))
     decided = decided.select(UID, "source_size", "target", "epochs", "chosen",
                              (F.col("size") * (F.col("epochs") + F.col("chosen").cast("long"))).alias("taken"))
     out = rows.select(UID, "size", *[F.col(f"__d{i}").alias(c) for i, c in enumerate(extra)])
