@@ -8,8 +8,33 @@ same integer half-up rule.
 
 from __future__ import annotations
 
-from tarmac.functions.numeric import sql_exact_ratio as ratio
-from tarmac.schemas import CSV_COLUMNS, DECIMAL_COLUMNS, DELAY_COLUMNS, FACT_COLUMNS, MEASURE_COLUMNS
+# The data contract, written out here so that nothing is shared with the engine.
+DELAY_COLUMNS = ["arr_delay", "carrier_delay", "weather_delay", "nas_delay", "security_delay", "late_aircraft_delay"]
+DECIMAL_COLUMNS = ["carrier_ct", "weather_ct", "nas_ct", "security_ct", "late_aircraft_ct", *DELAY_COLUMNS]
+MEASURE_COLUMNS = ["arr_flights", "arr_del15", "carrier_ct", "weather_ct", "nas_ct", "security_ct", "late_aircraft_ct",
+                   "arr_cancelled", "arr_diverted", *DELAY_COLUMNS]
+CSV_COLUMNS = ["year", "month", "carrier", "carrier_name", "airport", "airport_name", *MEASURE_COLUMNS]
+FACT_COLUMNS = ["airline_delay_id", "date_key", "carrier_key", "airport_key", "year", "month", "carrier", "carrier_name",
+                "airport", "airport_name", "arr_flights", "arr_del15", "arr_cancelled", "arr_diverted", *DECIMAL_COLUMNS,
+                "_ingested_at"]
+UNIQUE = {"stg_airline_delay_data": ["airline_delay_id"], "dim_carrier": ["carrier_key"], "dim_airport": ["airport_key"],
+          "dim_date": ["date_key"], "fact_flight_delays": ["airline_delay_id"],
+          "carrier_delay_performance": ["carrier_key"], "monthly_delay_trends": ["date_key"]}
+NOT_NULL = {"stg_airline_delay_data": ["airline_delay_id", "year", "month", "carrier", "airport"],
+            "dim_carrier": ["carrier_key", "carrier", "carrier_name"],
+            "dim_airport": ["airport_key", "airport", "airport_name"], "dim_date": ["date_key", "year", "month"],
+            "fact_flight_delays": ["airline_delay_id", "date_key", "carrier_key", "airport_key"],
+            "carrier_delay_performance": ["carrier_key"], "monthly_delay_trends": ["date_key"]}
+RELATIONSHIPS = [("date_key", "dim_date"), ("carrier_key", "dim_carrier"), ("airport_key", "dim_airport")]
+TEXT_LIMITS = {"carrier": 10, "carrier_name": 100, "airport": 10, "airport_name": 200}
+
+
+def ratio(num: str, den: str, num_scale: int = 0, factor: int = 1, digits: int = 2) -> str:
+    """num / den times factor, rounded half away from zero at ``digits``: exact decimal
+    long division in DuckDB's 128-bit integers."""
+    top = f"(CAST(({num}) * {10 ** num_scale} AS HUGEINT) * {factor * 10 ** digits})"
+    bottom = f"(CAST(NULLIF({den}, 0) AS HUGEINT) * {10 ** num_scale})"
+    return (f"CAST(sign({top}) * ((abs({top}) * 2 + {bottom}) // ({bottom} * 2)) AS DOUBLE) / {float(10 ** digits)}")
 
 CAUSES = {"carrier": (1, 2), "weather": (3,), "nas": (4, 5), "security": (6,), "late_aircraft": (7,)}
 
@@ -291,24 +316,23 @@ MODELS = {
 
 
 def _declarative(kind: str) -> str:
-    from tarmac.plans.checks import NOT_NULL_TESTS, RELATIONSHIP_TESTS, UNIQUE_TESTS
-
     rows = []
     if kind == "unique":
-        for model, cols in UNIQUE_TESTS.items():
+        for model, cols in UNIQUE.items():
             for c in cols:
                 n = (f"(SELECT count(*) FROM (SELECT {c} FROM {MODELS[model]} WHERE {c} IS NOT NULL "
                      f"GROUP BY {c} HAVING count(*) > 1))")
                 rows.append(check_row(f"unique_{model}_{c}", model, "ERROR", n, "'Passed.'",
                                       f"CAST({n} AS VARCHAR) || ' failing row(s).'"))
     elif kind == "not_null":
-        for model, cols in NOT_NULL_TESTS.items():
+        for model, cols in NOT_NULL.items():
             for c in cols:
                 n = f"(SELECT count(*) FROM {MODELS[model]} WHERE {c} IS NULL)"
                 rows.append(check_row(f"not_null_{model}_{c}", model, "ERROR", n, "'Passed.'",
                                       f"CAST({n} AS VARCHAR) || ' failing row(s).'"))
     else:
-        for child, key, parent in RELATIONSHIP_TESTS:
+        child = "fact_flight_delays"
+        for key, parent in RELATIONSHIPS:
             n = (f"(SELECT count(*) FROM {MODELS[child]} c WHERE c.{key} IS NOT NULL AND NOT EXISTS "
                  f"(SELECT 1 FROM {MODELS[parent]} p WHERE p.{key} = c.{key}))")
             rows.append(check_row(f"relationships_{child}_{key}", child, "ERROR", n, "'Passed.'",
@@ -316,6 +340,14 @@ def _declarative(kind: str) -> str:
     return "\nUNION ALL\n".join(rows)
 
 
+# every row of January twice, months beyond 12, missing carriers, negative delays
+DIRTY = """
+dirty AS (
+  SELECT * REPLACE (CASE WHEN arr_flights % 7 = 0 THEN month + 12 ELSE month END AS month,
+                    CASE WHEN arr_flights % 5 <> 0 THEN carrier END AS carrier,
+                    CASE WHEN arr_flights % 3 = 0 THEN -weather_delay ELSE weather_delay END AS weather_delay)
+  FROM (SELECT * FROM staging UNION ALL SELECT * FROM staging WHERE month = 1))"""
+
 MARTS = ",".join([_mart_carrier(), _mart_monthly()])
 NOW = "TIMESTAMP '2024-01-31 12:00:00'"
 RUN_STAMP = "TIMESTAMP '2024-01-31 03:00:00'"
@@ -475,7 +507,9 @@ SELECT * EXCLUDE (__rn) FROM (
         "flt_04": W(BRONZE) + "SELECT count(*) FILTER (WHERE year IS NULL OR month IS NULL OR carrier IS NULL OR "
         "airport IS NULL) AS null_key_rows, count(*) FILTER (WHERE "
         + " OR ".join(f"{c} IS NULL" for c in DELAY_COLUMNS[1:]) + ") AS null_cause_rows FROM bronze",
-        "flt_05": core + _empty_text_check("carrier") + "\nUNION ALL\n" + _empty_text_check("airport"),
+        "flt_05": core + "\nUNION ALL\n".join(_empty_text_check(c).replace(
+            f"FROM dim_{c} ", f"FROM (SELECT * REPLACE (CASE WHEN {c}_key >= '8' THEN {c}_name ELSE '' END AS {c}_name) FROM dim_{c}) ")
+            for c in ("carrier", "airport")),
         "flt_07": W(CORE, CARRIER_STATE) + "SELECT carrier, CAST(sum(total_flights_state) AS BIGINT) AS total_flights, "
         "CAST(sum(total_delayed_state) AS BIGINT) AS total_delayed FROM carrier_state GROUP BY carrier "
         "HAVING sum(total_flights_state) > 0",
@@ -485,11 +519,14 @@ SELECT * EXCLUDE (__rn) FROM (
         "JOIN dim_airport d ON s.airport = d.airport",
         "joi_03": core + "SELECT s.airline_delay_id, s.year, s.month, d.date_key FROM staging s "
         "JOIN dim_date d ON s.year = d.year AND s.month = d.month",
-        "joi_04": core + _orphan_check("carrier"),
-        "joi_05": core + _orphan_check("airport"),
+        "joi_04": core + _orphan_check("carrier", "(SELECT * FROM dim_carrier WHERE carrier_key < '8')"),
+        "joi_05": core + _orphan_check("airport", "(SELECT * FROM dim_airport WHERE airport_key < '8')"),
         "joi_06": W(CORE, "\npublished AS (SELECT * FROM staging WHERE _ingested_at < TIMESTAMP '2000-01-01 00:00:00')",
                     _dims("published", "_pub")) + _orphan_check("date", "dim_date_pub"),
-        "joi_07": W(CORE, MARTS) + _declarative("relationships"),
+        "joi_07": W(CORE, MARTS) + _declarative("relationships").replace(
+            "FROM dim_date p WHERE", "FROM dim_date p WHERE p.month <> 3 AND").replace(
+            "FROM dim_carrier p WHERE", "FROM dim_carrier p WHERE p.carrier_key < '8' AND").replace(
+            "FROM dim_airport p WHERE", "FROM dim_airport p WHERE p.airport_key < '8' AND"),
         "joi_08": W(BRONZE, "\nrenamed AS (SELECT * REPLACE (lower(carrier_name) AS carrier_name) FROM reload)",
                     "\nbronze_r AS (SELECT * FROM batch1 UNION ALL SELECT * FROM renamed)",
                     _staging("bronze_r"), _dims(), _fact())
@@ -542,7 +579,12 @@ SELECT * FROM (SELECT 'latest_month', CAST(month_start AS VARCHAR), delay_rate_p
     for key in ("snk_06", "snk_11", "snk_12"):
         sql[key] = core + f"SELECT {fact_cols} FROM fact"
     sql["snk_07"] = core + f"SELECT {fact_cols} FROM fact WHERE year = 1998"
-    sql["snk_09"] = core + f"SELECT {staging_cols} FROM staging"
+    undated = present(STAGING_COLS).replace("airline_delay_id", "CAST(NULL AS VARCHAR) AS airline_delay_id", 1).replace(
+        "year", "CAST(NULL AS INTEGER) AS year", 1)
+    sql["snk_09"] = W(CORE, _staging("batch1", "first_staging"), "\nsecond_staging AS (SELECT * FROM staging WHERE _ingested_at > "
+                      "(SELECT max(_ingested_at) FROM first_staging))") + (
+        f"SELECT {staging_cols} FROM staging UNION ALL SELECT {undated} FROM first_staging WHERE month = 2 "
+        f"UNION ALL SELECT {undated} FROM second_staging WHERE month = 2")
     sql["snk_15"] = core + ("SELECT carrier_key, carrier, lower(carrier_name) AS carrier_name, "
                             "TIMESTAMP '2024-02-01 00:00:00' AS _updated_at FROM dim_carrier")
     sql["str_04"] = core + "SELECT airline_delay_id, md5(carrier) AS carrier_key, md5(airport) AS airport_key FROM staging"
@@ -585,10 +627,10 @@ SELECT * FROM (SELECT 'latest_month', CAST(month_start AS VARCHAR), delay_rate_p
     sql["dq_03"] = check_row("unique_line_key", "source", "ERROR", n_dup, "'Line key is unique.'",
                              f"'Found ' || CAST({n_dup} AS VARCHAR) || "
                              "' duplicate row(s) on key column(s): [l_orderkey, l_linenumber].'")
-    sql["dq_04"] = core + "\nUNION ALL\n".join([
-        _range_check("month_range", "silver", "ERROR", "month", 1, 12, "staging", "All month values are in range [1, 12]."),
-        _range_check("flights_range", "silver", "ERROR", "arr_flights", 1, 500, "staging", "Flights in range."),
-        _range_check("carrier_ct_range", "silver", "WARN", "carrier_ct", 0, 1, "staging", "carrier_ct in range."),
+    sql["dq_04"] = W(CORE, DIRTY) + "\nUNION ALL\n".join([
+        _range_check("month_range", "silver", "ERROR", "month", 1, 12, "dirty", "All month values are in range [1, 12]."),
+        _range_check("flights_range", "silver", "ERROR", "arr_flights", 1, 500, "dirty", "Flights in range."),
+        _range_check("carrier_ct_range", "silver", "WARN", "carrier_ct", 0, 1, "dirty", "carrier_ct in range."),
     ])
     sql["dq_05"] = core + "\nUNION ALL\n".join([
         _consistency("delay_minutes_consistency", DELAY_COLUMNS[1:], "arr_delay"),
@@ -597,10 +639,17 @@ SELECT * FROM (SELECT 'latest_month', CAST(month_start AS VARCHAR), delay_rate_p
     ])
     sql["dq_06"] = W(BRONZE, "\nev AS (SELECT CAST(ts AS TIMESTAMP) AS _ingested_at FROM events)") + \
         _freshness("bronze", "bronze") + "\nUNION ALL\n" + _freshness("ev", "events")
-    sql["dq_10"] = core + _silver_unique()
-    sql["dq_13"] = core + _non_negative()
-    sql["dq_20"] = core_marts + _declarative("unique")
-    sql["dq_21"] = core_marts + _declarative("not_null")
+    dirty = W(CORE, DIRTY)
+    of_dirty = lambda text: text.replace("FROM staging", "FROM dirty")
+    sql["dq_10"] = dirty + of_dirty(_silver_unique())
+    sql["dq_13"] = dirty + of_dirty(_non_negative())
+    sql["dq_20"] = W(CORE, DIRTY, MARTS) + of_dirty(_declarative("unique"))
+    sql["dq_21"] = W(CORE, DIRTY, MARTS) + of_dirty(_declarative("not_null"))
+    too_long = {c: f"(SELECT count(*) FROM bronze WHERE length({c}) > {n})" for c, n in TEXT_LIMITS.items()}
+    sql["dq_23"] = W(BRONZE) + check_row(
+        "text_lengths", "bronze", "ERROR", "(" + " + ".join(too_long.values()) + ")", "'All text columns fit their declared lengths.'",
+        "concat_ws('; ', " + ", ".join(f"CASE WHEN {n} > 0 THEN 'Column ''{c}'' has ' || CAST({n} AS VARCHAR) || "
+                                       f"' value(s) longer than {TEXT_LIMITS[c]} characters.' END" for c, n in too_long.items()) + ")")
     sql["dq_22"] = core_marts + _declarative("relationships")
 
     run = _run_core()

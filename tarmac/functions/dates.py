@@ -49,9 +49,10 @@ def month_key_of(ts: str | Column) -> Column:
     return F.date_format(F.trunc(_c(ts), "MM"), "yyyy-MM-dd")
 
 
-def age_hours(now: str | Column, ts: str | Column) -> Column:
-    """Hours between ``ts`` and ``now`` as a double, microsecond exact."""
-    return (F.unix_micros(_c(now)) - F.unix_micros(_c(ts))) / F.lit(3_600_000_000.0)
+def utc_stamp(when: dt.datetime) -> Column:
+    """A timestamp literal; a datetime without a zone is UTC, not the driver's zone."""
+    aware = when if when.tzinfo else when.replace(tzinfo=dt.timezone.utc)
+    return F.timestamp_micros(F.lit((aware - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)))
 
 
 def age_tenths_half_up(now: str | Column, ts: str | Column) -> Column:

@@ -22,11 +22,6 @@ def nullif_zero(c: str | Column) -> Column:
     return F.when(col != 0, col)
 
 
-def round_half_up(c: str | Column, digits: int = 2) -> Column:
-    """Decimal round (HALF_UP, i.e. half away from zero on decimals)."""
-    return F.round(_c(c), digits)
-
-
 def exact_ratio(num: str | Column, den: str | Column, num_scale: int = 0, factor: int = 1, digits: int = 2) -> Column:
     """``round(num * factor / den, digits)`` half away from zero, as double.
 

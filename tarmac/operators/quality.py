@@ -16,7 +16,7 @@ schema, which a caller may show, write, or turn into an exception.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -30,6 +30,7 @@ MSG_MIN_ROWS = "Expected at least {min} row(s), but found {n}."
 MSG_DUPLICATES = "Found {n} duplicate row(s) on key column(s): [{cols}]."
 MSG_BELOW = "Column '{col}' has {n} value(s) below minimum {min}."
 MSG_ABOVE = "Column '{col}' has {n} value(s) above maximum {max}."
+MSG_TOO_LONG = "Column '{col}' has {n} value(s) longer than {max} characters."
 MSG_CONSISTENCY = "{n} row(s) where [{cols}] differs from '{total}' by more than {tol}."
 MSG_NO_TIMESTAMPS = "No ingestion timestamps found — table may be empty."
 MSG_STALE = "Latest ingestion is {hours} hour(s) old, exceeding the {max}-hour freshness threshold."
@@ -137,9 +138,18 @@ def freshness(ts_col: str, now: Column, max_age_hours: int, check: str, layer: s
     return Rule(check, layer, severity, [m], F.when(stale, 1).otherwise(0), msg, F.lit(success))
 
 
-def count_rule(check: str, layer: str, severity: str, failure_prefix: str, failure_suffix: str, success: str) -> Rule:
-    """Violations = number of rows of the (derived) frame, e.g. orphan rows."""
-    m, n = metric(F.count(F.lit(1)))
+def text_length(limits: Mapping[str, int], check: str, layer: str, severity: str = "ERROR",
+                success: str = "All text columns fit their declared lengths.") -> Rule:
+    """Values longer than their column's limit (code points); NULLs fit. One message per column."""
+    metrics, counts = zip(*[metric(F.count_if(F.length(c) > limit)) for c, limit in limits.items()])
+    msgs = [F.when(n > 0, message(MSG_TOO_LONG, col=c, n=n, max=limit)) for (c, limit), n in zip(limits.items(), counts)]
+    return Rule(check, layer, severity, list(metrics), sum(counts[1:], counts[0]), F.concat_ws("; ", *msgs), F.lit(success))
+
+
+def count_rule(check: str, layer: str, severity: str, failure_prefix: str, failure_suffix: str, success: str,
+               weight: str | None = None) -> Rule:
+    """Violations = number of rows of the (derived) frame, or the sum of ``weight``, e.g. orphan rows."""
+    m, n = metric(F.coalesce(F.sum(weight), F.lit(0)) if weight else F.count(F.lit(1)))
     return Rule(check, layer, severity, [m], n, F.concat(F.lit(failure_prefix), n.cast("string"), F.lit(failure_suffix)),
                 F.lit(success))
 
@@ -158,12 +168,16 @@ def duplicates_rule(keys: Sequence[str], check: str, layer: str, severity: str =
 
 
 def orphans_frame(child: DataFrame, parent: DataFrame, key: str, skip_null: bool = False) -> DataFrame:
-    """Child rows whose key has no parent row (anti join; NULL keys count
-    as orphans unless ``skip_null``)."""
+    """Child keys without a parent row, each with its number of rows ``__n``
+    (NULL keys count as orphans unless ``skip_null``).
+
+    The child is counted per key first, combined in each task, so only one
+    row per key and task is shuffled for the anti join, however skewed the key.
+    """
     c = child.select(key)
     if skip_null:
         c = c.where(F.col(key).isNotNull())
-    return c.join(parent.select(key), key, "left_anti")
+    return c.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).join(parent.select(key), key, "left_anti")
 
 
 def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

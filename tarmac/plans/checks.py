@@ -51,8 +51,8 @@ def _ok(name: str) -> str:
 
 
 def _count_check(name: str, layer: str, condition: Column | None = None) -> Q.Rule:
-    """Violations = rows of the frame (matching ``condition``), fixed messages."""
-    m, n = Q.metric(F.count_if(condition) if condition is not None else F.count(F.lit(1)))
+    """Violations = rows matching ``condition``, or the sum of ``__n`` (rows per key); fixed messages."""
+    m, n = Q.metric(F.count_if(condition) if condition is not None else F.coalesce(F.sum("__n"), F.lit(0)))
     return Q.Rule(name, layer, _sev(name), [m], n, Q.message(CHECKS[name][2], n=n), F.lit(_ok(name)))
 
 
@@ -182,5 +182,5 @@ def relationship_tests(models: Mapping[str, DataFrame], tests=RELATIONSHIP_TESTS
     for child, key, parent in tests:
         orphans = Q.orphans_frame(models[child], models[parent], key, skip_null=True)
         frames.append(Q.evaluate(orphans, [Q.count_rule(f"relationships_{child}_{key}", child, "ERROR", "",
-                                                         " failing row(s).", "Passed.")]))
+                                                         " failing row(s).", "Passed.", weight="__n")]))
     return Q.union_all(frames)

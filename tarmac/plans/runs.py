@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions.dates import parse_month_key, month_keys
+from tarmac.functions.dates import month_keys, parse_month_key, utc_stamp
 from tarmac.operators.broadcast import DIM_BROADCAST_ROWS
 from tarmac.operators.quality import union_all
 from tarmac.plans import checks
@@ -23,7 +23,7 @@ from tarmac.plans.dims import dim_airport, dim_carrier, dim_date
 from tarmac.plans.fact import fact_flight_delays
 from tarmac.plans.marts import carrier_delay_performance, monthly_delay_trends
 from tarmac.plans.rollup import carrier_state, monthly_state
-from tarmac.plans.staging import check_schema, stage
+from tarmac.plans.staging import check_schema, check_target, stage
 from tarmac.schemas import BRONZE, CSV_COLUMNS, FACT_COLUMNS
 from tarmac.sinks import tables as sink
 from tarmac.sources.csv_source import read_raw_csv
@@ -31,10 +31,10 @@ from tarmac.sources.csv_source import read_raw_csv
 
 
 def stamp_batch(df: DataFrame, ingested_at: dt.datetime | Column | None = None) -> DataFrame:
-    """Add ``_ingested_at``: one timestamp for the whole batch, taken once."""
+    """Add ``_ingested_at``: one timestamp for the whole batch, taken once (naive ones are UTC)."""
     if ingested_at is None:
-        ingested_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    ts = ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at).cast("timestamp")
+        ingested_at = dt.datetime.now(dt.timezone.utc)
+    ts = ingested_at if isinstance(ingested_at, Column) else utc_stamp(ingested_at)
     return df.select(*CSV_COLUMNS).withColumn("_ingested_at", ts)
 
 
@@ -52,6 +52,8 @@ def load_silver(store: sink.Store, normalise_first: bool = True) -> int:
     target = store.read("staging") if store.exists("staging") else None
     batch = stage(store.read("bronze"), target, normalise_first=normalise_first)
     check_schema(batch)
+    if target is not None:
+        check_target(target, batch)
     with sink.scratch_table(batch, store, "staging_batch") as written:  # read three times by the upsert
         return sink.upsert(written, store, "staging")
 
@@ -68,7 +70,7 @@ def _broadcast_if(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= DIM_BROADCAST_ROWS else df
 
 
-def build_marts(store: sink.Store, chunk_size: int = 10_000) -> None:
+def build_marts(store: sink.Store, chunk_size: int | None = None) -> None:
     """Rebuild dims, fact and the two marts from staging (table replace)."""
     staging = store.read("staging")
     n_carrier, n_airport, n_date = in_parallel(
@@ -90,7 +92,7 @@ def build_marts(store: sink.Store, chunk_size: int = 10_000) -> None:
     )
 
 
-def publish_dims(store: sink.Store, chunk_size: int = 10_000) -> None:
+def publish_dims(store: sink.Store, chunk_size: int | None = None) -> None:
     """Gold dims: full reload from the marts, stamped with ``_updated_at``."""
     now = F.current_timestamp()
     in_parallel(*[
@@ -100,7 +102,7 @@ def publish_dims(store: sink.Store, chunk_size: int = 10_000) -> None:
     ])
 
 
-def publish_fact_years(store: sink.Store, years: list[int], chunk_size: int = 10_000) -> int:
+def publish_fact_years(store: sink.Store, years: list[int], chunk_size: int | None = None) -> int:
     """Replace the gold fact slices and the matching state slices for ``years``.
 
     Fact slice and state slices come from the same source rows, so a rerun
@@ -157,7 +159,7 @@ def all_checks(store: sink.Store, now: Column) -> DataFrame:
 
 
 def run_daily(batch: DataFrame | str, store: sink.Store, month_key: str, ingested_at=None, now=None,
-              chunk_size: int = 10_000) -> RunResult:
+              chunk_size: int | None = None) -> RunResult:
     """One scheduled run for ``month_key``: append, stage, marts, gold, checks.
 
     The gold fact is refreshed for the whole year of the month key.
@@ -168,11 +170,11 @@ def run_daily(batch: DataFrame | str, store: sink.Store, month_key: str, ingeste
     build_marts(store, chunk_size)
     publish_dims(store, chunk_size)
     fact_rows = publish_fact_years(store, [year], chunk_size)
-    now_col = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
+    now_col = utc_stamp(now) if now is not None else F.current_timestamp()
     return RunResult(bronze_rows, silver_rows, fact_rows, all_checks(store, now_col))
 
 
-def backfill(store: sink.Store, start_key: str, end_key: str, chunk_size: int = 10_000) -> int:
+def backfill(store: sink.Store, start_key: str, end_key: str, chunk_size: int | None = None) -> int:
     """Refresh gold fact slices for every year touched by [start, end] months.
 
     The month range becomes its set of years, loaded in one job, instead

@@ -23,28 +23,29 @@ from tarmac.schemas import (
 
 
 def high_water_mark(target: DataFrame):
-    """``max(_ingested_at)`` of the target, as one driver-side value (or None).
+    """``max(_ingested_at)`` of the target in microseconds since 1970 UTC (or None).
 
     A literal (unlike a scalar subquery) is pushed into the parquet scan of
     bronze, where the row-group min/max statistics skip every file of
     earlier batches: bronze only grows, so this keeps an incremental run
     proportional to the new data.
     """
-    return target.agg(F.max("_ingested_at").alias("mark")).first()["mark"]
+    return target.agg(F.unix_micros(F.max("_ingested_at")).alias("mark")).first()["mark"]
 
 
 def new_rows(bronze: DataFrame, target: DataFrame | None) -> DataFrame:
     """Rows ingested after the newest row already in ``target``.
 
     With no target, or a target without any stamp, everything is new
-    (an empty target must not block the first load).
+    (an empty target must not block the first load). Rows without a stamp are
+    loaded on a full load only.
     """
     if target is None:
         return bronze
     mark = high_water_mark(target)
     if mark is None:
         return bronze
-    return bronze.where(F.col("_ingested_at") > F.lit(mark).cast("timestamp"))
+    return bronze.where(F.col("_ingested_at") > F.timestamp_micros(F.lit(mark)))
 
 
 def dedupe_order() -> list[Column]:
@@ -68,7 +69,7 @@ def _clean(df: DataFrame) -> DataFrame:
         "_ingested_at": F.col("_ingested_at"),
     }
     for c in COUNT_COLUMNS:
-        exprs[c] = F.round(F.col(c).cast("decimal(18,6)"), 0).cast("int")
+        exprs[c] = F.round(F.col(c), 0).cast("int")
     for c in CAUSE_COUNT_COLUMNS + DELAY_COLUMNS:
         exprs[c] = F.col(c).cast(SILVER_DECIMAL)
     return df.select(*[exprs[c].alias(c) for c in STAGING_COLUMNS])
@@ -95,3 +96,13 @@ def check_schema(df: DataFrame, expected=STAGING) -> None:
     want = [(f.name, f.dataType) for f in expected.fields]
     if got != want:
         raise ValueError(f"schema drift: expected {want}, got {got}")
+
+
+def check_target(target: DataFrame, batch: DataFrame) -> None:
+    """Refuse to write a batch into a stored table of other columns or types (order aside)."""
+    stored = {f.name: f.dataType.simpleString() for f in target.schema.fields}
+    new = {f.name: f.dataType.simpleString() for f in batch.schema.fields}
+    if stored != new:
+        changed = sorted(c for c in stored.keys() | new.keys() if stored.get(c) != new.get(c))
+        raise ValueError("schema drift against the stored table: " + ", ".join(
+            f"{c}: stored {stored.get(c)}, new {new.get(c)}" for c in changed))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The column names, order and types of this module are the data contract.
 KEY_COLUMNS = ["year", "month", "carrier", "airport"]
 
 COUNT_COLUMNS = ["arr_flights", "arr_del15", "arr_cancelled", "arr_diverted"]
@@ -44,7 +45,8 @@ CSV_COLUMNS = [
 ]
 MEASURE_COLUMNS = CSV_COLUMNS[6:]
 
-BRONZE_DECIMAL = T.DecimalType(18, 6)
+# Wide enough that staging rounds the source value once.
+BRONZE_DECIMAL = T.DecimalType(32, 18)
 SILVER_DECIMAL = T.DecimalType(10, 2)
 
 
@@ -60,7 +62,7 @@ BRONZE_CSV = T.StructType(
 
 BRONZE = T.StructType(BRONZE_CSV.fields + [_field("_ingested_at", T.TimestampType())])
 
-# Declared length limits of the bronze text columns (checked, not enforced).
+# Declared length limits of the bronze text columns (checked, not enforced).
 BRONZE_TEXT_LIMITS = {"carrier": 10, "carrier_name": 100, "airport": 10, "airport_name": 200}
 
 STAGING_COLUMNS = (

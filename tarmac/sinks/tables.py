@@ -64,6 +64,13 @@ def _check_chunk(chunk_size: int | None) -> None:
         raise ValueError("chunk_size must be greater than 0")
 
 
+def _by_partition(df: DataFrame, partition_col: str) -> DataFrame:
+    """Rows of a partition value together, in evenly sized tasks (AQE merges small
+    values and splits large ones), so a write opens about one file per value and
+    advisory size instead of one per task and value."""
+    return df.hint("rebalance", partition_col)
+
+
 def _observed(df: DataFrame, label: str, *extra) -> tuple[DataFrame, Observation]:
     obs = Observation(f"{label}_{uuid.uuid4().hex[:8]}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra), obs
@@ -79,11 +86,11 @@ def append(df: DataFrame, store: Store, table: str, partition_by: Sequence[str]
     return int(obs.get.get("rows", 0))
 
 
-def full_reload(df: DataFrame, store: Store, table: str, chunk_size: int | None = 10_000) -> int:
+def full_reload(df: DataFrame, store: Store, table: str, chunk_size: int | None = None) -> int:
     """Truncate-and-insert: the table afterwards holds exactly ``df``.
 
-    ``chunk_size`` bounds the rows per output file (the insert batch of
-    the original loader); it must be positive.
+    ``chunk_size`` optionally bounds the rows per output file; it must be
+    positive. Without it files follow the tasks' sizes.
     """
     _check_chunk(chunk_size)
     observed, obs = _observed(df, "reload")
@@ -100,14 +107,14 @@ def _insert_columns(df: DataFrame, store: Store, table: str) -> list[str]:
 
 
 def replace_slice(df: DataFrame, store: Store, table: str, year: int, partition_col: str = "year",
-                  chunk_size: int | None = 10_000) -> int:
+                  chunk_size: int | None = None) -> int:
     """Replace partition ``year`` with the rows of ``df`` for that year;
     an empty slice leaves the partition empty (it is dropped)."""
     return replace_slices(df, store, table, [year], partition_col, chunk_size)
 
 
 def replace_slices(df: DataFrame, store: Store, table: str, years: Iterable[int], partition_col: str = "year",
-                   chunk_size: int | None = 10_000) -> int:
+                   chunk_size: int | None = None) -> int:
     """Replace several year partitions in one job (dynamic partition overwrite).
 
     Years of ``years`` with no rows in ``df`` are dropped afterwards, so an
@@ -118,14 +125,14 @@ def replace_slices(df: DataFrame, store: Store, table: str, years: Iterable[int]
     years = sorted({int(y) for y in years})
     if not store.exists(table):  # first load: a plain partitioned write
         cols = [c for c in df.columns if c != partition_col] + [partition_col]
-        observed, obs = _observed(df.where(F.col(partition_col).isin(years)).select(*cols), "slices")
+        observed, obs = _observed(_by_partition(df.where(F.col(partition_col).isin(years)).select(*cols), partition_col), "slices")
         writer = observed.write.format("parquet").partitionBy(partition_col)
         if chunk_size:
             writer = writer.option("maxRecordsPerFile", chunk_size)
         writer.saveAsTable(store.name(table))
         return int(obs.get.get("rows", 0))
     cols = _insert_columns(df, store, table)
-    scoped = df.where(F.col(partition_col).isin(years)).select(*cols)
+    scoped = _by_partition(df.where(F.col(partition_col).isin(years)).select(*cols), partition_col)
     observed, obs = _observed(scoped, "slices", F.collect_set(partition_col).alias("years"))
     spark = df.sparkSession
     writer = observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -140,19 +147,23 @@ def replace_slices(df: DataFrame, store: Store, table: str, years: Iterable[int]
 
 
 def upsert(batch: DataFrame, store: Store, table: str, key: str = "airline_delay_id",
-           partition_col: str = "year") -> int:
+           partition_col: str = "year", version_col: str | None = None) -> int:
     """delete+insert by ``key``: rows of ``batch`` replace rows with the same key.
 
     Only partitions touched by the batch are rewritten: the existing rows of
     those partitions minus the batch keys (anti join) plus the batch are
     staged to a new table, then swapped in with a dynamic overwrite. A key
     cannot move between partitions because the partition column is part of
-    the key. NULL keys never match, so existing NULL-key rows stay.
+    the key. NULL keys never match, so existing NULL-key rows stay, those of
+    the NULL partition included.
+    With ``version_col`` a stored row whose version is newer (NULL is newest)
+    stays and the batch row is left out, whatever the order of arrival; at
+    equal versions the later arrival wins.
     ``batch`` should be materialised: it is read for its years, its keys
     and its rows. Returns the row count of the rewritten partitions.
     """
     if not store.exists(table):  # first load: nothing to replace
-        observed, obs = _observed(batch, "upsert")
+        observed, obs = _observed(_by_partition(batch, partition_col), "upsert")
         observed.write.format("parquet").partitionBy(partition_col).saveAsTable(store.name(table))
         return int(obs.get.get("rows", 0))
     cols = _insert_columns(batch, store, table)
@@ -161,21 +172,30 @@ def upsert(batch: DataFrame, store: Store, table: str, key: str = "airline_delay
     touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
     if not touched:
         return 0
-    existing = store.read(table).where(F.col(partition_col).isin(touched))
+    in_touched = F.col(partition_col).isin([y for y in touched if y is not None])
+    if None in touched:
+        in_touched = F.col(partition_col).isNull() | in_touched
+    existing = store.read(table).where(in_touched)
+    if version_col:
+        stored = existing.select(F.col(key).alias("__key"), F.col(version_col).alias("__version"))
+        newer = (F.col("__version").isNull() & F.col(version_col).isNotNull()) | (F.col("__version") > F.col(version_col))
+        batch = batch.join(stored, (F.col(key) == F.col("__key")) & newer, "left_anti")
     kept = existing.join(batch.select(key), key, "left_anti")  # duplicate batch keys cannot change an anti join
     merged = kept.select(*cols).unionByName(batch.select(*cols))
     stage_name = f"{table}__stage_{uuid.uuid4().hex[:8]}"
-    merged.write.format("parquet").partitionBy(partition_col).saveAsTable(store.name(stage_name))
     spark = batch.sparkSession
-    observed, obs = _observed(store.read(stage_name).select(*cols), "upsert")
-    observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(store.name(table))
-    spark.sql(f"DROP TABLE IF EXISTS {store.name(stage_name)}")
+    try:
+        _by_partition(merged, partition_col).write.format("parquet").partitionBy(partition_col).saveAsTable(store.name(stage_name))
+        observed, obs = _observed(_by_partition(store.read(stage_name).select(*cols), partition_col), "upsert")
+        observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(store.name(table))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {store.name(stage_name)}")
     return int(obs.get.get("rows", 0))
 
 
 def write_layout(df: DataFrame, store: Store, table: str, partition_col: str = "year",
                  sort_cols: Sequence[str] = ("carrier_key", "airport_key", "date_key"),
-                 bloom_cols: Sequence[str] = ("carrier", "airport"), chunk_size: int | None = 10_000) -> int:
+                 bloom_cols: Sequence[str] = ("carrier", "airport"), chunk_size: int | None = None) -> int:
     """Full write with the serving layout of the fact table.
 
     Rows are range-partitioned on (partition, sort key) and sorted inside

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.operators.broadcast import bounded_broadcast
-from tarmac.schemas import BRONZE, BRONZE_DECIMAL, CSV_COLUMNS
+from tarmac.schemas import BRONZE_DECIMAL, CSV_COLUMNS
 from tarmac.sources.tables import read_table
 
 # Fixed values of the adapter (part of the data contract, see SURVEY §7.3).
@@ -217,7 +217,3 @@ def with_redelivery(first: DataFrame) -> DataFrame:
         *CSV_COLUMNS[7:],
         F.when(again, F.col("_ingested_at") + shift).otherwise(F.col("_ingested_at")).alias("_ingested_at"),
     )
-
-
-def bronze_schema_ok(df: DataFrame) -> bool:
-    return [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in BRONZE.fields]

@@ -7,15 +7,17 @@ folder) remembers which files were processed, which replaces the
 ``max(_ingested_at)`` high-water-mark query. Each micro-batch is deduped
 and cleaned by the batch staging model and upserted by surrogate key; the
 upsert is idempotent, so a micro-batch replayed after a failure leaves the
-same table.
+same table, and keeps a stored record that is newer than the arriving one, so
+late files of older records change nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac.plans.staging import check_schema, stage
-from tarmac.schemas import BRONZE, STAGING_COLUMNS
+from tarmac.schemas import BRONZE, BRONZE_DECIMAL, STAGING_COLUMNS
 from tarmac.session import work_dir
 from tarmac.sinks import tables as sink
 from tarmac.sources.star_adapter import bronze_batch, reload_batch
@@ -29,7 +31,7 @@ def start_staging_stream(spark: SparkSession, bronze_dir: str, store: sink.Store
         staged = stage(batch, None, normalise_first=normalise_first)
         check_schema(staged)
         with sink.scratch_table(staged, store, "staging_batch") as written:
-            sink.upsert(written, store, "staging")
+            sink.upsert(written, store, "staging", version_col="_ingested_at")
 
     source = spark.readStream.schema(BRONZE).parquet(bronze_dir)
     return (
@@ -41,7 +43,8 @@ def start_staging_stream(spark: SparkSession, bronze_dir: str, store: sink.Store
 
 
 def stream_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two deliveries arrive one after the other; each run picks up only the new one."""
+    """Three deliveries arrive one after the other, the last an old one of other values
+    that comes late; each run picks up only the new files."""
     root = work_dir(spark, "stream")
     bronze_dir, checkpoint = f"{root}/bronze", f"{root}/_checkpoint"
     store = sink.Store(spark, f"{root}/tables")
@@ -50,4 +53,8 @@ def stream_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     start_staging_stream(spark, bronze_dir, store, checkpoint).awaitTermination()
     reload_batch(spark.read.schema(BRONZE).parquet(bronze_dir)).write.mode("append").parquet(bronze_dir)
     start_staging_stream(spark, bronze_dir, store, checkpoint).awaitTermination()
+    late = bronze_batch(spark, sf_dir).withColumn("arr_flights", (F.col("arr_flights") + 7).cast(BRONZE_DECIMAL)).withColumn(
+        "_ingested_at", F.col("_ingested_at") - F.expr("INTERVAL 365 DAYS"))
+    late.select([f.name for f in BRONZE.fields]).write.mode("append").parquet(bronze_dir)
+    start_staging_stream(spark, bronze_dir, store, checkpoint).awaitTermination()
     return store.read("staging").select(*STAGING_COLUMNS)
