@@ -32,4 +32,42 @@ SELECT doc_id, size, s AS source_size, target,
 FROM summed
 """
 
-ORACLE: dict[str, str] = {"op2_source_mix": OP2}
+OP7 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, source AS host, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents),
+windows AS (
+  SELECT rid, i, array_to_string(ws[i:i + 7], ' ') AS g
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 6)) AS i FROM docs WHERE len(ws) >= 8)),
+repeats AS (SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+covered AS (
+  SELECT rid, sum(least(8, following - i)) AS n
+  FROM (SELECT rid, i, coalesce(lead(i) OVER (PARTITION BY rid ORDER BY i), i + 8) AS following FROM repeats) GROUP BY rid),
+lines AS (
+  SELECT rid, host, t, trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g')) AS line,
+         len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT rid, host, t, unnest(ls) AS l FROM docs)),
+hosts AS (SELECT host, count(DISTINCT t) AS docs FROM docs GROUP BY host),
+frequent AS (
+  SELECT f.host, f.line
+  FROM (SELECT host, line, count(DISTINCT t) AS c FROM lines GROUP BY host, line HAVING count(DISTINCT t) > 10) f
+  JOIN hosts h ON f.host IS NOT DISTINCT FROM h.host WHERE f.c > 0.02 * h.docs),
+gone AS (
+  SELECT l.rid, sum(l.n) AS n FROM lines l JOIN frequent f ON l.line = f.line AND l.host IS NOT DISTINCT FROM f.host GROUP BY l.rid),
+counted AS (
+  SELECT d.doc_id, len(d.ws)::BIGINT AS n_words,
+         coalesce(list_sum(list_transform(d.ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(d.t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         (len(d.ls) - len(list_distinct(d.ls)))::BIGINT AS n_dup_lines,
+         coalesce(c.n, 0)::BIGINT AS n_repeat_words, coalesce(g.n, 0)::BIGINT AS boilerplate_words
+  FROM docs d LEFT JOIN covered c ON d.rid = c.rid LEFT JOIN gone g ON d.rid = g.rid),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, boilerplate_words,
+       NOT base_failed AND n_words - boilerplate_words >= 20
+         AND n_words - boilerplate_words >= 0.3 * n_words AS kept
+FROM judged
+"""
+
+ORACLE: dict[str, str] = {"op2_source_mix": OP2, "op7_line_rules": OP7}
