@@ -112,3 +112,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint root for one job's tables."""
     return f"{checkpoint_root(spark)}/tarmac-work/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete every lineage cut and store folder under the shared checkpoint root.
+
+    For the end of a job: frames that read those tables stop working.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/tarmac-work")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

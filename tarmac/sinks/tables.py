@@ -45,6 +45,10 @@ class Store:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
+    def drop(self) -> None:
+        """Drop the database with its tables and files (frames read from it stop working)."""
+        self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
+
 
 @contextmanager
 def scratch_table(df: DataFrame, store: Store, label: str) -> Iterator[DataFrame]:

@@ -35,7 +35,9 @@ def spark(tmp_path_factory):
 def store(spark):
     from tarmac.sinks.tables import Store
 
-    return Store(spark)
+    s = Store(spark)
+    yield s
+    s.drop()
 
 
 def plan_text(df, mode: str = "formatted") -> str:

@@ -120,3 +120,18 @@ def test_reader_sees_a_changed_schema(spark, tmp_path):
     assert read_table(spark, str(tmp_path), "t").columns == ["id"]
     spark.range(1).withColumn("x", F.lit(1)).write.mode("overwrite").parquet(f"{tmp_path}/t.parquet")
     assert read_table(spark, str(tmp_path), "t").columns == ["id", "x"]
+
+
+def test_stores_and_work_folders_can_be_dropped(spark, store):
+    import pathlib
+
+    from tarmac.plans.layers import materialise
+    from tarmac.session import checkpoint_root, clear_work
+
+    other = sink.Store(spark)
+    sink.append(spark.range(3), other, "t")
+    other.drop()
+    assert not spark.catalog.databaseExists(other.database)
+    assert materialise(spark.range(3)).count() == 3
+    clear_work(spark)
+    assert not (pathlib.Path(checkpoint_root(spark).removeprefix("file:")) / "tarmac-work").exists()
