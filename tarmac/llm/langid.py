@@ -37,7 +37,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     plain[[*range(65, 91), *range(97, 123)]] = False
     gap = (code < 128) & plain[np.minimum(code, 127)]
     code = np.where(gap, np.uint32(32), code)
-    keep = np.r_[True, ~(gap[1:] & gap[:-1])]
+    keep = np.r_[True, ~(gap[1:] & gap[:-1] & (owner[1:] == owner[:-1]))]
     code, owner = code[keep], owner[keep]
     slots, owners = [], []
     for n in GRAMS:
