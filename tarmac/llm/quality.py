@@ -102,7 +102,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
         chosen = part if chosen is None else chosen.unionByName(part)
     chosen = F.broadcast(chosen.select(F.col("doc_id").alias("__id"), "__label"))  # at most 4 x per_class rows
     sample = (docs.select("doc_id", text_or_empty().alias("text")).join(chosen, F.col("doc_id") == F.col("__id"))
-              .groupBy("doc_id", "__label").agg(F.min(F.substring("text", 1, 200_000)).alias("text")))
+              .groupBy("doc_id", "__label").agg(F.min("text").alias("text")))
     sample = sample.withColumn("h", F.xxhash64("doc_id", F.lit(17)))
     rows: list = []
     for value in (0, 1):

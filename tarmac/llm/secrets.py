@@ -114,7 +114,7 @@ def labelled_findings(docs: DataFrame, found: DataFrame, sample: int = SAMPLE) -
     seen = [picked(real.where(named & ~only_digits & F.col("candidate").rlike(r"\d")).withColumn("label", F.lit(1.0)), "candidate"),
             picked(real.where(~named | only_digits).withColumn("label", F.lit(0.0)), "candidate")]
     h = F.sha2(F.col("text").cast("binary"), 256)
-    pieces = picked(docs.select(F.substring(text_or_empty(), 1, 2000).alias("text")).where("length(text) > 100").distinct(), "text").withColumn("h", h)
+    pieces = picked(docs.select(text_or_empty().alias("text")).where("length(text) > 100"), "text").distinct().withColumn("h", h)
     w = F.filter(F.split(F.regexp_replace(F.lower(F.substring("text", 1, 400)), r"[^a-z\s]+", ""), r"\s+"), lambda x: F.length(x) > 2)
     number = F.substring(F.conv(F.substring("h", 1, 15), 16, 10), 1, 6)
     pieces = pieces.withColumn("w", w).withColumn("number", number).where("size(w) >= 6")
@@ -161,7 +161,7 @@ def judge(found: DataFrame, words: DataFrame, model: RandomForestClassificationM
 
 
 def scan(tagged: DataFrame, findings: DataFrame | None = None, key: str = UID) -> DataFrame:
-    """Judged findings (key, candidate, start, occurrences, before, after, score) of rows with a unique ``key``."""
+    """Judged findings (key, candidate, start, occurrences, before, after, score): one per distinct candidate of a row."""
     found = materialise(candidates(tagged, text_or_empty(), key), "found")
     words = materialise(dictionary(tagged), "dictionary")
     model = train(labelled_findings(tagged, found) if findings is None else findings, words)
@@ -172,9 +172,8 @@ def secret_table(docs: DataFrame, findings: DataFrame | None = None, threshold:
     """One row per distinct candidate of a document: doc_id, start (code points), length,
     occurrences, candidate_sha256, score, is_secret. Null and empty texts have none;
     repeated rows are reported each; an empty table gives an empty result."""
-    tagged = with_row_ids(docs.select("doc_id", "text"), "secrets")
-    judged = scan(tagged, findings)
-    return judged.join(tagged.select(UID, "doc_id"), UID).select(
+    judged = scan(docs.select("doc_id", "text"), findings, key="doc_id")
+    return judged.select(
         "doc_id", "start", F.length("candidate").cast("long").alias("length"), "occurrences",
         F.sha2(F.col("candidate").cast("binary"), 256).alias("candidate_sha256"), "score", (F.col("score") >= threshold).alias("is_secret"))
 
