@@ -126,7 +126,7 @@ def bloom_of(values: DataFrame, column: str) -> np.ndarray:
                                    pa.array([batch.column(1).to_numpy().astype("<i8").tobytes()], pa.binary())], names=["word", "bits"])
 
     table = np.zeros(BLOOM_BITS // 64, np.int64)
-    for word, bits in words.mapInArrow(pack, "word binary, bits binary").toLocalIterator():
+    for word, bits in words.mapInArrow(pack, "word binary, bits binary").collect():
         table[np.frombuffer(word, "<u4")] = np.frombuffer(bits, "<i8")
     return table.view(np.uint64)
 
