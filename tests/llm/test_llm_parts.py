@@ -179,3 +179,13 @@ def test_quality_model_without_and_with_labels():
 def test_merged_spans():
     assert repeats.merged([(0, 5), (3, 9), (9, 12), (20, 21)]) == [(0, 12), (20, 21)]
     assert zlib.crc32(b"") == 0  # the fold of a null id
+
+
+def test_batch_words_equal_the_word_rule():
+    import pyarrow as pa
+
+    texts = ["", " \t\n\x0b\x0c\r", "A b\x0bC\x0cd\re", "x\x1cy z\x85w", " Été  ÀB ", "a"]
+    bags = lm.Bags.of(pa.array(texts, pa.string()))
+    got = [[bags.words[i] for i in bags.ids[bags.owner == t]] for t in range(len(texts))]
+    want = [[w.encode().lower() for w in WORD.findall(t)] for t in texts]
+    assert got == want == [lm.tokens_of(t) for t in texts]
