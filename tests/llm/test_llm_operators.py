@@ -291,3 +291,13 @@ def test_repeats_by_hand(spark, hot):
         runs = int((np.diff(np.r_[False, gone].astype(int)) == 1).sum())
         want[(doc_id, len(b), bytes(np.frombuffer(b, np.uint8)[~gone[:-1]]), int(gone.sum()), runs)] += 1
     assert Counter((r.doc_id, r.n_bytes, bytes(r.kept), r.n_removed, r.n_spans) for r in got) == want
+
+
+def test_lm_scores_the_order_of_words(spark):
+    text = "the small dog saw the large cat under the old tree"
+    shuffled = " ".join(sorted(text.split()))
+    rows = [(i, text if i % 2 else "a cat and a dog") for i in range(200, 260)] + [(1, text), (2, shuffled), (3, None)]
+    got = {r.doc_id: r for r in lm.lm_table(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].score > got[2].score + 1 and got[1].n_bytes == got[2].n_bytes == len(text) + 2
+    assert got[3].n_bytes == 1
+    assert all(abs(r.bits_per_byte + r.score * math.log2(10) / r.n_bytes) < 1e-9 for r in got.values())

@@ -189,3 +189,16 @@ def test_batch_words_equal_the_word_rule():
     got = [[bags.words[i] for i in bags.ids[bags.owner == t]] for t in range(len(texts))]
     want = [[w.encode().lower() for w in WORD.findall(t)] for t in texts]
     assert got == want == [lm.tokens_of(t) for t in texts]
+
+
+def test_contexts_cross_words_and_chunks():
+    rng = np.random.default_rng(0)
+    words = [bytes(rng.integers(97, 100, rng.integers(1, 5)).astype(np.uint8)) for _ in range(40)] + [b""]
+    texts, zeros = np.repeat([0, 1], [20, 21]), np.zeros(41, int)
+    whole = lm.spell(words, zeros, texts)
+    parts = list(lm.spelled(words, zeros, texts, 7))
+    for k in range(lm.CONTEXTS):
+        assert (np.concatenate([s[3][k] for _, _, s in parts]) == whole[3][k]).all()
+        assert (lm.spell(words[20:], zeros[20:], texts[20:])[3][k] == whole[3][k][whole[1] >= 20]).all()
+    moved = lm.spell(words[::-1][1:], zeros[:40], texts[:40])
+    assert len(moved[0]) == len(whole[0]) - 1 and set(moved[3][6]) != set(whole[3][6])
