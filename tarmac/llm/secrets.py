@@ -1,8 +1,8 @@
 """Secret scan: candidate strings judged by a random forest, DataFrame functions only.
 
-Candidates are long runs of key characters with a digit, and values assigned
-to a credential-like name. Features: length, character classes and their
-transitions, dictionary coverage (letters inside words of the corpus's most
+Candidates are long runs of key characters with a digit, dotted tokens, and values
+assigned to a credential-like name: quoted ones up to the closing quote, others up to
+white space. Features: length, character classes and their transitions, other symbols, dictionary coverage (letters inside words of the corpus's most
 frequent words), path shape, and the neighbouring words. The forest is fit on
 a bounded sample of labelled findings and removes the false positives
 (numbers, paths, slugs, identifiers).
@@ -24,10 +24,16 @@ from tarmac.plans.layers import materialise
 from tarmac.session import work_dir
 
 # What a credential is called, and what a candidate looks like.
-NAMES = r"token|secret|passwd|password|pwd|api_?key|apikey|access_?key|auth|credential|private_?key"
+NAMES = r"token|secret|passwd|password|pwd|api[_-]?key|access[_-]?key|auth|authorization|credential|private[_-]?key"
+GIVEN = rf"(?i)(?:{NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}"
 LONG_RUN = r"(?<![\w+/-])(?=[A-Za-z+/_-]*\d)[\w+/-]{16,}={0,2}"
-ASSIGNED = rf"(?i)(?:{NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?([^\s\"'#&%$*|<>,;!]{{8,}})"
-NAME_BEFORE = rf"(?i)(?:{NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?$"
+DOTTED = r"(?<![\w+/.-])(?=[A-Za-z_.-]*\d)(?=[\w.-]{16})[\w-]{6,}(?:\.[\w-]{6,}){1,8}"
+# a quoted value goes up to its closing quote, any other up to white space
+ASSIGNED = [GIVEN + r'"(?=[^\n]{8})([^"\\\n]*+(?:\\.[^"\\\n]*+){0,200}+)"',
+            GIVEN + r"'(?=[^\n]{8})([^'\\\n]*+(?:\\.[^'\\\n]*+){0,200}+)'",
+            GIVEN + r"(?:\"(?![^\"\n]*\")|'(?![^'\n]*'))?+([^\s\"']\S{7,})",
+            r"(?i)\bbearer\s{1,3}([\w+/.~-]{8,}={0,2})"]
+NAME_BEFORE = GIVEN + r"(?:bearer\s{1,3})?[\"']?$|(?i)\bbearer\s{1,3}$"
 REDACTED = "[SECRET]"
 
 CONTEXT = 40
@@ -37,7 +43,7 @@ TREES = 30
 DEPTH = 6
 THRESHOLD = 0.5
 FEATURES = ["f_length", "f_digits", "f_upper", "f_lower", "f_moves", "f_distinct", "f_hex", "f_covered", "f_path",
-            "f_named", "f_quoted", "f_words_near"]
+            "f_named", "f_quoted", "f_words_near", "f_symbols"]
 
 
 def candidates(rows: DataFrame, text: Column, key: str) -> DataFrame:
@@ -45,8 +51,9 @@ def candidates(rows: DataFrame, text: Column, key: str) -> DataFrame:
 
     ``start`` is the code point of the first occurrence; the context is taken there.
     """
-    found = F.array_distinct(F.concat(F.regexp_extract_all(text, F.lit(LONG_RUN), F.lit(0)),
-                                      F.regexp_extract_all(text, F.lit(ASSIGNED), F.lit(1))))
+    found = F.array_distinct(F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(0)) for p in (LONG_RUN, DOTTED)],
+                                      *[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in ASSIGNED]))
+    found = F.filter(found, lambda c: F.length(c) >= 8)
     spot = rows.select(key, text.alias("__text"), found.alias("__found")).where(F.size("__found") > 0)
     t = F.col("__text")
 
@@ -89,6 +96,7 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
             .withColumn("f_hex", (_chars(c, "[^0-9a-fA-F]") == n).cast("double"))
             .withColumn("f_covered", F.coalesce(F.col("covered"), F.lit(0)) / n)
             .withColumn("f_path", _chars(c, "[^/_.-]") / n)
+            .withColumn("f_symbols", _chars(c, r"[\w/.+=-]") / n)
             .withColumn("f_named", F.col("before").rlike(NAME_BEFORE).cast("double"))
             .withColumn("f_quoted", (F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")).cast("double"))
             .withColumn("f_words_near", F.size(F.split(F.concat_ws(" ", F.regexp_replace("before", r"[^\p{L}\s]+\S*", ""),

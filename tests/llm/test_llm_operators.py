@@ -301,3 +301,18 @@ def test_lm_scores_the_order_of_words(spark):
     assert got[1].score > got[2].score + 1 and got[1].n_bytes == got[2].n_bytes == len(text) + 2
     assert got[3].n_bytes == 1
     assert all(abs(r.bits_per_byte + r.score * math.log2(10) / r.n_bytes) < 1e-9 for r in got.values())
+
+
+def test_assigned_values_are_taken_whole(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9P"
+    texts = {'password = "P@ss!word2024" x': "P@ss!word2024", "pwd: 'correct#horse9battery'": "correct#horse9battery",
+             'db_password: "hunter2$abcdefghijk"': "hunter2$abcdefghijk", "password=Tr0ub4dor&3xyz and on": "Tr0ub4dor&3xyz",
+             'passwd = "a pass phrase; of words"': "a pass phrase; of words", 'token = "never%closed9 here': "never%closed9",
+             'secret = "with \\" quote1" x': 'with \\" quote1', "x-api-key: k1!k2,k3;k4": "k1!k2,k3;k4", f"Authorization: Bearer {jwt} x": jwt, f"see {jwt} x": jwt,
+             '{"api-key": "it\'s;1234"}': "it's;1234"}
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = secrets.candidates(docs.withColumn("key", F.col("text")), F.col("text"), "key").select("key", "candidate", "before").collect()
+    for text, value in texts.items():
+        assert value in {r.candidate for r in found if r.key == text}, text
+    named = spark.createDataFrame(found).where(F.col("before").rlike(secrets.NAME_BEFORE)).collect()
+    assert all(any(r.key == t and r.candidate == v for r in named) for t, v in texts.items() if not t.startswith("see"))
