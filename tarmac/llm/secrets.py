@@ -19,7 +19,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import SPACE_CLASS, UID, text_or_empty, with_row_ids
+from tarmac.llm.common import SPACE_CLASS, UID, fresh, text_or_empty, with_row_ids
+from tarmac.llm.line_rules import let
 from tarmac.plans.layers import materialise
 from tarmac.session import work_dir
 
@@ -34,9 +35,12 @@ ASSIGNED = [GIVEN + r'"(?=[^\n]{8})([^"\\\n]*+(?:\\.[^"\\\n]*+){0,200}+)"',
             GIVEN + r"(?:\"(?![^\"\n]*\")|'(?![^'\n]*'))?+([^\s\"']\S{7,})",
             r"(?i)\bbearer\s{1,3}([\w+/.~-]{8,}={0,2})"]
 NAME_BEFORE = GIVEN + r"(?:bearer\s{1,3})?[\"']?$|(?i)\bbearer\s{1,3}$"
+# surely no secret: numbers, and slugs, paths and versions of plain words and short numbers
+NO_SECRET = r"^(?:[\d/_.-]*|/?(?:[A-Za-z]?[a-z]+|v?\d{1,6})(?:[/_.-](?:[A-Za-z]?[a-z]+|v?\d{1,6}))+)$"
 REDACTED = "[SECRET]"
 
 CONTEXT = 40
+REACH = 5
 DICTIONARY_WORDS = 20_000
 SAMPLE = 4_000
 TREES = 30
@@ -47,9 +51,10 @@ FEATURES = ["f_length", "f_digits", "f_upper", "f_lower", "f_moves", "f_distinct
 
 
 def candidates(rows: DataFrame, text: Column, key: str) -> DataFrame:
-    """(key, candidate, start, occurrences, before, after) per distinct candidate of a text.
+    """(key, candidate, start, occurrences, contexts) per distinct candidate of a text.
 
-    ``start`` is the code point of the first occurrence; the context is taken there.
+    ``start`` is the code point of the first occurrence; ``contexts`` are the
+    distinct (before, after) of all occurrences.
     """
     found = F.array_distinct(F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(0)) for p in (LONG_RUN, DOTTED)],
                                       *[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in ASSIGNED]))
@@ -58,15 +63,30 @@ def candidates(rows: DataFrame, text: Column, key: str) -> DataFrame:
     t = F.col("__text")
 
     def described(c: Column) -> Column:
-        at = F.call_function("locate", c, t)
-        return F.struct(c.alias("candidate"), (at - 1).cast("long").alias("start"),
-                        F.floor((F.length(t) - F.length(F.replace(t, c, F.lit("")))) / F.length(c)).cast("long").alias("occurrences"),
-                        F.substring(t, F.greatest(at - CONTEXT, F.lit(1)), F.least(at - 1, F.lit(CONTEXT))).alias("before"),
-                        F.substring(t, at + F.length(c), F.lit(CONTEXT)).alias("after"))
+        # what stands between the occurrences; a candidate has 8 characters or more, so REACH of them fill a context
+        literal = F.concat(F.lit(r"\Q"), F.replace(c, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+
+        def around(ends: Column) -> Column:
+            return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(ends["tails"]) - 1), lambda i: F.struct(
+                F.right(F.call_function("array_join", F.slice(ends["tails"], F.greatest(i - REACH, F.lit(1)), F.least(i, F.lit(REACH + 1))), c), F.lit(CONTEXT)).alias("before"),
+                F.left(F.call_function("array_join", F.slice(ends["heads"], i + 1, F.lit(REACH + 1)), c), F.lit(CONTEXT)).alias("after"))))
+
+        def whole(pieces: Column) -> Column:
+            ends = F.struct(F.transform(pieces, lambda x: F.right(x, F.lit(CONTEXT))).alias("tails"),
+                            F.transform(pieces, lambda x: F.left(x, F.lit(CONTEXT))).alias("heads"))
+            return F.struct(c.alias("candidate"), F.length(pieces[0]).cast("long").alias("start"),
+                            (F.size(pieces) - 1).cast("long").alias("occurrences"), let(ends, around).alias("contexts"))
+
+        return let(F.split(t, literal, -1), whole)
 
     return spot.select(key, F.explode(F.transform("__found", described)).alias("c")).select(key, "c.*")
 
 
+def in_contexts(found: DataFrame) -> DataFrame:
+    """``found`` with one row per context (before, after)."""
+    return found.withColumn("__context", F.explode("contexts")).drop("contexts").select("*", "__context.*").drop("__context")
+
+
 def dictionary(docs: DataFrame, size: int = DICTIONARY_WORDS) -> DataFrame:
     """The ``size`` most frequent all-letter words (three letters or more) of the whole corpus."""
     words = docs.select(F.explode(F.split(F.lower(text_or_empty()), SPACE_CLASS + "+")).alias("w")).where(r"w rlike '^[a-z]{3,20}[.,]?$'")
@@ -107,20 +127,22 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
 def labelled_findings(docs: DataFrame, found: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Labelled findings (candidate, before, after, label) derived from the corpus.
 
-    Secrets: named candidates of more than digits, and digests and base64
-    strings computed from texts, named, quoted or bare. Not secrets: candidates
-    nobody names, and slugs, paths, numbers and versions made of the corpus's
-    own words, part of them behind a name. Bounded at a few times ``sample`` rows,
-    picked by hash.
+    Secrets: named candidates with a digit, unless of a shape in NO_SECRET, and digests,
+    base64 strings, dotted tokens and passwords computed from texts. Not secrets:
+    candidates of a shape in NO_SECRET, named or not, and slugs, paths, numbers, versions
+    and phrases made of the corpus's own words. What is computed stands in every
+    context alike, so that a name alone says nothing about it (passwords only named:
+    nothing else makes a bare one a candidate). Other candidates nobody names have no label. Bounded at a few
+    times ``sample`` rows, picked by hash.
     """
     def picked(df: DataFrame, by: str) -> DataFrame:
         return df.orderBy(F.xxhash64(by, F.lit(5)), by).limit(sample)
 
     named = F.col("before").rlike(NAME_BEFORE)
-    only_digits = F.col("candidate").rlike(r"^[\d/_-]*$")
+    harmless = F.col("candidate").rlike(NO_SECRET)
     real = found.select("candidate", "before", "after")
-    seen = [picked(real.where(named & ~only_digits & F.col("candidate").rlike(r"\d")).withColumn("label", F.lit(1.0)), "candidate"),
-            picked(real.where(~named | only_digits).withColumn("label", F.lit(0.0)), "candidate")]
+    seen = [picked(real.where(named & ~harmless & F.col("candidate").rlike(r"\d")).withColumn("label", F.lit(1.0)), "candidate"),
+            picked(real.where(harmless).withColumn("label", F.lit(0.0)), "candidate")]
     h = F.sha2(F.col("text").cast("binary"), 256)
     pieces = picked(docs.select(text_or_empty().alias("text")).where("length(text) > 100"), "text").distinct().withColumn("h", h)
     w = F.filter(F.split(F.regexp_replace(F.lower(F.substring("text", 1, 400)), r"[^a-z\s]+", ""), r"\s+"), lambda x: F.length(x) > 2)
@@ -131,15 +153,23 @@ def labelled_findings(docs: DataFrame, found: DataFrame, sample: int = SAMPLE) -
                "named": (F.concat(near, F.lit(" api_key = \"")), F.concat(F.lit("\" "), near)),
                "quoted": (F.concat(near, F.lit(" \"")), F.concat(F.lit("\" "), near))}
     base64 = F.regexp_replace(F.base64(F.unhex("h")), "=+$", "")
-    made = {"hex": (F.substring("h", 1, 40), 1.0, ("named", "quoted")), "b64": (F.substring(base64, 2, 36), 1.0, ("named", "quoted", "plain")),
-            "short": (F.substring(base64, 5, 22), 1.0, ("named", "quoted")),
-            "slug": (F.concat(F.concat_ws("-", F.slice("w", 1, 4)), F.lit("-"), "number"), 0.0, ("plain", "named", "quoted")),
-            "path": (F.concat(F.concat_ws("/", F.slice("w", 1, 4)), F.lit("/v"), F.substring("number", 1, 2)), 0.0, ("plain", "quoted", "named")),
-            "number": (F.concat(F.lit("4"), F.conv(F.substring("h", 1, 12), 16, 10), "number"), 0.0, ("plain", "quoted")),
-            "joined": (F.concat(F.concat_ws("", F.slice("w", 1, 4)), F.substring("number", 1, 2)), 0.0, ("plain", "named"))}
+    word, cased = F.get("w", F.lit(0)), F.initcap(F.get("w", F.lit(1)))
+    everywhere, behind = ("plain", "named", "quoted"), ("named",)
+    made = {"hex": (F.substring("h", 1, 40), 1.0, everywhere), "b64": (F.substring(base64, 2, 36), 1.0, everywhere),
+            "short": (F.substring(base64, 5, 22), 1.0, everywhere),
+            "dotted": (F.concat(F.substring(base64, 1, 14), F.lit("."), F.substring(base64, 15, 14), F.lit("."), F.substring(base64, 29, 14)), 1.0, everywhere),
+            "password": (F.concat(cased, F.lit("!"), word, F.substring("number", 1, 4)), 1.0, behind),
+            "symbols": (F.concat(F.substring(base64, 1, 6), F.lit("#"), F.substring(base64, 9, 5), F.lit("&"), F.substring("number", 1, 2)), 1.0, behind),
+            "slug": (F.concat(F.concat_ws("-", F.slice("w", 1, 4)), F.lit("-"), "number"), 0.0, everywhere),
+            "path": (F.concat(F.concat_ws("/", F.slice("w", 1, 4)), F.lit("/v"), F.substring("number", 1, 2)), 0.0, everywhere),
+            "number": (F.concat(F.lit("4"), F.conv(F.substring("h", 1, 12), 16, 10), "number"), 0.0, everywhere),
+            "joined": (F.concat(F.concat_ws("", F.slice("w", 1, 4)), F.substring("number", 1, 2)), 0.0, everywhere),
+            "host": (F.concat(F.concat_ws(".", F.slice("w", 1, 3)), F.lit(".v"), F.substring("number", 1, 1)), 0.0, everywhere),
+            "phrase": (F.concat_ws(" ", F.slice("w", 1, 4)), 0.0, behind), "plain": (F.concat(cased, word, F.lit(",")), 0.0, behind),
+            "junk": (F.concat(word, F.lit("#%"), F.get("w", F.lit(2)), F.lit("*")), 0.0, behind)}
     rows = [F.struct(value.alias("candidate"), context[k][0].alias("before"), context[k][1].alias("after"), F.lit(label).alias("label"))
             for value, label, kinds in made.values() for k in kinds]
-    derived = pieces.select(F.explode(F.array(*rows)).alias("r")).select("r.*").where("length(candidate) >= 16")
+    derived = pieces.select(F.explode(F.array(*rows)).alias("r")).select("r.*").where("length(candidate) >= 8")
     return seen[0].unionByName(seen[1]).unionByName(derived)
 
 
@@ -169,11 +199,15 @@ def judge(found: DataFrame, words: DataFrame, model: RandomForestClassificationM
 
 
 def scan(tagged: DataFrame, findings: DataFrame | None = None, key: str = UID) -> DataFrame:
-    """Judged findings (key, candidate, start, occurrences, before, after, score): one per distinct candidate of a row."""
-    found = materialise(candidates(tagged, text_or_empty(), key), "found")
+    """Judged findings (key, candidate, start, occurrences, score): one per distinct candidate of a row.
+
+    Every occurrence is judged where it stands; the highest score counts.
+    """
+    own = fresh("found")
+    found = in_contexts(materialise(candidates(tagged, text_or_empty(), key).withColumn(own, F.monotonically_increasing_id()), "found"))
     words = materialise(dictionary(tagged), "dictionary")
     model = train(labelled_findings(tagged, found) if findings is None else findings, words)
-    return judge(found, words, model)
+    return judge(found, words, model).groupBy(own, key, "candidate", "start", "occurrences").agg(F.max("score").alias("score")).drop(own)
 
 
 def secret_table(docs: DataFrame, findings: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:

@@ -311,8 +311,34 @@ def test_assigned_values_are_taken_whole(spark):
              'secret = "with \\" quote1" x': 'with \\" quote1', "x-api-key: k1!k2,k3;k4": "k1!k2,k3;k4", f"Authorization: Bearer {jwt} x": jwt, f"see {jwt} x": jwt,
              '{"api-key": "it\'s;1234"}': "it's;1234"}
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    found = secrets.candidates(docs.withColumn("key", F.col("text")), F.col("text"), "key").select("key", "candidate", "before").collect()
+    found = secrets.candidates(docs.withColumn("key", F.col("text")), F.col("text"), "key")
+    found = (secrets.in_contexts(found) if "contexts" in found.columns else found).select("key", "candidate", "before").collect()
     for text, value in texts.items():
         assert value in {r.candidate for r in found if r.key == text}, text
     named = spark.createDataFrame(found).where(F.col("before").rlike(secrets.NAME_BEFORE)).collect()
     assert all(any(r.key == t and r.candidate == v for r in named) for t, v in texts.items() if not t.startswith("see"))
+
+
+def test_every_occurrence_is_judged(spark):
+    key = "ab12" * 9
+    text = f"{key} first bare {key}{key} then \U0001f600 token = \"{key}\" end"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = [r for r in secrets.candidates(docs, F.col("text"), "doc_id").collect() if r.candidate == key]
+    starts = [i for i in range(len(text)) if text.startswith(key, i)]
+    assert (row.start, row.occurrences) == (0, 4)
+    assert {(c.before, c.after) for c in row.contexts} == {(text[max(0, i - 40):i], text[i + 36:i + 76]) for i in (starts[0], starts[1], starts[1] + 36, starts[-1])}
+    findings = spark.createDataFrame(
+        [(key[::-1], 'the token = "', '" x', 1.0)] * 20 + [(key[::-1], "see ", " x", 0.0)] * 20, "candidate string, before string, after string, label double")
+    got = {r.length: r for r in secrets.secret_table(docs, findings).collect()}
+    assert got[36].is_secret and got[36].start == 0 and not got[72].is_secret
+
+
+def test_labels_do_not_restate_the_name(spark):
+    texts = [(i, " ".join(f"word{chr(97 + j)}{chr(97 + i % 26)}" for j in range(20)) + f" see {hashlib.sha1(str(i).encode()).hexdigest()} there") for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = secrets.candidates(docs, F.col("text"), "doc_id")
+    labels = secrets.labelled_findings(docs, secrets.in_contexts(found) if "contexts" in found.columns else found)
+    named = F.col("before").rlike(secrets.NAME_BEFORE)
+    kinds = {(r.named, r.hex, r.label) for r in labels.select(named.alias("named"), F.col("candidate").rlike("^[0-9a-f]{40}$").alias("hex"), "label").distinct().collect()}
+    assert {(n, True, 1.0) for n in (True, False)} | {(n, False, v) for n in (True, False) for v in (0.0, 1.0)} == kinds
+    assert all(r.is_secret for r in secrets.secret_table(docs).where("length = 40").collect())
