@@ -133,19 +133,24 @@ def labelled_findings(docs: DataFrame, found: DataFrame, sample: int = SAMPLE) -
     and phrases made of the corpus's own words. What is computed stands in every
     context alike, so that a name alone says nothing about it (passwords only named:
     nothing else makes a bare one a candidate). Other candidates nobody names have no label. Bounded at a few
-    times ``sample`` rows, picked by hash.
+    times ``sample`` rows, picked by hash among distinct texts and distinct candidates.
     """
-    def picked(df: DataFrame, by: str) -> DataFrame:
-        return df.orderBy(F.xxhash64(by, F.lit(5)), by).limit(sample)
+    def picked(df: DataFrame, label: float) -> DataFrame:
+        # a candidate counts once, however many rows hold it
+        one = df.groupBy("candidate").agg(F.min(F.struct(F.xxhash64("before", "after"), "before", "after")).alias("c"))
+        return one.orderBy(F.xxhash64("candidate", F.lit(5)), "candidate").limit(sample).select("candidate", "c.before", "c.after", F.lit(label).alias("label"))
 
     named = F.col("before").rlike(NAME_BEFORE)
     harmless = F.col("candidate").rlike(NO_SECRET)
     real = found.select("candidate", "before", "after")
-    seen = [picked(real.where(named & ~harmless & F.col("candidate").rlike(r"\d")).withColumn("label", F.lit(1.0)), "candidate"),
-            picked(real.where(harmless).withColumn("label", F.lit(0.0)), "candidate")]
+    seen = [picked(real.where(named & ~harmless & F.col("candidate").rlike(r"\d")), 1.0),
+            picked(real.where(harmless), 0.0)]
     h = F.sha2(F.col("text").cast("binary"), 256)
-    pieces = picked(docs.select(text_or_empty().alias("text")).where("length(text) > 100"), "text").distinct().withColumn("h", h)
-    w = F.filter(F.split(F.regexp_replace(F.lower(F.substring("text", 1, 400)), r"[^a-z\s]+", ""), r"\s+"), lambda x: F.length(x) > 2)
+    texts = docs.select(text_or_empty().alias("text")).where("length(text) > 100").withColumn("k", F.xxhash64("text"))
+    chosen = texts.select("k").distinct().orderBy(F.xxhash64("k", F.lit(5)), "k").limit(sample)  # copies count once
+    pieces = (texts.join(F.broadcast(chosen), "k").select("k", F.substring("text", 1, 400).alias("text"), h.alias("h"))
+              .groupBy("k").agg(F.min(F.struct("h", "text")).alias("t")).select("t.*"))
+    w = F.filter(F.split(F.regexp_replace(F.lower("text"), r"[^a-z\s]+", ""), r"\s+"), lambda x: F.length(x) > 2)
     number = F.substring(F.conv(F.substring("h", 1, 15), 16, 10), 1, 6)
     pieces = pieces.withColumn("w", w).withColumn("number", number).where("size(w) >= 6")
     near = F.concat_ws(" ", F.slice("w", 5, 2))

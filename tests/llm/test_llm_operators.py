@@ -342,3 +342,15 @@ def test_labels_do_not_restate_the_name(spark):
     kinds = {(r.named, r.hex, r.label) for r in labels.select(named.alias("named"), F.col("candidate").rlike("^[0-9a-f]{40}$").alias("hex"), "label").distinct().collect()}
     assert {(n, True, 1.0) for n in (True, False)} | {(n, False, v) for n in (True, False) for v in (0.0, 1.0)} == kinds
     assert all(r.is_secret for r in secrets.secret_table(docs).where("length = 40").collect())
+
+
+def test_copies_do_not_fill_the_training_sample(spark):
+    texts = [f"words {' '.join(f'own{chr(97 + i)}{chr(97 + j)}' for j in range(20))} token = \"{hashlib.sha1(str(i).encode()).hexdigest()}\" and slug-of-{1000 + i} on" for i in range(8)]
+    docs = spark.createDataFrame([(t,) for t in [*texts, *[t for t in texts for _ in range(30)]]], "text string")
+    docs = docs.unionByName(spark.createDataFrame([(f"in place {i} the token = \"{hashlib.sha1(b'0').hexdigest()}\"",) for i in range(30)], "text string"))
+    found = secrets.candidates(docs, F.col("text"), "text")
+    found = secrets.in_contexts(found) if "contexts" in found.columns else found
+    rows = secrets.labelled_findings(docs, found, sample=8).collect()
+    real = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(8)]
+    assert Counter(r.candidate for r in rows if r.candidate in real) == dict.fromkeys(real, 1)
+    assert {r.candidate for r in rows} >= {hashlib.sha256(t.encode()).hexdigest()[:40] for t in texts}
