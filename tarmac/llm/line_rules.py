@@ -21,7 +21,6 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
 LINE_DOCS = 10
-LINE_SHARE = 0.02
 LEFT_SHARE = 0.3
 
 
@@ -83,21 +82,24 @@ def statistics(docs: DataFrame) -> DataFrame:
         F.transform("ls", lambda x: F.struct(F.xxhash64(normal(x)).alias("h"), F.size(words_of(x)).alias("n"))).alias("lines"))
 
 
-def line_rules(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE,
+def line_rules(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = 0.0,
                left_share: float = LEFT_SHARE, min_words: int = MIN_WORDS) -> DataFrame:
     """The counts per document with base_failed, boilerplate_words and kept.
 
+    A line is frequent in more than ``line_docs`` distinct documents of its host, however
+    large that is; ``line_share`` can ask for a share of them as well.
     Null text has no words and fails; a null host is a host of its own;
     repeated rows are judged each; an empty table gives an empty result.
     """
     rows = with_row_ids(statistics(docs), "line_rules")
-    hosts = rows.select("host", "k", "k_bytes").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
     lines = rows.select(UID, "host", "k", "k_bytes", F.explode("lines").alias("l")).select(UID, "host", "k", "k_bytes", "l.h", "l.n")
     # distinct documents per line, then counts: both combined before the shuffle
     frequent = (lines.select("host", "h", "k", "k_bytes").distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("c"))
                 .where(F.col("c") > line_docs))
-    frequent = (frequent.join(hosts, frequent["host"].eqNullSafe(hosts["host"])).where(F.col("c") > line_share * F.col("docs"))
-                .select(frequent["host"].alias("fh"), F.col("h").alias("fl")))
+    if line_share > 0:
+        hosts = rows.select("host", "k", "k_bytes").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("docs")).withColumnRenamed("host", "__host")
+        frequent = frequent.join(hosts, F.col("host").eqNullSafe(F.col("__host"))).where(F.col("c") > line_share * F.col("docs"))
+    frequent = frequent.select(F.col("host").alias("fh"), F.col("h").alias("fl"))
     gone = (lines.join(frequent, lines["host"].eqNullSafe(frequent["fh"]) & (F.col("h") == F.col("fl")))
             .groupBy(UID).agg(F.sum("n").alias("boilerplate_words")))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))

@@ -354,3 +354,10 @@ def test_copies_do_not_fill_the_training_sample(spark):
     real = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(8)]
     assert Counter(r.candidate for r in rows if r.candidate in real) == dict.fromkeys(real, 1)
     assert {r.candidate for r in rows} >= {hashlib.sha256(t.encode()).hexdigest()[:40] for t in texts}
+
+
+def test_boilerplate_limit_does_not_grow_with_the_host(spark):
+    menu = "home news about contact login search help terms privacy imprint"
+    rows = [(i, (f"{menu}\n" if i < 12 else "") + f"own line number {i} " + " ".join(f"w{i}x{j}" for j in range(25)), "a") for i in range(1000)]
+    got = line_rules.line_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).where("boilerplate_words = 10").collect()
+    assert {r.doc_id for r in got} == set(range(12))
