@@ -1,8 +1,7 @@
 """Quality rules: word and line statistics, and cross-document line frequency. DataFrame functions only.
 
 A line that stands in more than ``limit`` distinct documents of one host is
-boilerplate there; documents left with too few words once such lines are taken
-out are rejected. Identical texts count as one document, so copies of a page
+boilerplate there and taken out; documents left with too few words are rejected. Identical texts count as one document, so copies of a page
 do not make its lines boilerplate.
 """
 
@@ -11,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import SPACE_CLASS, UID, text_or_empty, with_row_ids
+from tarmac.llm.common import SPACE_CLASS, text_or_empty
+from tarmac.plans.layers import materialise
 
 # Rules of the contract.
 SYMBOLS = r"[#*$%&|<>]"
@@ -66,45 +66,88 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     return F.when(F.size(words) <= window, F.lit(0).cast("long")).otherwise(let(let(hashed, windows), count))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` plus text, host and the key of the text."""
+    t = text_or_empty()
+    return docs.withColumns({"__t": t, "__host": F.col("source").cast("string"), "__k": F.xxhash64(t), "__bytes": F.octet_length(t)})
+
+
+def _lines(text: Column) -> Column:
+    return F.split(text, "\n")
+
+
+def _line_hash(line: Column) -> Column:
+    return F.xxhash64(F.trim(F.regexp_replace(F.lower(line), SPACE_CLASS + "+", " ")))
+
+
 def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, host, text key, the contract's counts, and each line's (hash, words)."""
-    base = docs.select("doc_id", F.col("source").cast("string").alias("host"), text_or_empty().alias("t"))
-    base = base.withColumn("w", words_of(F.col("t")))
-    base = base.withColumn("ls", F.filter(F.split("t", "\n"), lambda x: x.rlike(HAS_WORD)))
-    normal = lambda x: F.trim(F.regexp_replace(F.lower(x), SPACE_CLASS + "+", " "))
-    return base.select(
-        "doc_id", "host", F.xxhash64("t").alias("k"), F.octet_length("t").alias("k_bytes"),
-        F.size("w").cast("long").alias("n_words"),
-        F.aggregate("w", F.lit(0).cast("long"), lambda acc, x: acc + F.length(x)).alias("word_chars"),
-        F.regexp_count("t", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.size("ls") - F.size(F.array_distinct("ls"))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("w")).alias("n_repeat_words"),
-        F.transform("ls", lambda x: F.struct(F.xxhash64(normal(x)).alias("h"), F.size(words_of(x)).alias("n"))).alias("lines"))
+    """Rows of _keyed() plus the contract's counts."""
+    base = docs.withColumn("__w", words_of(F.col("__t")))
+    base = base.withColumn("__ls", F.filter(_lines(F.col("__t")), lambda x: x.rlike(HAS_WORD)))
+    return base.withColumns({
+        "n_words": F.size("__w").cast("long"),
+        "word_chars": F.aggregate("__w", F.lit(0).cast("long"), lambda acc, x: acc + F.length(x)),
+        "n_symbols": F.regexp_count("__t", F.lit(SYMBOLS)).cast("long"),
+        "n_dup_lines": (F.size("__ls") - F.size(F.array_distinct("__ls"))).cast("long"),
+        "n_repeat_words": repeated_words(F.col("__w"))}).drop("__w", "__ls")
+
+
+def frequent_lines(keyed: DataFrame, line_docs: int, line_share: float) -> DataFrame:
+    """(host, text key, hashes of the text's frequent lines) of the distinct texts that hold any."""
+    key = ["__host", "__k", "__bytes"]
+    lines = (keyed.select(*key, F.explode(F.array_distinct(F.transform(F.filter(_lines(F.col("__t")), lambda x: x.rlike(HAS_WORD)), _line_hash))).alias("h"))
+             .distinct())
+    lines = materialise(lines, "lines")
+    # distinct documents per line, then counts: both combined before the shuffle
+    frequent = lines.groupBy("__host", "h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > line_docs)
+    if line_share > 0:
+        hosts = keyed.select(*key).distinct().groupBy("__host").agg(F.count(F.lit(1)).alias("docs")).withColumnRenamed("__host", "host")
+        frequent = frequent.join(hosts, F.col("__host").eqNullSafe(F.col("host"))).where(F.col("c") > line_share * F.col("docs"))
+    frequent = frequent.select(F.col("__host").alias("fh"), F.col("h").alias("fl"))
+    gone = lines.join(frequent, lines["__host"].eqNullSafe(frequent["fh"]) & (F.col("h") == F.col("fl")))
+    return gone.groupBy(*key).agg(F.collect_set("h").alias("__gone"))
+
+
+def cleaned(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = 0.0,
+            left_share: float = LEFT_SHARE, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` plus the counts and verdicts of line_rules() and __clean: the text without its frequent lines.
+
+    The other lines stay as they are, joined by line ends; a text without a frequent line is unchanged.
+    """
+    keyed = _keyed(docs)
+    gone = frequent_lines(keyed, line_docs, line_share).withColumnsRenamed({"__host": "__gh", "__k": "__gk", "__bytes": "__gb"})
+    rows = statistics(keyed).join(gone, F.col("__host").eqNullSafe(F.col("__gh")) & (F.col("__k") == F.col("__gk")) & (F.col("__bytes") == F.col("__gb")), "left")
+    stays = F.filter(_lines(F.col("__t")), lambda x: ~(x.rlike(HAS_WORD) & F.array_contains("__gone", _line_hash(x))))
+    rows = rows.withColumn("__clean", F.when(F.col("__gone").isNull(), F.col("__t")).otherwise(F.array_join(stays, "\n")))
+    left = F.when(F.col("__gone").isNull(), F.col("n_words")).otherwise(F.size(words_of(F.col("__clean")))).cast("long")
+    rows = rows.withColumn("boilerplate_words", F.col("n_words") - left)
+    left = F.col("n_words") - F.col("boilerplate_words")
+    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    return (rows.withColumn("base_failed", failed)
+            .withColumn("kept", ~F.col("base_failed") & (left >= min_words) & (left >= left_share * F.col("n_words")))
+            .drop("__t", "__host", "__k", "__bytes", "__gh", "__gk", "__gb", "__gone"))
 
 
 def line_rules(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = 0.0,
                left_share: float = LEFT_SHARE, min_words: int = MIN_WORDS) -> DataFrame:
-    """The counts per document with base_failed, boilerplate_words and kept.
+    """The counts per document with base_failed, boilerplate_words and kept, from the cleaned texts.
 
     A line is frequent in more than ``line_docs`` distinct documents of its host, however
     large that is; ``line_share`` can ask for a share of them as well.
+
     Null text has no words and fails; a null host is a host of its own;
     repeated rows are judged each; an empty table gives an empty result.
     """
-    rows = with_row_ids(statistics(docs), "line_rules")
-    lines = rows.select(UID, "host", "k", "k_bytes", F.explode("lines").alias("l")).select(UID, "host", "k", "k_bytes", "l.h", "l.n")
-    # distinct documents per line, then counts: both combined before the shuffle
-    frequent = (lines.select("host", "h", "k", "k_bytes").distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("c"))
-                .where(F.col("c") > line_docs))
-    if line_share > 0:
-        hosts = rows.select("host", "k", "k_bytes").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("docs")).withColumnRenamed("host", "__host")
-        frequent = frequent.join(hosts, F.col("host").eqNullSafe(F.col("__host"))).where(F.col("c") > line_share * F.col("docs"))
-    frequent = frequent.select(F.col("host").alias("fh"), F.col("h").alias("fl"))
-    gone = (lines.join(frequent, lines["host"].eqNullSafe(frequent["fh"]) & (F.col("h") == F.col("fl")))
-            .groupBy(UID).agg(F.sum("n").alias("boilerplate_words")))
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    left = F.col("n_words") - F.col("boilerplate_words")
-    judged = rows.join(gone, UID, "left").withColumn("boilerplate_words", F.coalesce("boilerplate_words", F.lit(0)).cast("long"))
-    return judged.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (left >= min_words) & (left >= left_share * F.col("n_words"))).select(
+    return cleaned(docs.select("doc_id", "source", "text"), line_docs, line_share, left_share, min_words).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "boilerplate_words", "kept")
+
+
+def clean_documents(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = 0.0,
+                    left_share: float = LEFT_SHARE, min_words: int = MIN_WORDS) -> DataFrame:
+    """The kept documents, all columns, their texts without frequent lines and n_chars up to date."""
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "boilerplate_words", "kept")
+    own = docs.withColumnsRenamed({c: f"__own_{c}" for c in docs.columns if c in counts})
+    kept = cleaned(own, line_docs, line_share, left_share, min_words).where("kept").withColumn("text", F.col("__clean"))
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.when(F.col("boilerplate_words") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return kept.select(*[F.col(f"__own_{c}").alias(c) if c in counts else F.col(c) for c in docs.columns])

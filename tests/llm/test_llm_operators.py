@@ -361,3 +361,17 @@ def test_boilerplate_limit_does_not_grow_with_the_host(spark):
     rows = [(i, (f"{menu}\n" if i < 12 else "") + f"own line number {i} " + " ".join(f"w{i}x{j}" for j in range(25)), "a") for i in range(1000)]
     got = line_rules.line_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).where("boilerplate_words = 10").collect()
     assert {r.doc_id for r in got} == set(range(12))
+
+
+def test_kept_documents_lose_their_boilerplate(spark):
+    menu = "Home news   about contact"
+    own = [f"line one of {i}\n\n" + " ".join(f"w{i}x{j}" for j in range(25)) for i in range(30)]
+    rows = [(i, f"{menu}\n{own[i]}\n{menu.lower()}", "a", 1, "x") for i in range(30)]
+    rows += [(100 + i, f"{menu}\nshort {i}", "a", 1, "x") for i in range(20)] + [(200, own[0] + f"\n{menu}", None, 7, "x"), (0, rows[0][1], "a", 1, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int, kept string")
+    got = line_rules.clean_documents(docs)
+    assert got.dtypes == docs.dtypes
+    assert Counter((r.doc_id, r.text, r.n_chars, r.kept) for r in got.collect()) == Counter(
+        [(i, own[i], len(own[i]), "x") for i in [*range(30), 0]] + [(200, rows[50][1], 7, "x")])
+    counted = {r.doc_id: r for r in line_rules.line_rules(docs).collect()}
+    assert counted[3].boilerplate_words == 8 and counted[3].kept and counted[100].boilerplate_words == 4 and not counted[100].kept
