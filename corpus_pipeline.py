@@ -42,9 +42,9 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the mixed documents, packed into sequences of 2048 tokens."""
+    """The pieces of the mixed documents with their token ids, packed into sequences of 2048 tokens."""
     configure(spark)
-    return packing.pack_documents(docs, tokenizer_path(), capacity=2048)
+    return packing.pack_documents(docs, tokenizer_path(), capacity=2048, with_ids=True)
 
 
 STAGES = [

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import pytest
 from llm_cases import edge_docs, no_docs
 from pyspark.sql import functions as F
@@ -67,3 +70,9 @@ def test_each_stage_does_its_operators_work(spark, tmp_path):
 
     packed = step("best_fit_packing", mixed)
     assert packed.where("piece = 0").count() == mixed.count()
+
+
+def test_the_packed_result_holds_its_tokens(spark):
+    out = dict(corpus_pipeline.STAGES)["best_fit_packing"](spark, edge_docs(spark), SF)
+    rows = out.select("length", "ids", "ids_crc32").collect()
+    assert rows and all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<i4").tobytes()) == r.ids_crc32 for r in rows)
