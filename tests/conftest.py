@@ -11,9 +11,6 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from tarmac.session import configure  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     s = (
@@ -38,14 +35,3 @@ def store(spark):
     s = Store(spark)
     yield s
     s.drop()
-
-
-def plan_text(df, mode: str = "formatted") -> str:
-    """The text ``df.explain(mode)`` prints."""
-    import contextlib
-    import io
-
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain(mode)
-    return buf.getvalue()

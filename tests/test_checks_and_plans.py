@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, plan_text
+from engine_helpers import SF_SMALL, plan_text
 from tarmac.plans import checks
 
 

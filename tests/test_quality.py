@@ -93,7 +93,7 @@ def test_orphans_anti_join_and_null_handling(spark):
 def test_one_aggregation_per_frame(spark):
     df = spark.createDataFrame([(1, None)], "month int, x int")
     out = Q.evaluate(df, [Q.no_nulls(["x"], "a", "l"), Q.value_range("month", 1, 12, "b", "l")])
-    from conftest import plan_text
+    from engine_helpers import plan_text
 
     plan = plan_text(out, "simple")
     assert plan.count("HashAggregate(") <= 2  # partial + final, shared by both rules

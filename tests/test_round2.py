@@ -10,7 +10,7 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_text
+from engine_helpers import plan_text
 from tarmac.operators import quality as Q
 from tarmac.plans.runs import load_silver, stamp_batch
 from tarmac.plans.staging import stage

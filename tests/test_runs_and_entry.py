@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from engine_helpers import SF_SMALL
 
 pytestmark = pytest.mark.skipif(not os.path.exists(SF_SMALL), reason="driver data missing")
 

@@ -56,7 +56,7 @@ def test_upsert_replaces_keys_in_touched_partitions_only(spark, store):
 
 
 def test_write_layout_partitions_by_year_and_prunes(spark, store):
-    from conftest import plan_text
+    from engine_helpers import plan_text
 
     df = spark.createDataFrame([(y, f"K{i}", f"A{i}", y * 100 + 1, "AA", "JFK") for y in (2023, 2024) for i in range(5)],
                                "year int, carrier_key string, airport_key string, date_key int, carrier string, "
@@ -83,7 +83,7 @@ def test_bloom_filter_layout_point_lookup(spark, store):
                                "airport string")
     sink.write_layout(df, store, "fact_bloom", bloom_cols=("carrier",))
     hit = store.read("fact_bloom").where(F.col("carrier") == "C3")
-    from conftest import plan_text
+    from engine_helpers import plan_text
 
     assert "PushedFilters: [IsNotNull(carrier), EqualTo(carrier,C3)]" in plan_text(hit)
     assert hit.count() == len([i for i in range(50) if i % 7 == 3])

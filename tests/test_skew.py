@@ -5,7 +5,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import plan_text
+from engine_helpers import plan_text
 from tarmac.operators.dedupe import latest_per_key
 from tarmac.session import cluster_settings
 

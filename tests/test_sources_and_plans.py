@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from conftest import SF_SMALL, plan_text
+from engine_helpers import SF_SMALL, plan_text
 from tarmac.schemas import BRONZE_CSV, CSV_COLUMNS
 
 

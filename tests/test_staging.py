@@ -100,7 +100,7 @@ def test_overflowing_decimal_raises_under_ansi(spark):
 
 
 def test_high_water_mark_reaches_the_parquet_scan(spark, store):
-    from conftest import plan_text
+    from engine_helpers import plan_text
     from tarmac.plans.staging import new_rows
     from tarmac.sinks import tables as sink
 
