@@ -25,11 +25,11 @@ def read_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def tokenizer_path() -> str:
-    """The public byte-level BPE file; an installed package names its place."""
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer's file; an installed package names its place."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def fold(doc_id: Column, folds: int) -> Column:
