@@ -24,6 +24,7 @@ is larger) and given back as little-endian 32-bit ones.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -53,12 +54,23 @@ CACHE_WORDS = 400_000
 APART = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 
 
+# Fixed value: the pattern by which word-level BPE files cut lower-cased text into pre-tokens.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+# The same cuts for texts of printable ASCII, ASCII white space and the letters (and two signs) of
+# U+00C0 to U+00FF, where normal forms change nothing and lower case is one to one.
+PLAIN = re.compile(r"[\t\n\x0b\x0c\r -~\xc0-\xff]*")
+PLAIN_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\t\n\x0b\x0c\r a-z0-9\xdf-\xf6\xf8-\xff]+")
+
+
 class Encoder:
     """Serialised ids of whole texts for a tokenizer whose pre-tokens never hold white space.
 
-    A text falls apart at ASCII white space, each distinct part is encoded
-    once per worker by the tokenizers library (its special tokens included),
-    and the parts' ids are joined.
+    A plain text falls apart into pre-tokens, any other one at ASCII white
+    space; each distinct part is encoded once per worker by the tokenizers
+    library (its special tokens included), and the parts' ids are joined. New
+    pre-tokens are encoded together, as one text with spaces between them, and
+    their ids told apart by the end-of-word mark that closes each.
     """
 
     def __init__(self, path: str):
@@ -67,19 +79,47 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.inner = Tokenizer.from_file(path)
         self.width = id_width(path)
-        self.known: dict[str, bytes] = {}
+        self.tokens: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        suffix = told["model"].get("end_of_word_suffix")
+        self.cuts = bool(suffix) and f'"{PRE_TOKENS}"' in json.dumps(told["pre_tokenizer"]).replace("\\\\", "\\")
+        vocabulary = self.inner.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, np.bool_)
+        self.closes[[i for w, i in vocabulary.items() if suffix and w.endswith(suffix)]] = True
+
+    def _new_chunks(self, parts: list[str]) -> None:
+        kind = f"<u{self.width}"
+        for at in range(0, len(parts), 10_000):
+            some = parts[at:at + 10_000]
+            for part, got in zip(some, self.inner.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.chunks[part] = np.array(got.ids, kind).tobytes()
+
+    def _new_tokens(self, parts: list[str]) -> None:
+        kind = f"<u{self.width}"
+        for at in range(0, len(parts), 10_000):
+            some = parts[at:at + 10_000]
+            ids = np.array(self.inner.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(some) or ends[-1] != len(ids):
+                raise ValueError("pre-tokens and end-of-word marks do not agree")
+            told, places = ids.astype(kind).tobytes(), (ends * self.width).tolist()
+            self.tokens.update(zip(some, map(lambda a, b: told[a:b], [0, *places[:-1]], places), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [APART.findall(t) for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known, kind = self.known, f"<u{self.width}"
-        new = [w for w in set().union(*parts) if w not in known]
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            for word, got in zip(some, self.inner.encode_batch(some, add_special_tokens=False), strict=True):
-                known[word] = np.array(got.ids, kind).tobytes()
-        return [b"".join(map(known.__getitem__, ws)) for ws in parts]
+        out: list[bytes] = [b""] * len(texts)
+        plain = [i for i, t in enumerate(texts) if self.cuts and PLAIN.fullmatch(t) and "<|" not in t]
+        other = sorted(set(range(len(texts))).difference(plain))
+        for rows, known, cut, learn in ((plain, self.tokens, lambda t: PLAIN_TOKENS.findall(t.lower()), self._new_tokens),
+                                        (other, self.chunks, APART.findall, self._new_chunks)):
+            if len(known) > CACHE_WORDS:
+                known.clear()
+            parts = [cut(texts[i]) for i in rows]
+            learn([w for w in set().union(*parts) if w not in known])
+            for i, words in zip(rows, parts, strict=True):
+                out[i] = b"".join(map(known.__getitem__, words))
+        return out
 
 
 def id_width(path: str) -> int:
