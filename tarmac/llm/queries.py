@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tarmac.llm import imatch, langid, line_rules, lm, mixing, packing, quality, repeats, secrets, simhash, token_store
+from tarmac.llm import (
+    conversations, imatch, langid, line_rules, lm, mixing, packing, quality, repeats, secrets, simhash, spelling, token_store)
 from tarmac.llm.common import read_documents, read_labels, tokenizer_path
 
 
@@ -53,6 +54,14 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_table(read_documents(spark, sf_dir), length=200)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_table(spark.read.parquet(f"{sf_dir}/conversations.parquet"), with_damage=True)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_table(read_documents(spark, sf_dir), min_length=7, min_count=2, ratio=10, damage=31)
+
+
 def op13_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_table(read_documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
@@ -65,5 +74,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn for fn in (
         op1_quality_classifier, op2_source_mix, op3_simhash_near_dedup, op4_best_fit_packing, op5_lm_scoring, op6_language_id,
         op7_line_rules, op8_secret_scan, op9_imatch_fingerprints, op10_repeated_passages,
-        op13_token_store, pipeline)
+        op11_conversation_repair, op12_spelling_variants, op13_token_store, pipeline)
 }
