@@ -658,6 +658,18 @@ SELECT * FROM (SELECT 'latest_month', CAST(month_start AS VARCHAR), delay_rate_p
     sql["mod_13"] = W(run, gold_fact) + f"SELECT {fact_cols} FROM gold_fact"
     sql["mod_14"] = W(run, gold_fact, MARTS) + _all_checks_run()
     sql["mod_15"] = W(run) + f"SELECT {fact_cols} FROM fact WHERE year IN (1996, 1997, 1998)"
+    # the daily run publishes 1998 of the first load; the second delivery of that year has one more flight per record
+    phases = [("published", "first_1998"), ("interrupted", "first_1998"), ("rerun", "second_1998")]
+    trio = ["gold_fact_flight_delays", "gold_carrier_state", "gold_monthly_state"]
+    sql["mod_16"] = W(BRONZE, "\nfirst_1998 AS (SELECT arr_flights FROM batch1 WHERE year = 1998)",
+                      "\nsecond_1998 AS (SELECT arr_flights FROM reload)") + "\nUNION ALL\n".join(
+        f"SELECT '{phase}' AS phase, '{table}' AS table_name, CAST(1998 AS INTEGER) AS year, CAST(sum(arr_flights) AS BIGINT) AS flights FROM {src}"
+        for phase, src in phases for table in trio)
+    sql["mod_17"] = core_marts + "SELECT * FROM carrier_delay_performance"
+    sql["mod_18"] = core_marts + "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, year, count(*) AS row_count, year = 1998 AS rewritten FROM {src} GROUP BY year"
+        for name, src in (("fact_flight_delays", "fact"), ("monthly_delay_trends", "monthly_delay_trends")))
+    sql["mod_19"] = core_marts + "SELECT * FROM monthly_delay_trends"
     sql["src_01"] = W(BRONZE) + "SELECT " + present(CSV_COLUMNS, BRONZE_DECIMALS) + " FROM batch1"
     sql["stream_01"] = core + f"SELECT {staging_cols} FROM staging"
     return sql

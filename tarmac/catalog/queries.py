@@ -27,9 +27,9 @@ from tarmac.plans.dims import dim_date
 from tarmac.plans.layers import Layers, build_layers, materialise
 from tarmac.plans.marts import carrier_delay_performance, monthly_delay_trends, row_distribution
 from tarmac.plans.rollup import carrier_state, monthly_state
-from tarmac.plans.runs import backfill, run_daily
+from tarmac.plans.runs import GOLD_TRIO, STAGING_MARK, backfill, build_marts, load_bronze, load_silver, publish_fact_years, run_daily
 from tarmac.plans.serving import headline, monthly_trend, top_carriers
-from tarmac.plans.staging import new_rows, stage
+from tarmac.plans.staging import rows_after, stage
 from tarmac.schemas import (
     BRONZE_TEXT_LIMITS,
     CSV_COLUMNS,
@@ -128,10 +128,15 @@ def win_01(spark, sf_dir):
 
 
 def flt_02(spark, sf_dir):
-    """Bronze rows newer than the high-water mark of staging built from the first load."""
+    """Bronze rows newer than the committed high-water mark: the second batch, and no file of the first."""
+    store = store_for(spark)
     first = materialise(bronze_batch(spark, sf_dir), "bronze")  # the adapter runs once
-    target = materialise(stage(first))
-    return present(new_rows(with_redelivery(first), target))
+    sink.append_batch(first, store, "bronze")
+    load_silver(store)
+    sink.append_batch(reload_batch(first), store, "bronze")
+    head = store.log.head()
+    mark = head.properties[STAGING_MARK]
+    return present(rows_after(store.log.read("bronze", head, sink.new_batches(head, "bronze", mark)), mark))
 
 
 def flt_04(spark, sf_dir):
@@ -598,6 +603,74 @@ def mod_15(spark, sf_dir):
     return present(store.read("gold_fact_flight_delays").select(*FACT_COLUMNS))
 
 
+LATER_STAMP = RUN_STAMP + dt.timedelta(days=1)
+
+
+def _redelivered(spark, sf_dir) -> sink.Store:
+    """The daily run, then a second delivery of one year, staged."""
+    first = materialise(bronze_batch(spark, sf_dir), "bronze")  # the adapter runs once
+    store = store_for(spark)
+    run_daily(first.select(*CSV_COLUMNS), store, RUN_MONTH, ingested_at=RUN_STAMP, now=NOW)
+    load_bronze(reload_batch(first).select(*CSV_COLUMNS), store, ingested_at=LATER_STAMP)
+    load_silver(store)
+    return store
+
+
+def _trio_totals(store: sink.Store, phase: str) -> DataFrame:
+    """Flights per year in the three tables that are published together."""
+    flights = ("arr_flights", "total_flights_state", "total_flights_state")
+    return Q.union_all([
+        store.read(table).groupBy("year").agg(F.sum(c).alias("flights")).select(
+            F.lit(phase).alias("phase"), F.lit(table).alias("table_name"), "year", "flights")
+        for table, c in zip(GOLD_TRIO, flights, strict=True)])
+
+
+def mod_16(spark, sf_dir):
+    """A publication that fails after two of its three writes, then its rerun: readers see the old
+    trio until the commit, and the new one as a whole."""
+    store = _redelivered(spark, sf_dir)
+    build_marts(store)
+    year = [int(RUN_MONTH[:4])]
+    phases = [materialise(_trio_totals(store, "published"))]
+    base = store.log.head()
+    source = store.read("fact_flight_delays").where(F.col("year").isin(year))
+    for table, rows in zip(GOLD_TRIO[:2], (source.select(*FACT_COLUMNS), carrier_state(source)), strict=True):
+        sink.stage_slices(rows, store, table, year)  # written; the third write never comes, so nothing is committed
+    assert store.log.head().version == base.version
+    phases.append(materialise(_trio_totals(store, "interrupted")))
+    publish_fact_years(store, year)
+    phases.append(_trio_totals(store, "rerun"))
+    return Q.union_all(phases)
+
+
+def mod_17(spark, sf_dir):
+    """The carrier mart kept up by year slices after the second delivery."""
+    store = _redelivered(spark, sf_dir)
+    build_marts(store)
+    return present(store.read("carrier_delay_performance"))
+
+
+def mod_18(spark, sf_dir):
+    """Which years of the fact and of the monthly mart the second delivery rewrote, with their rows."""
+    store = _redelivered(spark, sf_dir)
+    before = store.log.head()
+    build_marts(store)
+    after = store.log.head()
+    parts = []
+    for table in ("fact_flight_delays", "monthly_delay_trends"):
+        rewritten = [int(y) for y in after.parts(table) if after.location(table, y) != before.location(table, y)]
+        parts.append(store.read(table).groupBy("year").agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(table).alias("table_name"), "year", "row_count", F.col("year").isin(rewritten).alias("rewritten")))
+    return Q.union_all(parts)
+
+
+def mod_19(spark, sf_dir):
+    """The monthly mart kept up by year slices after the second delivery."""
+    store = _redelivered(spark, sf_dir)
+    build_marts(store)
+    return present(store.read("monthly_delay_trends"))
+
+
 # ------------------------------------------- file layouts, seeded sample
 
 

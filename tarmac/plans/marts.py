@@ -8,6 +8,8 @@ rounded half away from zero.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,18 +20,24 @@ def _total(c: str, alias: str):
     return F.round(F.sum(c), 2).alias(alias)
 
 
-def carrier_delay_performance(fact: DataFrame) -> DataFrame:
-    sums = fact.groupBy("carrier_key", "carrier", "carrier_name").agg(
-        F.sum("arr_flights").alias("total_flights"),
-        F.sum("arr_del15").alias("total_delayed"),
-        F.sum("arr_cancelled").alias("total_cancelled"),
-        _total("arr_delay", "total_delay_minutes"),
-        _total("carrier_delay", "total_carrier_delay_minutes"),
-        _total("weather_delay", "total_weather_delay_minutes"),
-        _total("nas_delay", "total_nas_delay_minutes"),
-        _total("security_delay", "total_security_delay_minutes"),
-        _total("late_aircraft_delay", "total_late_aircraft_delay_minutes"),
-    )
+# mart column -> summed fact column
+CARRIER_SUMS = {
+    "total_flights": "arr_flights",
+    "total_delayed": "arr_del15",
+    "total_cancelled": "arr_cancelled",
+    "total_delay_minutes": "arr_delay",
+    "total_carrier_delay_minutes": "carrier_delay",
+    "total_weather_delay_minutes": "weather_delay",
+    "total_nas_delay_minutes": "nas_delay",
+    "total_security_delay_minutes": "security_delay",
+    "total_late_aircraft_delay_minutes": "late_aircraft_delay",
+}
+
+
+def _carrier_mart(rows: DataFrame, sources: Mapping[str, str]) -> DataFrame:
+    minutes = [c for c in CARRIER_SUMS if c.endswith("_minutes")]
+    sums = rows.groupBy("carrier_key", "carrier", "carrier_name").agg(
+        *[_total(src, c) if c in minutes else F.sum(src).alias(c) for c, src in sources.items()])
     return sums.select(
         "carrier_key",
         "carrier",
@@ -38,18 +46,22 @@ def carrier_delay_performance(fact: DataFrame) -> DataFrame:
         "total_delayed",
         "total_cancelled",
         exact_ratio("total_delayed", "total_flights", factor=100).alias("delay_rate_pct"),
-        "total_delay_minutes",
-        "total_carrier_delay_minutes",
-        "total_weather_delay_minutes",
-        "total_nas_delay_minutes",
-        "total_security_delay_minutes",
-        "total_late_aircraft_delay_minutes",
+        *minutes,
         exact_ratio("total_delay_minutes", "total_delayed", num_scale=2).alias(
             "avg_delay_minutes_per_delayed_flight"
         ),
     )
 
 
+def carrier_delay_performance(fact: DataFrame) -> DataFrame:
+    return _carrier_mart(fact, CARRIER_SUMS)
+
+
+def carrier_mart_of(sums: DataFrame) -> DataFrame:
+    """The carrier mart from per-year sums (``CARRIER_SUMS`` by year and carrier)."""
+    return _carrier_mart(sums, {c: c for c in CARRIER_SUMS})
+
+
 def monthly_delay_trends(fact: DataFrame, ordered: bool = True) -> DataFrame:
     sums = fact.groupBy("date_key", "year", "month").agg(
         F.sum("arr_flights").alias("total_flights"),

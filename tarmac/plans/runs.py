@@ -9,25 +9,24 @@ what cuts the lineage between stages.
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.dates import month_keys, parse_month_key, utc_stamp
-from tarmac.operators.broadcast import DIM_BROADCAST_ROWS
 from tarmac.operators.quality import union_all
 from tarmac.plans import checks
-from tarmac.plans.dims import dim_airport, dim_carrier, dim_date
-from tarmac.plans.fact import fact_flight_delays
-from tarmac.plans.marts import carrier_delay_performance, monthly_delay_trends
+from tarmac.plans.maintain import Maintained, in_parallel, maintain_marts
 from tarmac.plans.rollup import carrier_state, monthly_state
-from tarmac.plans.staging import check_schema, check_target, stage
+from tarmac.plans.staging import check_schema, check_target, rows_after, stage
 from tarmac.schemas import BRONZE, CSV_COLUMNS, FACT_COLUMNS
 from tarmac.sinks import tables as sink
 from tarmac.sources.csv_source import read_raw_csv
 
+#: property of the commit record: newest ``_ingested_at`` in staging, microseconds since 1970 UTC
+STAGING_MARK = "staging_mark"
+GOLD_TRIO = ("gold_fact_flight_delays", "gold_carrier_state", "gold_monthly_state")
 
 
 def stamp_batch(df: DataFrame, ingested_at: dt.datetime | Column | None = None) -> DataFrame:
@@ -44,52 +43,42 @@ def load_bronze(batch: DataFrame | str, store: sink.Store, ingested_at=None) ->
     if isinstance(batch, str):
         batch = read_raw_csv(store.spark, batch)
     stamped = stamp_batch(batch, ingested_at)
-    return sink.append(stamped.select([F.col(f.name).cast(f.dataType) for f in BRONZE.fields]), store, "bronze")
+    rows = stamped.select([F.col(f.name).cast(f.dataType) for f in BRONZE.fields])
+    if store.exists("bronze") and not store.governed("bronze"):
+        return sink.append(rows, store, "bronze")
+    return sink.append_batch(rows, store, "bronze")
 
 
 def load_silver(store: sink.Store, normalise_first: bool = True) -> int:
-    """Incremental staging: new bronze rows, deduped and cleaned, upserted by id."""
+    """Incremental staging: new bronze rows, deduped and cleaned, upserted by id.
+
+    The high-water mark is a property of the commit record, set by the same
+    commit as the upsert it belongs to. With the newest stamp of every bronze
+    batch in the record as well, neither staging nor an older batch is opened.
+    """
+    base = store.log.head()
     target = store.read("staging") if store.exists("staging") else None
-    batch = stage(store.read("bronze"), target, normalise_first=normalise_first)
+    properties = {}
+    if "bronze" in base.tables and (target is None or STAGING_MARK in base.properties):
+        mark = base.properties.get(STAGING_MARK) if target is not None else None
+        fresh = sink.new_batches(base, "bronze", mark)
+        if not fresh:
+            return 0
+        newest = [n for b in fresh if (n := base.parts("bronze")[b]["newest"]) is not None]
+        properties = {STAGING_MARK: max([*newest, *([mark] if mark is not None else [])], default=None)}
+        batch = stage(rows_after(store.log.read("bronze", base, fresh), mark), None, normalise_first=normalise_first)
+    else:  # tables written without commit records: the mark comes from a scan of staging
+        batch = stage(store.read("bronze"), target, normalise_first=normalise_first)
     check_schema(batch)
     if target is not None:
         check_target(target, batch)
     with sink.scratch_table(batch, store, "staging_batch") as written:  # read three times by the upsert
-        return sink.upsert(written, store, "staging")
-
-
-def in_parallel(*actions, max_workers: int = 4) -> list:
-    """Run independent Spark actions from a few driver threads (Spark
-    schedules jobs of different threads concurrently); results in order."""
-    with ThreadPoolExecutor(max_workers=max_workers) as pool:
-        return [f.result() for f in [pool.submit(a) for a in actions]]
-
+        return sink.upsert(written, store, "staging", properties=properties)
 
-def _broadcast_if(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a dimension whose written row count is known to be small."""
-    return F.broadcast(df) if rows <= DIM_BROADCAST_ROWS else df
 
-
-def build_marts(store: sink.Store, chunk_size: int | None = None) -> None:
-    """Rebuild dims, fact and the two marts from staging (table replace)."""
-    staging = store.read("staging")
-    n_carrier, n_airport, n_date = in_parallel(
-        lambda: sink.full_reload(dim_carrier(staging), store, "dim_carrier", chunk_size),
-        lambda: sink.full_reload(dim_airport(staging), store, "dim_airport", chunk_size),
-        lambda: sink.full_reload(dim_date(staging), store, "dim_date", chunk_size),
-    )
-    # the observed row counts of the dimension writes are the size check
-    carriers = _broadcast_if(store.read("dim_carrier"), n_carrier)
-    airports = _broadcast_if(store.read("dim_airport"), n_airport)
-    dates = _broadcast_if(store.read("dim_date"), n_date)
-    fact = fact_flight_delays(staging, carriers, airports, dates)
-    sink.write_layout(fact, store, "fact_flight_delays", chunk_size=chunk_size)
-    fact = store.read("fact_flight_delays")
-    in_parallel(
-        lambda: sink.full_reload(carrier_delay_performance(fact), store, "carrier_delay_performance", chunk_size),
-        lambda: sink.full_reload(monthly_delay_trends(fact, ordered=False), store, "monthly_delay_trends",
-                                 chunk_size),
-    )
+def build_marts(store: sink.Store, chunk_size: int | None = None) -> Maintained:
+    """Dimensions, fact and the two marts from the years of staging that changed."""
+    return maintain_marts(store, chunk_size)
 
 
 def publish_dims(store: sink.Store, chunk_size: int | None = None) -> None:
@@ -103,24 +92,25 @@ def publish_dims(store: sink.Store, chunk_size: int | None = None) -> None:
 
 
 def publish_fact_years(store: sink.Store, years: list[int], chunk_size: int | None = None) -> int:
-    """Replace the gold fact slices and the matching state slices for ``years``.
+    """Replace the gold fact slices and the matching state slices for ``years``, as one unit.
 
-    Fact slice and state slices come from the same source rows, so a rerun
-    replaces both and never double-counts a year.
+    The three are staged from the same source rows and named by one commit
+    record: a reader, or a rerun after a failure anywhere before it, sees the
+    old trio or the new one, never a mixture.
     """
+    years = sorted(set(years))
+    for table in GOLD_TRIO:
+        sink.govern(store, table, "year")
+    base = store.log.head()
     source = store.read("fact_flight_delays").where(F.col("year").isin(years)).select(*FACT_COLUMNS)
-
-    def fact_slices() -> int:
-        if len(years) == 1:
-            return sink.replace_slice(source, store, "gold_fact_flight_delays", years[0], chunk_size=chunk_size)
-        return sink.replace_slices(source, store, "gold_fact_flight_delays", years, chunk_size=chunk_size)
-
-    rows, _, _ = in_parallel(
-        fact_slices,
-        lambda: sink.replace_slices(carrier_state(source), store, "gold_carrier_state", years, chunk_size=chunk_size),
-        lambda: sink.replace_slices(monthly_state(source), store, "gold_monthly_state", years, chunk_size=chunk_size),
+    fact, states, months = GOLD_TRIO
+    staged = in_parallel(
+        lambda: sink.stage_slices(source, store, fact, years, chunk_size=chunk_size),
+        lambda: sink.stage_slices(carrier_state(source), store, states, years, chunk_size=chunk_size),
+        lambda: sink.stage_slices(monthly_state(source), store, months, years, chunk_size=chunk_size),
     )
-    return rows
+    store.log.commit(staged, base)
+    return staged[0].rows
 
 
 @dataclass
@@ -162,7 +152,8 @@ def run_daily(batch: DataFrame | str, store: sink.Store, month_key: str, ingeste
               chunk_size: int | None = None) -> RunResult:
     """One scheduled run for ``month_key``: append, stage, marts, gold, checks.
 
-    The gold fact is refreshed for the whole year of the month key.
+    The gold fact is refreshed for the whole year of the month key. Folders
+    that only old commit records name are deleted at the end.
     """
     year = parse_month_key(month_key).year
     bronze_rows = load_bronze(batch, store, ingested_at)
@@ -170,6 +161,7 @@ def run_daily(batch: DataFrame | str, store: sink.Store, month_key: str, ingeste
     build_marts(store, chunk_size)
     publish_dims(store, chunk_size)
     fact_rows = publish_fact_years(store, [year], chunk_size)
+    store.log.vacuum()
     now_col = utc_stamp(now) if now is not None else F.current_timestamp()
     return RunResult(bronze_rows, silver_rows, fact_rows, all_checks(store, now_col))
 

@@ -42,10 +42,12 @@ def new_rows(bronze: DataFrame, target: DataFrame | None) -> DataFrame:
     """
     if target is None:
         return bronze
-    mark = high_water_mark(target)
-    if mark is None:
-        return bronze
-    return bronze.where(F.col("_ingested_at") > F.timestamp_micros(F.lit(mark)))
+    return rows_after(bronze, high_water_mark(target))
+
+
+def rows_after(bronze: DataFrame, mark: int | None) -> DataFrame:
+    """Rows stamped after ``mark`` (microseconds); all rows without a mark."""
+    return bronze if mark is None else bronze.where(F.col("_ingested_at") > F.timestamp_micros(F.lit(mark)))
 
 
 def dedupe_order() -> list[Column]:

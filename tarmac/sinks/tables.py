@@ -1,52 +1,66 @@
 """Table sinks: append, full reload, slice replace, upsert, layout.
 
-Tables are catalog tables in one database whose location is a folder on
-shared storage (``Store``), written as parquet. Writes never pass through
-the driver; row counts come from an ``Observation`` on the written frame,
-not from a second scan.
+Tables of a ``Store`` are parquet under one folder on shared storage: plain
+catalog tables, or tables governed by commit records (``sinks.commits``), whose
+partitions are written once into new folders and become visible with one
+record. Writes never pass through the driver; row counts come from an
+``Observation`` on the written frame, not from a second scan.
 
 Rerun safety:
 
-* ``append`` adds a batch again on a rerun (bag semantics of a raw layer);
+* ``append`` / ``append_batch`` add a batch again on a rerun (bag semantics of a raw layer);
 * ``full_reload`` replaces the whole table (empty input -> empty table);
 * ``replace_slice`` / ``replace_slices`` replace whole ``year`` partitions
-  (dynamic partition overwrite, then ``DROP PARTITION`` for a slice that
-  came out empty, so an emptied year does not keep its old rows);
+  (a slice that came out empty leaves no old rows); ``stage_slices`` stops
+  before the commit, so slices of several tables can be published as one;
 * ``upsert`` replaces rows by key inside the touched partitions only.
+
+A governed write that fails before its commit changes nothing readers see.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.session import work_dir
+from tarmac.sinks.commits import CommitLog, Record, Staged, in_values
+
+BATCH = "_batch"
 
 
 class Store:
-    """A database of parquet tables located under one shared folder."""
+    """A database of parquet tables located under one shared folder, with its commit records."""
 
     def __init__(self, spark: SparkSession, root: str | None = None, database: str | None = None):
         self.spark = spark
         self.root = root or work_dir(spark, "store")
         self.database = database or f"tarmac_{uuid.uuid4().hex[:10]}"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}'")
+        self.log = CommitLog(spark, self.root, f"{self.database}_shown")
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
 
+    def governed(self, table: str) -> bool:
+        """Whether commit records hold the table."""
+        return table in self.log.head().tables
+
     def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(self.name(table))
+        return self.governed(table) or self.spark.catalog.tableExists(self.name(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(self.name(table))
+        """The table as last committed; the frame keeps this version."""
+        head = self.log.head()
+        return self.log.read(table, head) if table in head.tables else self.spark.table(self.name(table))
 
     def drop(self) -> None:
         """Drop the database with its tables and files (frames read from it stop working)."""
+        self.log.drop()
         self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
 
 
@@ -68,6 +82,10 @@ def _check_chunk(chunk_size: int | None) -> None:
         raise ValueError("chunk_size must be greater than 0")
 
 
+def _chunk(chunk_size: int | None) -> dict[str, int]:
+    return {"maxRecordsPerFile": chunk_size} if chunk_size else {}
+
+
 def _by_partition(df: DataFrame, partition_col: str) -> DataFrame:
     """Rows of a partition value together, in evenly sized tasks (AQE merges small
     values and splits large ones), so a write opens about one file per value and
@@ -90,6 +108,31 @@ def append(df: DataFrame, store: Store, table: str, partition_by: Sequence[str]
     return int(obs.get.get("rows", 0))
 
 
+def append_batch(df: DataFrame, store: Store, table: str, stamp_col: str = "_ingested_at") -> int:
+    """Append a batch as a partition of its own, named in the commit record with its newest stamp.
+
+    Readers of new batches (``new_batches``) open no older file, however many there are.
+    """
+    base = store.log.head()
+    label = f"{len(base.parts(table)) + 1:08d}-{uuid.uuid4().hex[:8]}"
+    staged, got = store.log.stage(df.withColumn(BATCH, F.lit(label)), table, BATCH, replaces=[label], hidden=True,
+                                  observe={"newest": F.unix_micros(F.max(stamp_col))})
+    if staged.parts[label] is None:  # an empty batch
+        staged.parts.clear()
+    else:
+        staged.parts[label].update(newest=got.get("newest"), rows=staged.rows)
+    store.log.commit([staged], base)
+    return staged.rows
+
+
+def new_batches(record: Record, table: str, mark: int | None) -> list[str]:
+    """Batches that hold rows stamped after ``mark`` (microseconds); all of them without a mark.
+
+    Decided from the commit record alone.
+    """
+    return [b for b, e in record.parts(table).items() if mark is None or (e["newest"] is not None and e["newest"] > mark)]
+
+
 def full_reload(df: DataFrame, store: Store, table: str, chunk_size: int | None = None) -> int:
     """Truncate-and-insert: the table afterwards holds exactly ``df``.
 
@@ -97,6 +140,11 @@ def full_reload(df: DataFrame, store: Store, table: str, chunk_size: int | None
     positive. Without it files follow the tasks' sizes.
     """
     _check_chunk(chunk_size)
+    base = store.log.head()
+    if table in base.tables:
+        staged, _ = store.log.stage(df, table, base.tables[table]["partition_col"], options=_chunk(chunk_size))
+        store.log.commit([staged], base)
+        return staged.rows
     observed, obs = _observed(df, "reload")
     writer = observed.write.format("parquet").mode("overwrite")
     if chunk_size:
@@ -105,9 +153,11 @@ def full_reload(df: DataFrame, store: Store, table: str, chunk_size: int | None
     return int(obs.get.get("rows", 0))
 
 
-def _insert_columns(df: DataFrame, store: Store, table: str) -> list[str]:
-    """Target column order (partition columns last) for positional inserts."""
-    return store.read(table).columns
+def govern(store: Store, table: str, partition_col: str) -> None:
+    """Bring a plain catalog table under the commit records: written once more, whole."""
+    if not store.governed(table) and store.exists(table):
+        staged, _ = store.log.stage(_by_partition(store.read(table), partition_col), table, partition_col)
+        store.log.commit([staged], store.log.head())
 
 
 def replace_slice(df: DataFrame, store: Store, table: str, year: int, partition_col: str = "year",
@@ -117,84 +167,83 @@ def replace_slice(df: DataFrame, store: Store, table: str, year: int, partition_
     return replace_slices(df, store, table, [year], partition_col, chunk_size)
 
 
+def stage_slices(df: DataFrame, store: Store, table: str, values: Iterable | None, partition_col: str = "year",
+                 chunk_size: int | None = None, sort_cols: Sequence[str] = (), bloom_cols: Sequence[str] = ()) -> Staged:
+    """Write the rows of these partition values once, for a later ``store.log.commit``.
+
+    Values without rows go with the commit; None replaces the whole table.
+    With ``sort_cols`` the files have the serving layout (see ``write_layout``).
+    """
+    _check_chunk(chunk_size)
+    if values is not None:
+        values = list(dict.fromkeys(values))
+        df = df.where(in_values(partition_col, values))
+    arranged = _layout(df, partition_col, sort_cols) if sort_cols else _by_partition(df, partition_col)
+    staged, _ = store.log.stage(arranged, table, partition_col, replaces=values, options={**_chunk(chunk_size), **_blooms(bloom_cols)})
+    return staged
+
+
 def replace_slices(df: DataFrame, store: Store, table: str, years: Iterable[int], partition_col: str = "year",
                    chunk_size: int | None = None) -> int:
-    """Replace several year partitions in one job (dynamic partition overwrite).
+    """Replace several year partitions with one write and one commit; returns the rows written.
 
-    Years of ``years`` with no rows in ``df`` are dropped afterwards, so an
-    empty slice also ends up empty. The set of years written is gathered by
-    the write itself (an observed ``collect_set`` of a handful of integers).
+    Years of ``years`` with no rows in ``df`` end up empty. The set of years
+    written is gathered by the write itself (an observed ``collect_set`` of a
+    handful of integers).
     """
     _check_chunk(chunk_size)
-    years = sorted({int(y) for y in years})
-    if not store.exists(table):  # first load: a plain partitioned write
-        cols = [c for c in df.columns if c != partition_col] + [partition_col]
-        observed, obs = _observed(_by_partition(df.where(F.col(partition_col).isin(years)).select(*cols), partition_col), "slices")
-        writer = observed.write.format("parquet").partitionBy(partition_col)
-        if chunk_size:
-            writer = writer.option("maxRecordsPerFile", chunk_size)
-        writer.saveAsTable(store.name(table))
-        return int(obs.get.get("rows", 0))
-    cols = _insert_columns(df, store, table)
-    scoped = _by_partition(df.where(F.col(partition_col).isin(years)).select(*cols), partition_col)
-    observed, obs = _observed(scoped, "slices", F.collect_set(partition_col).alias("years"))
-    spark = df.sparkSession
-    writer = observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if chunk_size:
-        writer = writer.option("maxRecordsPerFile", chunk_size)
-    writer.insertInto(store.name(table))
-    written = set(obs.get.get("years") or [])
-    for y in years:
-        if y not in written:
-            spark.sql(f"ALTER TABLE {store.name(table)} DROP IF EXISTS PARTITION ({partition_col} = {y})")
-    return int(obs.get.get("rows", 0))
+    govern(store, table, partition_col)
+    base = store.log.head()
+    staged = stage_slices(df, store, table, sorted({int(y) for y in years}), partition_col, chunk_size)
+    store.log.commit([staged], base)
+    return staged.rows
 
 
 def upsert(batch: DataFrame, store: Store, table: str, key: str = "airline_delay_id",
-           partition_col: str = "year", version_col: str | None = None) -> int:
+           partition_col: str = "year", version_col: str | None = None, properties: Mapping | None = None) -> int:
     """delete+insert by ``key``: rows of ``batch`` replace rows with the same key.
 
-    Only partitions touched by the batch are rewritten: the existing rows of
-    those partitions minus the batch keys (anti join) plus the batch are
-    staged to a new table, then swapped in with a dynamic overwrite. A key
-    cannot move between partitions because the partition column is part of
-    the key. NULL keys never match, so existing NULL-key rows stay, those of
-    the NULL partition included.
+    Only partitions touched by the batch are rewritten, once: their existing
+    rows minus the batch keys (anti join) plus the batch go to new folders,
+    which the commit puts in the old ones' place together with
+    ``properties``. A key cannot move between partitions because the partition
+    column is part of the key. NULL keys never match, so existing NULL-key rows
+    stay, those of the NULL partition included.
     With ``version_col`` a stored row whose version is newer (NULL is newest)
     stays and the batch row is left out, whatever the order of arrival; at
     equal versions the later arrival wins.
     ``batch`` should be materialised: it is read for its years, its keys
     and its rows. Returns the row count of the rewritten partitions.
     """
-    if not store.exists(table):  # first load: nothing to replace
-        observed, obs = _observed(_by_partition(batch, partition_col), "upsert")
-        observed.write.format("parquet").partitionBy(partition_col).saveAsTable(store.name(table))
-        return int(obs.get.get("rows", 0))
-    cols = _insert_columns(batch, store, table)
-    # The touched partitions (a handful of years) become a static partition
-    # filter, so only those directories of the target are listed and read.
-    touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
+    govern(store, table, partition_col)
+    base = store.log.head()
+    if table not in base.tables:  # first load: nothing to replace
+        staged, _ = store.log.stage(_by_partition(batch, partition_col), table, partition_col)
+        store.log.commit([staged], base, properties)
+        return staged.rows
+    touched = [r[0] for r in batch.select(partition_col).distinct().collect()]  # a handful of years
     if not touched:
+        if properties:
+            store.log.commit([], base, properties)
         return 0
-    in_touched = F.col(partition_col).isin([y for y in touched if y is not None])
-    if None in touched:
-        in_touched = F.col(partition_col).isNull() | in_touched
-    existing = store.read(table).where(in_touched)
+    existing = store.log.read(table, base, touched)
     if version_col:
         stored = existing.select(F.col(key).alias("__key"), F.col(version_col).alias("__version"))
         newer = (F.col("__version").isNull() & F.col(version_col).isNotNull()) | (F.col("__version") > F.col(version_col))
         batch = batch.join(stored, (F.col(key) == F.col("__key")) & newer, "left_anti")
     kept = existing.join(batch.select(key), key, "left_anti")  # duplicate batch keys cannot change an anti join
-    merged = kept.select(*cols).unionByName(batch.select(*cols))
-    stage_name = f"{table}__stage_{uuid.uuid4().hex[:8]}"
-    spark = batch.sparkSession
-    try:
-        _by_partition(merged, partition_col).write.format("parquet").partitionBy(partition_col).saveAsTable(store.name(stage_name))
-        observed, obs = _observed(_by_partition(store.read(stage_name).select(*cols), partition_col), "upsert")
-        observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(store.name(table))
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {store.name(stage_name)}")
-    return int(obs.get.get("rows", 0))
+    merged = kept.select(*existing.columns).unionByName(batch.select(*existing.columns))
+    staged, _ = store.log.stage(_by_partition(merged, partition_col), table, partition_col, replaces=touched)
+    store.log.commit([staged], base, properties)
+    return staged.rows
+
+
+def _layout(df: DataFrame, partition_col: str, sort_cols: Sequence[str]) -> DataFrame:
+    return df.repartitionByRange(partition_col, *sort_cols).sortWithinPartitions(partition_col, *sort_cols)
+
+
+def _blooms(bloom_cols: Sequence[str]) -> dict[str, str]:
+    return {f"parquet.bloom.filter.enabled#{c}": "true" for c in bloom_cols}
 
 
 def write_layout(df: DataFrame, store: Store, table: str, partition_col: str = "year",
@@ -209,14 +258,9 @@ def write_layout(df: DataFrame, store: Store, table: str, partition_col: str = "
     lookups skip row groups.
     """
     _check_chunk(chunk_size)
-    ordered = df.repartitionByRange(partition_col, *sort_cols).sortWithinPartitions(partition_col, *sort_cols)
-    observed, obs = _observed(ordered, "layout")
+    observed, obs = _observed(_layout(df, partition_col, sort_cols), "layout")
     writer = observed.write.format("parquet").mode("overwrite").partitionBy(partition_col)
-    for c in bloom_cols:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
-    if chunk_size:
-        writer = writer.option("maxRecordsPerFile", chunk_size)
-    writer.saveAsTable(store.name(table))
+    writer.options(**_blooms(bloom_cols), **_chunk(chunk_size)).saveAsTable(store.name(table))
     return int(obs.get.get("rows", 0))
 
 
