@@ -16,13 +16,16 @@ schema, which a caller may show, write, or turn into an exception.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.functions.dates import age_tenths_half_up
+from tarmac.operators.broadcast import DIM_BROADCAST_ROWS
+from tarmac.session import materialise
 
 # Message formats of the checks (kept word for word).
 MSG_NULLS = "Column '{col}' contains {n} null value(s)."
@@ -180,6 +183,63 @@ def orphans_frame(child: DataFrame, parent: DataFrame, key: str, skip_null: bool
     return c.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).join(parent.select(key), key, "left_anti")
 
 
+def failing_rows(check: str, layer: str, condition: Column | None) -> Rule:
+    """Violations = rows matching ``condition``, or (None) the sum of ``__n``: rows per key of a derived frame."""
+    m, n = metric(F.coalesce(F.sum("__n"), F.lit(0)) if condition is None else F.count_if(condition))
+    return Rule(check, layer, "ERROR", [m], n, F.concat(n.cast("string"), F.lit(" failing row(s).")), F.lit("Passed."))
+
+
+@dataclass
+class Link:
+    """A foreign key of a table. ``rule(condition)`` gives its check from a condition on the table's rows, or
+    (None) on a frame of orphan keys with their number of rows ``__n``."""
+
+    key: str
+    parent: DataFrame
+    rule: Callable[[Column | None], Rule]
+    skip_null: bool = False
+
+
+def with_links(df: DataFrame, links: Sequence[Link], max_rows: int = DIM_BROADCAST_ROWS) -> tuple[DataFrame, list[Rule], list[DataFrame]]:
+    """``df`` with its parents' keys joined on, rules over them, and check rows of links to large parents.
+
+    Parents of at most ``max_rows`` rows (counted, not estimated) are broadcast,
+    so all their foreign keys are counted in the scan that serves the table's
+    other rules; distinct keys are joined, so no row is doubled. A larger
+    parent gets the anti join on counted keys of ``orphans_frame`` instead.
+    """
+    out, rules, apart = df, [], []
+    for i, link in enumerate(links):
+        if link.parent.limit(max_rows + 1).count() > max_rows:
+            apart.append(evaluate(orphans_frame(df, link.parent, link.key, link.skip_null), [link.rule(None)]))
+            continue
+        found = f"__parent{i}"
+        keys = link.parent.select(F.col(link.key).alias(found)).where(F.col(found).isNotNull()).distinct()
+        out = out.join(F.broadcast(keys), F.col(link.key) == F.col(found), "left")
+        missing = F.col(found).isNull()
+        rules.append(link.rule(missing & F.col(link.key).isNotNull() if link.skip_null else missing))
+    return out, rules, apart
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str], label: str = "twice", max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+    """The keys that occur more than once, with their number of rows ``__n`` (NULL keys group together).
+
+    Only an 8-byte hash per row is shuffled to find hashes seen twice; these
+    candidates are written first. Without any (the usual case) the table is not read
+    again; otherwise a second scan counts exactly, and shuffles the
+    candidates' rows only.
+    """
+    hashed = F.xxhash64(*keys).alias("__h")
+    twice, seen = materialise(df.select(hashed).groupBy("__h").agg(F.count(F.lit(1)).alias("__c")).where("__c > 1").select("__h"),
+                              label, {"rows": F.count(F.lit(1))})
+    rows = seen.get("rows") or 0
+    if not rows:
+        return df.sparkSession.createDataFrame([], T.StructType([df.schema[k] for k in keys])).withColumn("__n", F.lit(0).cast("long"))
+    if rows <= max_rows:
+        twice = F.broadcast(twice)
+    return df.select(*keys, hashed).join(twice, "__h", "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+
+
 def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """All rules of one frame in one aggregation -> one check row per rule."""
     metrics = [m for r in rules for m in r.metrics]

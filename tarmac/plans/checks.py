@@ -1,8 +1,9 @@
 """Wired check suites per layer (DQ-07..22).
 
 Every suite returns a CHECK_RESULT DataFrame. Within a table all
-null/range/count/freshness rules share one aggregation pass; uniqueness and
-referential checks add one shuffle each.
+null/range/count/freshness rules share one aggregation pass, and so do the
+foreign keys to parents of a counted, bounded size. Uniqueness shuffles an
+8-byte hash per row; keys are counted only where a hash occurs twice.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.operators import quality as Q
+from tarmac.session import in_parallel
 from tarmac.schemas import DELAY_COLUMNS, KEY_COLUMNS
 
 SILVER_KEYS = KEY_COLUMNS + ["airline_delay_id"]
@@ -69,24 +71,28 @@ def bronze_checks(bronze: DataFrame, now: Column) -> DataFrame:
     )
 
 
+def silver_rules() -> list[Q.Rule]:
+    """The row rules of the silver suite (uniqueness aside)."""
+    return [
+        Q.no_nulls(SILVER_KEYS, "no_null_key_columns", "silver", _sev("no_null_key_columns"), _ok("no_null_key_columns")),
+        Q.value_range("month", 1, 12, "month_range", "silver", _sev("month_range"), _ok("month_range")),
+        Q.combine([Q.value_range(c, 0, None, "non_negative_delays", "silver") for c in DELAY_COLUMNS],
+                  "non_negative_delays", "silver", _sev("non_negative_delays"), _ok("non_negative_delays")),
+    ]
+
+
+def _fact_rows() -> Q.Rule:
+    return Q.min_row_count(1, "fact_row_count", "gold", _sev("fact_row_count"), _ok("fact_row_count"), CHECKS["fact_row_count"][2])
+
+
 def silver_checks(staging: DataFrame, only: set[str] | None = None) -> DataFrame:
     """Silver suite; ``only`` limits it to the named checks (nothing else runs)."""
     want = lambda name: only is None or name in only
-    rules = []
-    if want("no_null_key_columns"):
-        rules.append(Q.no_nulls(SILVER_KEYS, "no_null_key_columns", "silver", _sev("no_null_key_columns"),
-                                _ok("no_null_key_columns")))
-    if want("month_range"):
-        rules.append(Q.value_range("month", 1, 12, "month_range", "silver", _sev("month_range"), _ok("month_range")))
-    if want("non_negative_delays"):
-        rules.append(Q.combine(
-            [Q.value_range(c, 0, None, "non_negative_delays", "silver") for c in DELAY_COLUMNS],
-            "non_negative_delays", "silver", _sev("non_negative_delays"), _ok("non_negative_delays"),
-        ))
+    rules = [r for r in silver_rules() if want(r.check)]
     frames = [Q.evaluate(staging, rules)] if rules else []
     if want("unique_surrogate_key"):
         frames.insert(0, Q.evaluate(
-            Q.duplicates_frame(staging, ["airline_delay_id"]),
+            Q.repeated_keys(staging, ["airline_delay_id"]),
             [Q.duplicates_rule(["airline_delay_id"], "unique_surrogate_key", "silver", _sev("unique_surrogate_key"),
                                _ok("unique_surrogate_key"))],
         ))
@@ -108,8 +114,7 @@ def gold_checks(fact: DataFrame, carriers: DataFrame, airports: DataFrame, dates
     want = lambda name: only is None or name in only
     frames = []
     if want("fact_row_count"):
-        frames.append(Q.evaluate(fact, [Q.min_row_count(1, "fact_row_count", "gold", _sev("fact_row_count"),
-                                                        _ok("fact_row_count"), CHECKS["fact_row_count"][2])]))
+        frames.append(Q.evaluate(fact, [_fact_rows()]))
     if want("no_null_carrier_columns"):
         frames.append(Q.evaluate(carriers, [_empty_text(["carrier_key", "carrier", "carrier_name"],
                                                         "no_null_carrier_columns")]))
@@ -149,38 +154,72 @@ RELATIONSHIP_TESTS = [
 ]
 
 
+def unique_rule(model: str, column: str) -> Q.Rule:
+    """Failures = non-NULL values that occur more than once, over a frame of repeated keys."""
+    m, n = Q.metric(F.count_if(F.col(column).isNotNull()))
+    return Q.Rule(f"unique_{model}_{column}", model, "ERROR", [m], n, F.concat(n.cast("string"), F.lit(" failing row(s).")), F.lit("Passed."))
+
+
+def not_null_rules(model: str, columns: Sequence[str]) -> list[Q.Rule]:
+    return [Q.failing_rows(f"not_null_{model}_{c}", model, F.col(c).isNull()) for c in columns]
+
+
+def link_of(child: str, key: str, parent: DataFrame) -> Q.Link:
+    """Failures = child rows with a non-NULL key missing from the parent."""
+    return Q.Link(key, parent, lambda condition: Q.failing_rows(f"relationships_{child}_{key}", child, condition), skip_null=True)
+
+
 def unique_tests(models: Mapping[str, DataFrame], tests: Mapping[str, list[str]] = UNIQUE_TESTS) -> DataFrame:
-    """Failures = non-NULL values that occur more than once."""
-    frames = []
-    for model, cols in tests.items():
-        for c in cols:
-            dup_values = (
-                models[model].where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("__n"))
-                .where(F.col("__n") > 1)
-            )
-            frames.append(Q.evaluate(dup_values, [Q.count_rule(f"unique_{model}_{c}", model, "ERROR", "",
-                                                                " failing row(s).", "Passed.")]))
+    """Failures = non-NULL values that occur more than once; 8-byte hashes decide which keys are counted at all."""
+    jobs = [(model, c) for model, cols in tests.items() for c in cols]
+    frames = in_parallel(*[lambda m=m, c=c: Q.evaluate(Q.repeated_keys(models[m], [c]), [unique_rule(m, c)]) for m, c in jobs])
     return Q.union_all(frames)
 
 
 def not_null_tests(models: Mapping[str, DataFrame], tests: Mapping[str, list[str]] = NOT_NULL_TESTS) -> DataFrame:
     """Failures = NULL rows; all columns of one model in one pass."""
-    frames = []
-    for model, cols in tests.items():
-        rules = []
-        for c in cols:
-            m, n = Q.metric(F.count_if(F.col(c).isNull()))
-            rules.append(Q.Rule(f"not_null_{model}_{c}", model, "ERROR", [m], n,
-                                F.concat(n.cast("string"), F.lit(" failing row(s).")), F.lit("Passed.")))
-        frames.append(Q.evaluate(models[model], rules))
-    return Q.union_all(frames)
+    return Q.union_all([Q.evaluate(models[model], not_null_rules(model, cols)) for model, cols in tests.items()])
 
 
 def relationship_tests(models: Mapping[str, DataFrame], tests=RELATIONSHIP_TESTS) -> DataFrame:
-    """Failures = child rows with a non-NULL key missing from the parent."""
+    """Failures = child rows with a non-NULL key missing from the parent; all links of a child in one scan."""
     frames = []
-    for child, key, parent in tests:
-        orphans = Q.orphans_frame(models[child], models[parent], key, skip_null=True)
-        frames.append(Q.evaluate(orphans, [Q.count_rule(f"relationships_{child}_{key}", child, "ERROR", "",
-                                                         " failing row(s).", "Passed.", weight="__n")]))
+    for child in dict.fromkeys(c for c, _, _ in tests):
+        links = [link_of(child, key, models[parent]) for c, key, parent in tests if c == child]
+        flagged, rules, apart = Q.with_links(models[child], links)
+        frames += ([Q.evaluate(flagged, rules)] if rules else []) + apart
+    return Q.union_all(frames)
+
+
+def suite(bronze: DataFrame, models: Mapping[str, DataFrame], gold_fact: DataFrame, gold_carriers: DataFrame,
+          gold_airports: DataFrame, gold_dates: DataFrame, now: Column) -> DataFrame:
+    """Every check of every layer, with one scan per table for all row and foreign-key rules and one for
+    the hashes of its unique columns.
+
+    ``models`` are the tables of UNIQUE_TESTS and NOT_NULL_TESTS, by name. Nothing
+    is read a third time unless a hash occurs twice.
+    """
+    staging, fact = "stg_airline_delay_data", "fact_flight_delays"
+    links = [link_of(c, key, models[parent]) for c, key, parent in RELATIONSHIP_TESTS if c == fact]
+    gold_links = [Q.Link(key, frame, lambda condition, key=key: _count_check(f"no_orphaned_{key.replace('_key', '')}_keys", "gold", condition))
+                  for key, frame in (("carrier_key", gold_carriers), ("airport_key", gold_airports), ("date_key", gold_dates))]
+    repeated = dict(zip(models, in_parallel(*[lambda m=m: Q.repeated_keys(models[m], UNIQUE_TESTS[m]) for m in models]), strict=True))
+    frames = [bronze_checks(bronze, now)]
+    for model, df in models.items():
+        rules, apart = not_null_rules(model, NOT_NULL_TESTS[model]), []
+        if model == staging:
+            rules = silver_rules() + rules
+        if model == fact:
+            df, more, apart = Q.with_links(df, links)
+            rules += more
+        frames += [Q.evaluate(df, rules), *apart]
+        keys = [unique_rule(model, c) for c in UNIQUE_TESTS[model]]
+        if model == staging:
+            keys.insert(0, Q.duplicates_rule(["airline_delay_id"], "unique_surrogate_key", "silver", _sev("unique_surrogate_key"),
+                                             _ok("unique_surrogate_key")))
+        frames.append(Q.evaluate(repeated[model], keys))
+    linked, rules, apart = Q.with_links(gold_fact, gold_links)
+    frames.append(Q.evaluate(linked, [_fact_rows(), *rules]))
+    frames += apart
+    frames.append(gold_checks(gold_fact, gold_carriers, gold_airports, gold_dates, only={"no_null_carrier_columns", "no_null_airport_columns"}))
     return Q.union_all(frames)

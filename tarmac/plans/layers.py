@@ -13,17 +13,16 @@ for the planner.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.operators.broadcast import DIM_BROADCAST_ROWS, bounded_broadcast
 from tarmac.plans.dims import dim_airport, dim_carrier, dim_date
 from tarmac.plans.fact import fact_flight_delays
 from tarmac.plans.staging import stage
-from tarmac.session import work_dir
+from tarmac.session import materialise
 
 
 @dataclass
@@ -35,22 +34,6 @@ class Layers:
     fact: DataFrame
 
 
-def materialise(df: DataFrame, label: str = "cut", observe: dict[str, Column] | None = None):
-    """Write ``df`` as parquet under the shared checkpoint folder; read it back.
-
-    With ``observe`` ({name: aggregate}), the aggregates are computed by the
-    write itself (an ``Observation``, no extra scan) and returned with the
-    frame: ``(frame, {name: value})``.
-    """
-    path = work_dir(df.sparkSession, label)
-    if observe:
-        obs = Observation(f"{label}_{uuid.uuid4().hex[:8]}")
-        df = df.observe(obs, *[agg.alias(name) for name, agg in observe.items()])
-    df.write.mode("overwrite").parquet(path)
-    back = df.sparkSession.read.parquet(path)
-    return (back, obs.get) if observe else back
-
-
 def _dim_for_join(dim: DataFrame, staging_rows: int | None) -> DataFrame:
     """Broadcast a dimension only behind an exact bound.
 

@@ -14,7 +14,6 @@ therefore always equal to a full rebuild.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -25,6 +24,7 @@ from tarmac.operators.partial_state import partial_state
 from tarmac.plans.dims import dim_airport, dim_carrier, dim_date
 from tarmac.plans.fact import fact_flight_delays
 from tarmac.plans.marts import CARRIER_SUMS, carrier_mart_of, monthly_delay_trends
+from tarmac.session import in_parallel
 from tarmac.sinks import tables as sink
 from tarmac.sinks.commits import NULL_VALUE, Record, in_values
 
@@ -42,13 +42,6 @@ class Maintained:
     rebuilt: list
 
 
-def in_parallel(*actions, max_workers: int = 4) -> list:
-    """Run independent Spark actions from a few driver threads (Spark
-    schedules jobs of different threads concurrently); results in order."""
-    with ThreadPoolExecutor(max_workers=max_workers) as pool:
-        return [f.result() for f in [pool.submit(a) for a in actions]]
-
-
 def _year(name: str) -> int | None:
     return None if name == NULL_VALUE else int(name)
 

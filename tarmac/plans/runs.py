@@ -15,12 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.dates import month_keys, parse_month_key, utc_stamp
-from tarmac.operators.quality import union_all
 from tarmac.plans import checks
-from tarmac.plans.maintain import Maintained, in_parallel, maintain_marts
+from tarmac.plans.maintain import Maintained, maintain_marts
 from tarmac.plans.rollup import carrier_state, monthly_state
 from tarmac.plans.staging import check_schema, check_target, rows_after, stage
 from tarmac.schemas import BRONZE, CSV_COLUMNS, FACT_COLUMNS
+from tarmac.session import in_parallel
 from tarmac.sinks import tables as sink
 from tarmac.sources.csv_source import read_raw_csv
 
@@ -122,30 +122,13 @@ class RunResult:
 
 
 def all_checks(store: sink.Store, now: Column) -> DataFrame:
-    models = {
-        "stg_airline_delay_data": store.read("staging"),
-        "dim_carrier": store.read("dim_carrier"),
-        "dim_airport": store.read("dim_airport"),
-        "dim_date": store.read("dim_date"),
-        "fact_flight_delays": store.read("fact_flight_delays"),
-        "carrier_delay_performance": store.read("carrier_delay_performance"),
-        "monthly_delay_trends": store.read("monthly_delay_trends"),
-    }
-    return union_all(
-        [
-            checks.bronze_checks(store.read("bronze"), now),
-            checks.silver_checks(store.read("staging")),
-            checks.gold_checks(
-                store.read("gold_fact_flight_delays"),
-                store.read("gold_dim_carrier"),
-                store.read("gold_dim_airport"),
-                store.read("gold_dim_date"),
-            ),
-            checks.unique_tests(models),
-            checks.not_null_tests(models),
-            checks.relationship_tests(models),
-        ]
-    )
+    """Every check of the run; at most two scans of any table (see ``checks.suite``)."""
+    head = store.log.head()
+    read = lambda name: store.log.read(name, head) if name in head.tables else store.read(name)
+    models = {"stg_airline_delay_data": read("staging")} | {name: read(name) for name in (
+        "dim_carrier", "dim_airport", "dim_date", "fact_flight_delays", "carrier_delay_performance", "monthly_delay_trends")}
+    return checks.suite(read("bronze"), models, read("gold_fact_flight_delays"), read("gold_dim_carrier"),
+                        read("gold_dim_airport"), read("gold_dim_date"), now)
 
 
 def run_daily(batch: DataFrame | str, store: sink.Store, month_key: str, ingested_at=None, now=None,

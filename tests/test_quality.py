@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from engine_helpers import plan_text
 from tarmac.operators import quality as Q
 
 NOW = dt.datetime(2024, 6, 1, 12, 0, 0)
@@ -93,8 +94,74 @@ def test_orphans_anti_join_and_null_handling(spark):
 def test_one_aggregation_per_frame(spark):
     df = spark.createDataFrame([(1, None)], "month int, x int")
     out = Q.evaluate(df, [Q.no_nulls(["x"], "a", "l"), Q.value_range("month", 1, 12, "b", "l")])
-    from engine_helpers import plan_text
-
     plan = plan_text(out, "simple")
     assert plan.count("HashAggregate(") <= 2  # partial + final, shared by both rules
     assert out.count() == 2
+
+
+def scans(df, column: str) -> int:
+    """Parquet scans of the executed plan that read ``column``."""
+    import re
+
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return len([1 for line in re.findall(r"Scan parquet .*|FileScan parquet .*", text) if column in line])
+
+
+def test_suite_reads_the_fact_once_for_rules_and_links(spark, store):
+    from tarmac.plans import checks
+
+    fact = spark.createDataFrame([(f"id{i}", 202401 + i % 3, f"c{i % 4}" if i % 9 else None, f"a{i % 5}") for i in range(90)],
+                                 "airline_delay_id string, date_key int, carrier_key string, airport_key string")
+    fact.write.saveAsTable(store.name("fact"))
+    parents = {"carrier_key": ["c0", "c1", "c2"], "airport_key": [f"a{i}" for i in range(5)] + ["a0"], "date_key": [202401, 202402]}
+    frames = {k: spark.createDataFrame([(v,) for v in vs], f"{k} {'int' if k == 'date_key' else 'string'}") for k, vs in parents.items()}
+    models = {"fact_flight_delays": store.read("fact"), "dim_carrier": frames["carrier_key"], "dim_airport": frames["airport_key"],
+              "dim_date": frames["date_key"]}
+    got = checks.relationship_tests(models)
+    assert scans(got, "carrier_key") == 1
+    want = {}
+    rows = fact.collect()
+    for key, vs in parents.items():
+        want[f"relationships_fact_flight_delays_{key}"] = sum(r[key] is not None and r[key] not in vs for r in rows)
+    assert {r.check: r.violations for r in got.collect()} == want
+    flagged, rules, apart = Q.with_links(models["fact_flight_delays"], [checks.link_of("fact_flight_delays", k, f) for k, f in frames.items()], max_rows=2)
+    assert len(rules) == 1 and len(apart) == 2  # parents above the bound are joined by counted keys
+    both = Q.union_all([Q.evaluate(flagged, rules), *apart])
+    assert {r.check: r.violations for r in both.collect()} == want
+
+
+def test_repeated_keys_are_counted_exactly_and_not_read_again_without_any(spark, store):
+    rows = [("a", 1), ("a", 1), ("a", 2), ("b", 1), (None, 1), (None, None), (None, None), ("c", 3)]
+    df = spark.createDataFrame(rows * 1, "k string, n int")
+    assert {(r.k, r.n): r["__n"] for r in Q.repeated_keys(df, ["k", "n"]).collect()} == {("a", 1): 2, (None, None): 2}
+    assert {r.k: r["__n"] for r in Q.repeated_keys(df, ["k"], max_rows=0).collect()} == {"a": 3, None: 3}
+    spark.range(1000).withColumn("k", F.md5(F.col("id").cast("string"))).write.saveAsTable(store.name("keys"))
+    unique = Q.repeated_keys(store.read("keys"), ["k"])
+    assert unique.count() == 0 and "FileScan" not in plan_text(unique, "simple")
+
+
+def test_suite_equals_the_single_checks(spark):
+    import os
+
+    import pytest
+    from engine_helpers import SF_SMALL
+
+    if not os.path.exists(SF_SMALL):
+        pytest.skip("driver data missing")
+    from tarmac.catalog.queries import NOW, _models, bronze_from_star, dirty_staging, layers
+    from tarmac.functions.dates import utc_stamp
+    from tarmac.plans import checks
+    from tarmac.session import materialise
+
+    lay = layers(spark, SF_SMALL)
+    models = {k: materialise(v) for k, v in (_models(lay) | {"stg_airline_delay_data": dirty_staging(lay.staging)}).items()}
+    models["dim_date"] = models["dim_date"].where("month <> 3")
+    bronze, now = bronze_from_star(spark, SF_SMALL), utc_stamp(NOW)
+    gold = [models["fact_flight_delays"], lay.dim_carrier.where("carrier_key < '8'"), lay.dim_airport, models["dim_date"]]
+    whole = checks.suite(bronze, models, *gold, now)
+    apart = [checks.bronze_checks(bronze, now), checks.silver_checks(models["stg_airline_delay_data"]), checks.gold_checks(*gold),
+             checks.unique_tests(models), checks.not_null_tests(models), checks.relationship_tests(models)]
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    got = rows(whole)
+    assert got == rows(Q.union_all(apart)) and sum(not r[4] for r in got) >= 6
