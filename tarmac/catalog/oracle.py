@@ -578,6 +578,14 @@ SELECT * FROM (SELECT 'latest_month', CAST(month_start AS VARCHAR), delay_rate_p
     # chunked, sorted and bloom-indexed writes must read back the fact unchanged
     for key in ("snk_06", "snk_11", "snk_12"):
         sql[key] = core + f"SELECT {fact_cols} FROM fact"
+    sql["snk_18"] = core + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, true AS in_every_row_group, CAST(0 AS BIGINT) AS rows_read_for_absent_code, "
+        f"count(*) AS rows_of_first_code FROM fact WHERE {c} = (SELECT min({c}) FROM fact)" for c in ("carrier", "airport"))
+    sql["snk_13"] = core + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, true AS skipped_enough, count(*) AS row_count FROM fact"
+        for c in ("month", "carrier_key", "airport_key"))
+    sql["snk_14"] = core + ("SELECT year, count(*) AS row_count, CAST(0 AS BIGINT) AS out_of_order, CAST(1 AS BIGINT) AS overlap_depth "
+                            "FROM fact GROUP BY year")
     sql["snk_07"] = core + f"SELECT {fact_cols} FROM fact WHERE year = 1998"
     undated = present(STAGING_COLS).replace("airline_delay_id", "CAST(NULL AS VARCHAR) AS airline_delay_id", 1).replace(
         "year", "CAST(NULL AS INTEGER) AS year", 1)

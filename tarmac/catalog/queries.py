@@ -39,6 +39,7 @@ from tarmac.schemas import (
     MEASURE_COLUMNS,
     STAGING_COLUMNS,
 )
+from tarmac.sinks import layout
 from tarmac.sinks import tables as sink
 from tarmac.sources.star_adapter import bronze_batch, bronze_from_star, reload_batch, with_redelivery
 from tarmac.sources.tables import read_table
@@ -704,6 +705,49 @@ def snk_12(spark, sf_dir):
     return present(store.read("fact_bloom").select(*FACT_COLUMNS))
 
 
+def snk_18(spark, sf_dir):
+    """Bloom filters of the code columns: in how many row groups' footers they stand, and what lookups read."""
+    store = store_for(spark)
+    sink.write_layout(layers(spark, sf_dir).fact, store, "fact_bloom", chunk_size=1000)
+    fact = store.read("fact_bloom")
+    told = materialise(layout.footers(fact, ["carrier", "airport"]))
+    parts = []
+    for column in ("carrier", "airport"):
+        least = fact.agg(F.min(column)).first()[0]  # the codes of the fact sort after it and before its repetition
+        absent = layout.rows_read(fact.where(F.col(column) == F.lit(f"{least}!")))
+        parts.append(told.where(F.col("column") == column).agg(F.min("has_bloom").alias("in_every_row_group")).select(
+            F.lit(column).alias("column_name"), "in_every_row_group", F.lit(absent).cast("long").alias("rows_read_for_absent_code"),
+            F.lit(fact.where(F.col(column) == least).count()).cast("long").alias("rows_of_first_code")))
+    return Q.union_all(parts)
+
+
+#: with about 50 row groups a year, three columns have fewer than four ranges each
+SKIPPED_AT_LEAST = 0.4
+
+
+def snk_13(spark, sf_dir):
+    """Share of row groups that a lookup by carrier, airport or month skips in the interleaved layout, against a bound."""
+    store = store_for(spark)
+    fact = materialise(layers(spark, sf_dir).fact, "fact")
+    columns = ["month", "carrier_key", "airport_key"]
+    sink.write_layout(fact, store, "fact_z", sort_cols=columns, chunk_size=100, interleave=True)
+    read = store.read("fact_z")
+    told = layout.footers(read, columns)
+    values = Q.union_all([fact.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")).distinct() for c in columns])
+    share = layout.skipped_share(told, values)
+    rows = read.agg(F.count(F.lit(1)).alias("row_count"))
+    return share.crossJoin(F.broadcast(rows)).select(
+        F.col("column").alias("column_name"), (F.col("skipped") >= SKIPPED_AT_LEAST).alias("skipped_enough"), "row_count")
+
+
+def snk_14(spark, sf_dir):
+    """Order and overlap of the files of the serving layout, by year."""
+    store = store_for(spark)
+    sink.write_layout(layers(spark, sf_dir).fact, store, "fact_sorted", chunk_size=500)
+    return layout.clustering(store.read("fact_sorted"), ["carrier_key", "airport_key", "date_key"]).select(
+        "year", "row_count", "out_of_order", "overlap_depth")
+
+
 def snk_17(spark, sf_dir):
     st = layers(spark, sf_dir).staging
     return present(sample_rows(st, 5, "airline_delay_id", seed=42))

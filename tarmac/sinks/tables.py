@@ -29,8 +29,11 @@ from pyspark.sql import functions as F
 
 from tarmac.session import work_dir
 from tarmac.sinks.commits import CommitLog, Record, Staged, in_values
+from tarmac.sinks.layout import interleaved
 
 BATCH = "_batch"
+#: distinct codes of a row group that a bloom filter is sized for (about 12 KB)
+BLOOM_DISTINCT = 10_000
 
 
 class Store:
@@ -242,23 +245,34 @@ def _layout(df: DataFrame, partition_col: str, sort_cols: Sequence[str]) -> Data
     return df.repartitionByRange(partition_col, *sort_cols).sortWithinPartitions(partition_col, *sort_cols)
 
 
-def _blooms(bloom_cols: Sequence[str]) -> dict[str, str]:
-    return {f"parquet.bloom.filter.enabled#{c}": "true" for c in bloom_cols}
+def _blooms(bloom_cols: Sequence[str], distinct: int = BLOOM_DISTINCT) -> dict[str, str]:
+    """Writer options that make the filters exist: the Parquet writer leaves out the filter of a column
+    whose pages are all dictionary-encoded, as pages of codes would be."""
+    return {option: value for c in bloom_cols for option, value in (
+        (f"parquet.bloom.filter.enabled#{c}", "true"), (f"parquet.enable.dictionary#{c}", "false"),
+        (f"parquet.bloom.filter.expected.ndv#{c}", str(distinct)))}
 
 
 def write_layout(df: DataFrame, store: Store, table: str, partition_col: str = "year",
                  sort_cols: Sequence[str] = ("carrier_key", "airport_key", "date_key"),
-                 bloom_cols: Sequence[str] = ("carrier", "airport"), chunk_size: int | None = None) -> int:
+                 bloom_cols: Sequence[str] = ("carrier", "airport"), chunk_size: int | None = None,
+                 interleave: bool = False) -> int:
     """Full write with the serving layout of the fact table.
 
     Rows are range-partitioned on (partition, sort key) and sorted inside
     each task, so each year directory holds files whose row groups cover
     narrow key ranges (min/max statistics skip the rest) and no single task
     owns a whole year; parquet bloom filters on the code columns let point
-    lookups skip row groups.
+    lookups skip row groups. With ``interleave`` rows are ordered by the
+    bit-interleaved ranks of ``sort_cols`` instead, so that lookups on any one
+    of them skip row groups, not on the first alone.
     """
     _check_chunk(chunk_size)
-    observed, obs = _observed(_layout(df, partition_col, sort_cols), "layout")
+    if interleave:
+        ordered = _layout(interleaved(df, sort_cols), partition_col, ["__z", *sort_cols]).drop("__z")
+    else:
+        ordered = _layout(df, partition_col, sort_cols)
+    observed, obs = _observed(ordered, "layout")
     writer = observed.write.format("parquet").mode("overwrite").partitionBy(partition_col)
     writer.options(**_blooms(bloom_cols), **_chunk(chunk_size)).saveAsTable(store.name(table))
     return int(obs.get.get("rows", 0))
