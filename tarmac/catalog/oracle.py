@@ -578,6 +578,9 @@ SELECT * FROM (SELECT 'latest_month', CAST(month_start AS VARCHAR), delay_rate_p
     # chunked, sorted and bloom-indexed writes must read back the fact unchanged
     for key in ("snk_06", "snk_11", "snk_12"):
         sql[key] = core + f"SELECT {fact_cols} FROM fact"
+    sql["snk_19"] = core + "\nUNION ALL\n".join(
+        f"SELECT '{phase}' AS phase, year, count(*) AS row_count, CAST(sum(arr_flights) AS BIGINT) AS flights FROM staging GROUP BY year"
+        for phase in ("before", "during", "after"))
     sql["snk_18"] = core + "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, true AS in_every_row_group, CAST(0 AS BIGINT) AS rows_read_for_absent_code, "
         f"count(*) AS rows_of_first_code FROM fact WHERE {c} = (SELECT min({c}) FROM fact)" for c in ("carrier", "airport"))

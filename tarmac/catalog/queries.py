@@ -39,7 +39,7 @@ from tarmac.schemas import (
     MEASURE_COLUMNS,
     STAGING_COLUMNS,
 )
-from tarmac.sinks import layout
+from tarmac.sinks import layout, versions
 from tarmac.sinks import tables as sink
 from tarmac.sources.star_adapter import bronze_batch, bronze_from_star, reload_batch, with_redelivery
 from tarmac.sources.tables import read_table
@@ -748,6 +748,21 @@ def snk_14(spark, sf_dir):
         "year", "row_count", "out_of_order", "overlap_depth")
 
 
+def snk_19(spark, sf_dir):
+    """Two deliveries as versions, read before, during and after their compaction: by year, rows and flights."""
+    store = store_for(spark)
+    first = materialise(bronze_batch(spark, sf_dir), "bronze")  # the adapter runs once
+    key = ["airline_delay_id"]
+    versions.append_versions(stage(first), store, "staging", key)
+    versions.append_versions(stage(reload_batch(first)), store, "staging", key)
+    by_year = lambda df, phase: df.groupBy("year").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("arr_flights").alias("flights")).withColumn("phase", F.lit(phase))
+    before = materialise(by_year(store.read("staging"), "before"))
+    reader = by_year(store.read("staging"), "during")  # planned before, run after the compaction's commit
+    versions.compact(store, "staging")
+    return Q.union_all([before, reader, by_year(store.read("staging"), "after")]).select("phase", "year", "row_count", "flights")
+
+
 def snk_17(spark, sf_dir):
     st = layers(spark, sf_dir).staging
     return present(sample_rows(st, 5, "airline_delay_id", seed=42))

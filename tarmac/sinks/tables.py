@@ -111,18 +111,22 @@ def append(df: DataFrame, store: Store, table: str, partition_by: Sequence[str]
     return int(obs.get.get("rows", 0))
 
 
-def append_batch(df: DataFrame, store: Store, table: str, stamp_col: str = "_ingested_at") -> int:
+def append_batch(df: DataFrame, store: Store, table: str, stamp_col: str = "_ingested_at", label: str | None = None,
+                 latest_by: Mapping | None = None) -> int:
     """Append a batch as a partition of its own, named in the commit record with its newest stamp.
 
-    Readers of new batches (``new_batches``) open no older file, however many there are.
+    Readers of new batches (``new_batches``) open no older file, however many
+    there are. A batch of a given ``label`` takes the place of an earlier one of
+    that label, and one that a compaction has taken in is not written again, so a
+    replayed write changes nothing.
     """
     base = store.log.head()
-    label = f"{len(base.parts(table)) + 1:08d}-{uuid.uuid4().hex[:8]}"
+    if label and any("first" in e and e["first"] <= label <= e["last"] for e in base.parts(table).values()):
+        return 0
+    label = label or f"{len(base.parts(table)) + 1:08d}-{uuid.uuid4().hex[:8]}"
     staged, got = store.log.stage(df.withColumn(BATCH, F.lit(label)), table, BATCH, replaces=[label], hidden=True,
-                                  observe={"newest": F.unix_micros(F.max(stamp_col))})
-    if staged.parts[label] is None:  # an empty batch
-        staged.parts.clear()
-    else:
+                                  observe={"newest": F.unix_micros(F.max(stamp_col))}, latest_by=latest_by and dict(latest_by))
+    if staged.parts[label] is not None:  # not an empty batch
         staged.parts[label].update(newest=got.get("newest"), rows=staged.rows)
     store.log.commit([staged], base)
     return staged.rows
