@@ -562,6 +562,10 @@ ap AS (SELECT airport, CAST(sum(arr_flights) AS BIGINT) AS total_flights, CAST(s
                      "CAST(sum(n - 1) AS BIGINT) AS excess_rows FROM (SELECT count(*) AS n FROM lineitem "
                      "GROUP BY l_orderkey, l_linenumber)")
     sql["agg_20"] = core + "SELECT year, month, count(*) AS row_count FROM fact GROUP BY year, month ORDER BY year, month"
+    sql["srt_01"] = core_marts + ("SELECT year, month, total_flights, CAST(row_number() OVER (ORDER BY year, month) AS INTEGER) AS place "
+                                  "FROM monthly_delay_trends")
+    sql["srt_03"] = W(CORE, MONTHLY_STATE, MONTHLY_TREND) + (
+        "SELECT month_start, total_flights, CAST(row_number() OVER (ORDER BY month_start) AS INTEGER) AS place FROM monthly_trend")
     sql["srt_02"] = core_marts + ("SELECT carrier, total_flights, total_delayed, delay_rate_pct FROM "
                                   "carrier_delay_performance ORDER BY delay_rate_pct DESC NULLS LAST, "
                                   "total_delayed DESC NULLS LAST, carrier LIMIT 10")
@@ -616,11 +620,11 @@ SELECT * FROM (SELECT 'latest_month', CAST(month_start AS VARCHAR), delay_rate_p
     sql["cnd_02"] = core + ("SELECT airline_delay_id, "
                             + ", ".join(f"CAST(COALESCE({c}, 0) AS DOUBLE) AS {c}" for c in DELAY_COLUMNS)
                             + " FROM staging")
-    sql["cnd_03"] = W(CORE, CARRIER_STATE) + (
-        "SELECT carrier, CAST(sum(total_flights_state) AS BIGINT) AS total_flights, "
-        "CAST(sum(total_delayed_state) AS BIGINT) AS total_delayed, "
-        f"{ratio('total_delayed', 'total_flights', factor=100)} AS delay_rate_pct "
-        "FROM carrier_state GROUP BY carrier HAVING total_flights > 0")
+    sql["cnd_03"] = """
+SELECT *, quantity / line_count AS quantity_per_line
+FROM (SELECT l_returnflag, l_linestatus, count(*) AS line_count, CAST(sum(CAST(l_quantity AS DECIMAL(10, 2))) AS DOUBLE) AS quantity
+      FROM lineitem GROUP BY l_returnflag, l_linestatus)
+WHERE line_count > 10 AND quantity / line_count > 1"""
     sql["mth_01"] = core + ("SELECT airline_delay_id, CAST(round(carrier_ct, 1) AS DOUBLE) AS carrier_ct_1, "
                             "CAST(round(weather_ct, 0) AS DOUBLE) AS weather_ct_0, "
                             "CAST(round(arr_delay, -1) AS DOUBLE) AS arr_delay_tens FROM staging")
@@ -661,6 +665,10 @@ SELECT * FROM (SELECT 'latest_month', CAST(month_start AS VARCHAR), delay_rate_p
         "text_lengths", "bronze", "ERROR", "(" + " + ".join(too_long.values()) + ")", "'All text columns fit their declared lengths.'",
         "concat_ws('; ', " + ", ".join(f"CASE WHEN {n} > 0 THEN 'Column ''{c}'' has ' || CAST({n} AS VARCHAR) || "
                                        f"' value(s) longer than {TEXT_LIMITS[c]} characters.' END" for c, n in too_long.items()) + ")")
+    sql["dq_24"] = core + """
+SELECT 'arr_flights' AS column_name, 'int' AS expected, 'string' AS found, (SELECT count(*) FROM staging WHERE arr_flights % 7 = 0) AS rows_lost
+UNION ALL SELECT 'weather_delay', 'decimal(10,2)', NULL, 0
+UNION ALL SELECT 'note', NULL, 'string', 0"""
     sql["dq_22"] = core_marts + _declarative("relationships")
 
     run = _run_core()

@@ -11,13 +11,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.dates import month_key_of, month_name, month_start, quarter_of, utc_stamp
 from tarmac.functions.keys import code_key
-from tarmac.functions.numeric import exact_ratio, sql_exact_ratio
+from tarmac.functions.numeric import exact_ratio
 from tarmac.operators import quality as Q
 from tarmac.operators.dedupe import collapse_latest, latest_per_key
 from tarmac.operators.partial_state import merge_states
@@ -37,6 +37,7 @@ from tarmac.schemas import (
     FACT_COLUMNS,
     KEY_COLUMNS,
     MEASURE_COLUMNS,
+    STAGING,
     STAGING_COLUMNS,
 )
 from tarmac.sinks import layout, versions
@@ -337,6 +338,19 @@ def agg_20(spark, sf_dir):
 # ----------------------------------------------------------------- sorting
 
 
+def srt_01(spark, sf_dir):
+    """Months of the monthly mart with their place in its order."""
+    months = monthly_delay_trends(layers(spark, sf_dir).fact, ordered=False)
+    place = F.row_number().over(Window.orderBy("year", "month"))  # one row per month
+    return months.select("year", "month", "total_flights", place.alias("place"))
+
+
+def srt_03(spark, sf_dir):
+    """Months of the served trend with their place in its order."""
+    trend = monthly_trend(monthly_state(layers(spark, sf_dir).fact))
+    return trend.select("month_start", "total_flights", F.row_number().over(Window.orderBy("month_start")).alias("place"))
+
+
 def srt_02(spark, sf_dir):
     mart = carrier_delay_performance(layers(spark, sf_dir).fact)
     return present(
@@ -451,21 +465,19 @@ def cnd_02(spark, sf_dir):
 
 
 def cnd_03(spark, sf_dir):
-    """Lateral alias reuse with GROUP BY and HAVING, in Spark SQL."""
-    state = carrier_state(layers(spark, sf_dir).fact)
-    ratio = sql_exact_ratio("total_delayed", "total_flights", factor=100, dialect="spark")
+    """Lateral alias reuse with GROUP BY and HAVING, in Spark SQL, over the lines."""
     # the frame is passed as a query argument: no session-wide temp view
     return spark.sql(
         """
-        SELECT carrier,
-               sum(total_flights_state) AS total_flights,
-               sum(total_delayed_state) AS total_delayed,
-               """ + ratio + """ AS delay_rate_pct
-        FROM {state}
-        GROUP BY carrier
-        HAVING total_flights > 0
+        SELECT l_returnflag, l_linestatus,
+               count(*) AS line_count,
+               CAST(sum(CAST(l_quantity AS DECIMAL(10, 2))) AS DOUBLE) AS quantity,
+               quantity / line_count AS quantity_per_line
+        FROM {lines}
+        GROUP BY l_returnflag, l_linestatus
+        HAVING line_count > 10 AND quantity_per_line > 1
         """,
-        state=state,
+        lines=read_table(spark, sf_dir, "lineitem", ["l_returnflag", "l_linestatus", "l_quantity"]),
     )
 
 
@@ -566,6 +578,14 @@ def dq_23(spark, sf_dir):
     return Q.evaluate(bronze_from_star(spark, sf_dir), [Q.text_length(BRONZE_TEXT_LIMITS, "text_lengths", "bronze")])
 
 
+def dq_24(spark, sf_dir):
+    """Staging as a changed feed would deliver it, against its contract: a count as text with words
+    in it, a column gone and a new one."""
+    st = layers(spark, sf_dir).staging
+    flights = F.when(F.col("arr_flights") % 7 == 0, F.lit("n/a")).otherwise(F.col("arr_flights").cast("string"))
+    return Q.drift(st.withColumn("arr_flights", flights).drop("weather_delay").withColumn("note", F.lit("x")), STAGING)
+
+
 # ------------------------------------------------------------- end to end
 
 

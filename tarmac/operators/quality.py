@@ -257,6 +257,24 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.agg(*metrics).select(F.inline(F.array(*rows)))
 
 
+def drift(df: DataFrame, expected: T.StructType) -> DataFrame:
+    """One row per column that differs from the contract: expected and found type (null: no such column),
+    and the rows that hold a value the expected type cannot take. One aggregation; no row if all agree."""
+    found = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    want = {f.name: f.dataType.simpleString() for f in expected.fields}
+    changed = [c for c in [*want, *[c for c in found if c not in want]] if found.get(c) != want.get(c)]
+    metrics, rows = [], []
+    for c in changed:
+        lost = F.col(f"`{c}`").isNotNull() & F.expr(f"try_cast(`{c}` AS {want[c]})").isNull() if c in found and c in want else F.lit(False)
+        m, n = metric(F.count_if(lost))
+        metrics.append(m)
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(want.get(c)).cast("string").alias("expected"),
+                             F.lit(found.get(c)).cast("string").alias("found"), n.cast("long").alias("rows_lost")))
+    if not rows:
+        return df.sparkSession.createDataFrame([], "column_name string, expected string, found string, rows_lost long")
+    return df.agg(*metrics).select(F.inline(F.array(*rows)))
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

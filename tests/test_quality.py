@@ -165,3 +165,15 @@ def test_suite_equals_the_single_checks(spark):
     rows = lambda df: sorted(map(tuple, df.collect()))
     got = rows(whole)
     assert got == rows(Q.union_all(apart)) and sum(not r[4] for r in got) >= 6
+
+
+def test_drift_counts_what_the_contract_cannot_take(spark):
+    from pyspark.sql import types as T
+
+    want = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.DateType()), T.StructField("c", T.StringType()),
+                         T.StructField("gone", T.DoubleType())])
+    df = spark.createDataFrame([("1", "2024-01-02", "x", 1), ("1.5x", "soon", None, 2), (None, None, "y", 3), ("99999999999", "2024-02-30", "z", 4)],
+                               "a string, b string, c string, extra int")
+    assert [tuple(r) for r in Q.drift(df, want).collect()] == [
+        ("a", "int", "string", 2), ("b", "date", "string", 2), ("gone", "double", None, 0), ("extra", None, "int", 0)]
+    assert Q.drift(df, df.schema).collect() == []
