@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from unicodedata import category
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,12 @@ GRAMS = (1, 2, 3)
 SMOOTHING = 0.5
 BATCH_CHARS = 1 << 20
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character of Unicode category L stands in the text (numbers such as ² or Ⅷ do not count)."""
+    return any(category(c[0])[0] == "L" for c in _MAYBE_LETTER.finditer(text))
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +88,7 @@ class Model:
             best = log.argmax(axis=0)
             posterior = 1.0 / np.exp(log - log.max(axis=0)).sum(axis=0)
             for i, t in enumerate(part):
-                if _LETTER.search(t):
+                if has_letter(t):
                     names[at + i], scores[at + i] = self.langs[best[i]], posterior[i]
         return names, scores
 
@@ -127,12 +133,13 @@ def fit(docs: DataFrame) -> Model:
 
 def with_language(docs: DataFrame, model: Model, name: str, text: str = "text") -> DataFrame:
     """``docs`` plus a struct column ``name`` (lang, score)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x SLOTS floats
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.logp, model.prior))  # languages x SLOTS floats
 
     @F.pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = Model(*shared.value)  # plain values travel; workers need not have this package
         for batch in batches:
-            names, scores = shared.value.predict(batch.tolist())
+            names, scores = known.predict(batch.tolist())
             yield pd.DataFrame({"lang": names, "score": scores})
 
     return docs.withColumn(name, predict(text_or_empty(text)))

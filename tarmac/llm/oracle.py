@@ -49,11 +49,7 @@ lines AS (
   SELECT rid, host, t, trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g')) AS line,
          len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n
   FROM (SELECT rid, host, t, unnest(ls) AS l FROM docs)),
-hosts AS (SELECT host, count(DISTINCT t) AS docs FROM docs GROUP BY host),
-frequent AS (
-  SELECT f.host, f.line
-  FROM (SELECT host, line, count(DISTINCT t) AS c FROM lines GROUP BY host, line HAVING count(DISTINCT t) > 10) f
-  JOIN hosts h ON f.host IS NOT DISTINCT FROM h.host WHERE f.c > 0.02 * h.docs),
+frequent AS (SELECT host, line FROM lines GROUP BY host, line HAVING count(DISTINCT t) > 10),
 gone AS (
   SELECT l.rid, sum(l.n) AS n FROM lines l JOIN frequent f ON l.line = f.line AND l.host IS NOT DISTINCT FROM f.host GROUP BY l.rid),
 counted AS (

@@ -46,22 +46,27 @@ class Encoder:
 
     A single space between two non-space characters always begins a new
     pre-token, so a text falls into chunks there whose ids do not depend on
-    their neighbours; each distinct chunk is encoded once per worker. Strings
-    of special tokens in a text are ordinary text.
+    their neighbours; each distinct chunk is encoded once per worker. The file's
+    added tokens are found first, as the tokenizers library does, and the text
+    between them is encoded by itself.
     """
 
     def __init__(self, path: str):
         import re
 
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            told = json.load(f)
+        model, added = told["model"], told.get("added_tokens", [])
+        self.added = {a["content"]: np.array([a["id"]], "<u4").tobytes() for a in added}
+        self._added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
+        bent = any(a[k] for a in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
         vocab, alphabet = model["vocab"], _byte_alphabet()
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         order = [vocab[a + b] for a, b in pairs]
         self.known: dict[str, bytes] = {}
         self._apart = re.compile(r"(?<=\S) (?=\S)")
         self._odd = re.compile(r"\s\s|^\s|\s$")
-        if all(x < y for x, y in zip(order, order[1:], strict=False)):
+        if all(x < y for x, y in zip(order, order[1:], strict=False)) and not bent:
             import tiktoken
 
             made = set(order)
@@ -72,7 +77,6 @@ class Encoder:
             from tokenizers import Tokenizer
 
             inner = Tokenizer.from_file(path)
-            inner.encode_special_tokens = True
             self._ids = lambda s: inner.encode(s, add_special_tokens=False).ids
 
     def _chunk(self, chunk: str) -> bytes:
@@ -82,6 +86,11 @@ class Encoder:
         return ids
 
     def encode(self, text: str) -> bytes:
+        if self._added is not None and self._added.search(text):
+            return b"".join(self.added.get(part) or self._plain(part) for part in self._added.split(text))
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if not text:
             return b""
         parts = (self._apart.split(text) if self._odd.search(text) else text.split(" "))

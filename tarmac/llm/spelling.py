@@ -32,6 +32,8 @@ MIN_LENGTH, MIN_COUNT, RATIO = 7, 2, 10
 TILE = 32_768
 #: distinct words a task counts before it passes them on
 HELD_WORDS = 200_000
+#: rows (a word in a block) that one task compares
+TASK_ROWS = 100_000
 
 
 def _letters() -> bytes:
@@ -193,7 +195,8 @@ def near_words(words: DataFrame, min_length: int = MIN_LENGTH, tile: int = TILE)
     """word, n_near, near_n, near_word: number of words one edit away and the best of them
     (largest n, then least in code-point order), for words (word, n) that have any.
 
-    ``words`` should be written: it is read twice.
+    ``words`` should be written: it is read three times. Tasks are as many as
+    the counted words ask for, each word standing in four blocks.
     """
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, members, index, out = None, [], None, []
@@ -233,7 +236,8 @@ def near_words(words: DataFrame, min_length: int = MIN_LENGTH, tile: int = TILE)
 
     dealt = _blocks(words, min_length, tile)
     order = ["k", "tile", "short", "second", F.col("own").desc()]
-    found = dealt.repartition("k", "tile").sortWithinPartitions(*order).mapInArrow(
+    tasks = max(1, -(-4 * words.count() // TASK_ROWS))
+    found = dealt.repartition(tasks, "k", "tile").sortWithinPartitions(*order).mapInArrow(
         compare, "word string, n_near long, near_n long, near_word string")
     best = F.min(F.struct((-F.col("near_n")).alias("m"), F.col("near_word").alias("w")))
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best")).select(
