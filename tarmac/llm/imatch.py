@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ PART_BYTES = 8 << 20
 #: parts are streamed in order, so a part may be larger than PART_BYTES; bounds stay few
 MAX_PARTS = 20_000
 SAMPLE_PER_PART = 20
+#: terms whose place in the lexicon a worker remembers; characters of texts signed at once
+HELD_TERMS, HELD_CHARS = 500_000, 2 << 20
 _U = np.uint64
 EMPTY = "0" * DIGITS
 
@@ -89,24 +92,44 @@ def family_levels(terms: np.ndarray) -> np.ndarray:
     return np.where(top == 0, LEVELS, LEVELS - 1 - np.floor(np.log2(np.maximum(top, 1))).astype(np.int64))
 
 
-def fingerprint(raw: bytes, terms: np.ndarray) -> str:
-    """The signature of a text with sorted lexicon terms ``terms``.
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> _U(27))) * _U(0x94D049BB133111EB)
+    return h ^ (h >> _U(31))
+
+
+def run_hashes(terms: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(owners, hash of each owner's terms in their order): a polynomial in an odd number, modulo 2^64, over mixed terms.
 
-    The first field hashes all of them; without any it hashes the whole text,
-    so that unlike texts outside the lexicon do not meet.
+    ``owner`` ascends; nothing is returned for owners without terms.
     """
+    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    sizes = np.diff(np.r_[starts, len(owner)])
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.full(int(sizes.max()), _U(0x9E3779B97F4A7C15)))
+        place = np.arange(len(owner)) - np.repeat(starts, sizes)
+        return owner[starts], _mixed(np.add.reduceat(_mixed(terms) * powers[place], starts))
+
+
+def fields_of(terms: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
+    """(texts, families, levels) 16-bit fields; 0 where a subset holds no term of the text.
+
+    Each text's sorted distinct lexicon terms lie together. A level's terms
+    are a subset of the level's before it, so a family costs about one pass.
+    """
+    out = np.zeros((count, FAMILIES, LEVELS - 1), np.uint16)
     if not len(terms):
-        return xxhash.xxh3_128_hexdigest(raw)[:DIGITS * 2] + EMPTY * (FAMILIES * (LEVELS - 1))
-    fields = [xxhash.xxh3_64_hexdigest(terms.tobytes())[:DIGITS * 2]]
-    for row in family_levels(terms):
-        deepest = int(row.max())
+        return out
+    for family, deepest in enumerate(family_levels(terms)):
+        part, own = terms, owner
         for level in range(1, LEVELS):
-            if level > deepest:
-                fields.append(EMPTY * (LEVELS - level))
+            keep = deepest >= level
+            part, own, deepest = part[keep], own[keep], deepest[keep]
+            if not len(part):
                 break
-            part = terms[row >= level]
-            fields.append(f"{xxhash.xxh3_64_intdigest(part.tobytes()) % (16 ** DIGITS - 1) + 1:0{DIGITS}x}")
-    return "".join(fields)
+            rows, h = run_hashes(part, own)
+            out[rows, family, level - 1] = h % _U(16 ** DIGITS - 1) + _U(1)
+    return out
 
 
 def likeness(a: str, b: str) -> float:
@@ -124,26 +147,59 @@ def likeness(a: str, b: str) -> float:
     return equal / used if used else 0.0
 
 
+def likenesses(a: np.ndarray, b: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """``likeness`` of rows of fields; ``same`` says which signatures are equal."""
+    used = (a[:, :, 0] | b[:, :, 0]) != 0
+    equal = ((a == b) & (a != 0)).any(axis=2)
+    total = used.sum(axis=1)
+    return np.where(same, 1.0, (equal & used).sum(axis=1) / np.maximum(total, 1))
+
+
 class Signer:
-    """Fingerprints of texts under one lexicon."""
+    """Fingerprints of texts under one lexicon (sorted term hashes).
+
+    A signature's first field hashes all lexicon terms of the text; without
+    any it hashes the whole text, so that unlike texts outside the lexicon do
+    not meet. A worker remembers the places in the lexicon of the terms it met.
+    """
 
     def __init__(self, lexicon: np.ndarray):
         self.lexicon = lexicon
+        self.place: dict[bytes, int] = {}  # 1 + place in the lexicon; 0: not in it
 
-    def sign(self, raws: list[bytes]) -> list[str]:
+    def _learn(self, terms: list[bytes]) -> None:
+        h = term_hashes(terms)
+        at = np.minimum(np.searchsorted(self.lexicon, h), max(0, len(self.lexicon) - 1))
+        found = self.lexicon[at] == h if len(self.lexicon) else np.zeros(len(h), bool)
+        self.place.update(zip(terms, np.where(found, at + 1, 0).tolist(), strict=True))
+
+    def sign(self, raws: list[bytes]) -> tuple[list[str], np.ndarray]:
+        """(signatures, fields) of texts."""
         words = [terms_of(r) for r in raws]
-        sizes = [len(w) for w in words]
-        flat = term_hashes(t for w in words for t in w)
-        if len(self.lexicon):
-            known = self.lexicon[np.minimum(np.searchsorted(self.lexicon, flat), len(self.lexicon) - 1)] == flat
-        else:
-            known = np.zeros(len(flat), bool)
-        out, at = [], 0
-        for raw, n in zip(raws, sizes, strict=True):
-            own = flat[at:at + n]
-            out.append(fingerprint(raw, np.unique(own[known[at:at + n]])))
-            at += n
-        return out
+        if len(self.place) > HELD_TERMS:
+            self.place.clear()
+        known = self.place
+        if new := [t for t in set().union(*words) if t not in known]:
+            self._learn(new)
+        flat = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.int64, sum(map(len, words)))
+        owner = np.repeat(np.arange(len(raws)), [len(w) for w in words])
+        width = len(self.lexicon) + 1
+        both = np.unique(owner[flat > 0] * width + flat[flat > 0])
+        owner, terms = both // width, self.lexicon[both % width - 1] if len(both) else np.zeros(0, np.uint64)
+        fields = fields_of(terms, owner, len(raws))
+        first = [xxhash.xxh3_128_hexdigest(r)[:DIGITS * 2] for r in raws]
+        if len(both):
+            for row, h in zip(*(x.tolist() for x in run_hashes(terms, owner)), strict=True):
+                first[row] = f"{h >> 32:08x}"
+        return [a + f.tobytes().hex() for a, f in zip(first, fields.astype(">u2"), strict=True)], fields
+
+
+def fingerprint(raw: bytes, terms: np.ndarray) -> str:
+    """The signature of a text with sorted lexicon terms ``terms``."""
+    if not len(terms):
+        return xxhash.xxh3_128_hexdigest(raw)[:DIGITS * 2] + EMPTY * (FAMILIES * (LEVELS - 1))
+    own = np.zeros(len(terms), np.int64)
+    return f"{int(run_hashes(terms, own)[1][0]) >> 32:08x}" + fields_of(terms, own, 1).astype(">u2").tobytes().hex()
 
 
 def edited(text: str, following: str) -> str:
@@ -204,26 +260,27 @@ def fingerprint_table(docs: DataFrame, low: float = IDF_LOW, high: float = IDF_H
                     names=["p", "lent", "rank", "none", "h", "doc_id", "packed"])
 
     dealt = texts.mapInArrow(deal, "p long, lent boolean, rank long, none boolean, h long, doc_id long, packed binary")
-    shared = spark.sparkContext.broadcast(signer)
+    shared = spark.sparkContext.broadcast(signer.lexicon)  # plain values travel; workers need not have this package
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        known = shared.value
+        known = Signer(shared.value)
         waiting: list[tuple] = []  # rows of the part so far without a next: (doc_id, text)
-        part, over = None, False
+        part, over, held = None, False, 0
 
         def settle(pairs: list[tuple]) -> pa.RecordBatch:
             now, then = [p[0][1] for p in pairs], [p[1][1] for p in pairs]
             new = [edited(a, b) for a, b in zip(now, then, strict=True)]
-            own = known.sign([t.encode("utf-8", "surrogatepass") for t in now])
-            last = known.sign([then[-1].encode("utf-8", "surrogatepass")])
-            changed = known.sign([t.encode("utf-8", "surrogatepass") for t in new])
-            following = own[1:] + last  # pairs are consecutive rows
+            # pairs are consecutive rows: the next of each is the one after it
+            signs, fields = known.sign([t.encode("utf-8", "surrogatepass") for t in [*now, then[-1]]])
+            changed, moved = known.sign([t.encode("utf-8", "surrogatepass") for t in new])
+            own, here = signs[:-1], fields[:-1]
+            near_edited = likenesses(here, moved, np.array([a == b for a, b in zip(own, changed, strict=True)]))
+            near_next = likenesses(here, fields[1:], np.array([a == b for a, b in zip(own, signs[1:], strict=True)]))
             return pa.record_batch([
                 pa.array([p[0][0] for p in pairs], pa.int64()), pa.array([len(t) for t in now], pa.int64()),
                 pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in new]), pa.array(own), pa.array(changed),
-                pa.array([likeness(a, b) for a, b in zip(own, changed, strict=True)], pa.float64()),
-                pa.array([likeness(a, b) for a, b in zip(own, following, strict=True)], pa.float64())],
+                pa.array(near_edited), pa.array(near_next)],
                 names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
         for batch in batches:
@@ -234,9 +291,11 @@ def fingerprint_table(docs: DataFrame, low: float = IDF_LOW, high: float = IDF_H
                     continue  # copies of the part's next row
                 row = (d, unpack.decompress(packed).decode("utf-8", "surrogatepass"))
                 waiting.append(row)
-                if lent or len(waiting) > 256:
+                held += len(row[1])
+                if lent or (len(waiting) > 1 and (len(waiting) > 256 or held > HELD_CHARS)):
                     yield settle(list(zip(waiting, waiting[1:], strict=False)))
                     waiting = [] if lent else waiting[-1:]
+                    held = sum(len(w[1]) for w in waiting)
                 over = lent
 
     return (dealt.repartition("p").sortWithinPartitions("p", "lent", "none", "rank", "h").select("p", "lent", "doc_id", "packed")

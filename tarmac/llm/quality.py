@@ -128,11 +128,12 @@ def learn(texts: list[str], labels: np.ndarray) -> Model:
 def with_scores(docs: DataFrame, model: Model, name: str, text: str = "text") -> DataFrame:
     """``docs`` plus column ``name``, 0 to 1. Null and empty texts, which resemble
     nothing, get the sample's share of label 1."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: TERMS x AXES + 2 x per_class x AXES floats
+    shared = docs.sparkSession.sparkContext.broadcast(  # fixed size: TERMS x AXES + 2 x per_class x AXES floats
+        (model.weights, model.axes, model.vectors, model.labels, model.prior))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = shared.value
+        known = Model(*shared.value)  # plain values travel; workers need not have this package
         for batch in batches:
             yield pd.Series(known.score(batch.tolist()))
 

@@ -201,3 +201,43 @@ def test_contexts_cross_words_and_chunks():
         assert (lm.spell(words[20:], zeros[20:], texts[20:])[3][k] == whole[3][k][whole[1] >= 20]).all()
     moved = lm.spell(words[::-1][1:], zeros[:40], texts[:40])
     assert len(moved[0]) == len(whole[0]) - 1 and set(moved[3][6]) != set(whole[3][6])
+
+
+def plain_fields(terms):
+    """One text's fields by the definition, in plain integers: per family and level, the terms that reach it."""
+    full = (1 << 64) - 1
+
+    def mixed(h):
+        h = (h ^ (h >> 30)) * 0xBF58476D1CE4E5B9 & full
+        h = (h ^ (h >> 27)) * 0x94D049BB133111EB & full
+        return h ^ (h >> 31)
+
+    out = []
+    for family in range(1, imatch.FAMILIES + 1):
+        zeros = {t: 64 - mixed(t ^ (family * 0x9E3779B97F4A7C15 & full)).bit_length() for t in terms}
+        for level in range(1, imatch.LEVELS):
+            part = [t for t in sorted(terms) if zeros[t] >= level]
+            h = sum(mixed(t) * pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i, t in enumerate(part)) & full
+            out.append(mixed(h) % 65535 + 1 if part else 0)
+    return out
+
+
+def test_signatures_by_plain_integers():
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.choice(list(b"abcdefg"), 5)) for _ in range(300)]
+    lexicon = np.unique(imatch.term_hashes(set(words[:200])))
+    texts = [b" ".join(words[i] for i in rng.integers(0, 300, n)) for n in (0, 1, 3, 40, 400, 2)] + [b"", b"out of lexicon"]
+    signs, fields = imatch.Signer(lexicon).sign(texts)
+    inside = set(lexicon.tolist())
+    for text, sign, found in zip(texts, signs, fields, strict=True):
+        terms = {int(h) for h in imatch.term_hashes(imatch.terms_of(text))} & inside
+        assert found.ravel().tolist() == plain_fields(terms)
+        assert sign == imatch.fingerprint(text, np.array(sorted(terms), np.uint64)) and sign[8:] == "".join(f"{x:04x}" for x in found.ravel())
+    a, b = fields[:-1], fields[1:]
+    same = np.array([x == y for x, y in zip(signs, signs[1:], strict=False)])
+    assert imatch.likenesses(a, b, same).tolist() == [imatch.likeness(x, y) for x, y in zip(signs, signs[1:], strict=False)]
+
+
+def test_letters_are_of_category_l():
+    assert not any(langid.has_letter(t) for t in ("", "²", "½ 3", "Ⅷ", "1_2", "٣", "!?", "\u0301"))
+    assert all(langid.has_letter(t) for t in ("a", "3é", "漢", "ª", "1ʰ"))
