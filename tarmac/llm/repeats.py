@@ -173,6 +173,10 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("k"), F.octet_length(text).alias("n_bytes")]
 
 
+#: marks the ids of phrases that stand in the texts more than once
+_TWICE = 0x5851F42D4C957F2D
+
+
 def _id(m: np.ndarray, f: np.ndarray, k: np.ndarray) -> np.ndarray:
     """One number for (trigger, phrase, text): all three are hashes already."""
     return m ^ f ^ k
@@ -182,6 +186,7 @@ def _phrases(texts: DataFrame, length: int, gram: int, stage: str, filters: list
     """Parse (k, n_bytes, text) rows. Stage "triggers": counts per task; "shared": phrases whose
     trigger is in the filter; "needed": dictionary phrases with their bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passed: set[tuple] = set()
         for batch in batches:
             for cut in range(0, batch.num_rows, 1000):
                 part = batch.slice(cut, 1000)
@@ -201,7 +206,14 @@ def _phrases(texts: DataFrame, length: int, gram: int, stage: str, filters: list
                 size = part.column(1).to_numpy(zero_copy_only=False)[doc]
                 arrays = {"k": k, "n_bytes": size.astype(np.int32), "start": start.astype(np.int32), "n": n.astype(np.int32), "m": m, "f": f}
                 if stage == "needed":
-                    use = maybe_in(filters[1].value, _id(m, f, k))
+                    ids = _id(m, f, k)
+                    use = maybe_in(filters[1].value, ids)
+                    twice = use & maybe_in(filters[1].value, ids ^ np.int64(_TWICE))
+                    for at in np.flatnonzero(twice).tolist():  # copies in this task pass a phrase on once
+                        if (one := (m[at], f[at])) in passed:
+                            use[at] = False
+                        passed.add(one)
+                    arrays["twice"] = twice
                     arrays = {c: v[use] for c, v in arrays.items()} | {"anchor": anchor[use].astype(np.int32)}
                     cols = [pa.array(v) for v in arrays.values()] + [pa.array([c for c, u in zip(cuts, use, strict=True) if u], pa.binary())]
                     yield pa.record_batch(cols, names=[*arrays, "phrase"])
@@ -209,7 +221,7 @@ def _phrases(texts: DataFrame, length: int, gram: int, stage: str, filters: list
                     yield pa.record_batch([pa.array(v) for v in arrays.values()], names=list(arrays))
 
     schema = {"triggers": "m long, c long", "shared": "k long, n_bytes int, start int, n int, m long, f long",
-              "needed": "k long, n_bytes int, start int, n int, m long, f long, anchor int, phrase binary"}[stage]
+              "needed": "k long, n_bytes int, start int, n int, m long, f long, twice boolean, anchor int, phrase binary"}[stage]
     return texts.mapInArrow(run, schema)
 
 
@@ -332,12 +344,16 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
     open_m = entries.groupBy("m").agg(F.count(F.lit(1)).alias("kinds"), F.min("c").alias("least")).where("kinds > 1 and least = 1")
     whole = (parsed.join(entries.where("c > 1").select("m", "f"), ["m", "f"], "left_semi")
              .select("k", "n_bytes", F.col("start").alias("a"), (F.col("start") + F.col("n") + length - 1).cast("int").alias("b")))
-    needed = entries.join(open_m.select("m", "kinds"), "m").select("m", "f", "k", "kinds")
+    needed = entries.join(open_m.select("m", "kinds"), "m").select("m", "f", "k", "kinds", "c")
     needed = materialise(needed.withColumn("id", F.col("m").bitwiseXOR(F.col("f")).bitwiseXOR(F.col("k"))), "needed")
-    filters.append(spark.sparkContext.broadcast(bloom_of(needed.select("id"), "id")))
-    dictionary = _phrases(long_texts, length, gram, "needed", filters)
+    several = needed.where("c > 1").select(F.col("id").bitwiseXOR(F.lit(_TWICE)).alias("id"))
+    filters.append(spark.sparkContext.broadcast(bloom_of(needed.select("id").unionByName(several), "id")))
     hot_m = needed.where(F.col("kinds") > hot).select("m").distinct()
-    dictionary = materialise(dictionary, "dictionary")
+    found = materialise(_phrases(long_texts, length, gram, "needed", filters), "dictionary")
+    # a phrase of several copies is compared once; its own places are whole repeats already
+    one = F.first(F.struct("k", "n_bytes", "start", "n", "anchor", "phrase")).alias("p")
+    dictionary = found.where("NOT twice").drop("twice").unionByName(
+        found.where("twice").groupBy("m", "f").agg(one).select("p.*", "m", "f"))
     cold = _compare(dictionary.join(hot_m, "m", "left_anti"), length)
     warm = _compare_hot(dictionary.join(hot_m, "m", "left_semi"), length)
     spans = whole.unionByName(cold).unionByName(warm)

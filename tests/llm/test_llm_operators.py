@@ -10,7 +10,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
-from llm_cases import WORD, components, edge_docs, edge_rows, label_rows, no_docs
+from llm_cases import WORD, components, edge_docs, edge_rows, label_rows, no_docs, prose
 from pyspark.sql import functions as F
 
 from tarmac.llm import imatch, langid, line_rules, lm, mixing, packing, quality, repeats, secrets, simhash
@@ -275,11 +275,7 @@ def test_fingerprint_edges(spark):
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in edge_rows())
 
 
-@pytest.mark.parametrize("hot", [20_000, 2])
-def test_repeats_by_hand(spark, hot):
-    rows = [(r.doc_id, r.text) for r in read_documents(spark, SF).select("doc_id", "text").limit(80).collect()]
-    rows += [(r[0], r[1][:8000] if r[1] else r[1]) for r in edge_rows()]
-    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot).collect()
+def plain_repeats(rows) -> Counter:
     raws = [(t or "").encode() for _, t in rows]
     starts = Counter(b[i:i + 200] for b in raws for i in range(len(b) - 199))
     want: Counter = Counter()
@@ -290,7 +286,29 @@ def test_repeats_by_hand(spark, hot):
                 gone[i:i + 200] = True
         runs = int((np.diff(np.r_[False, gone].astype(int)) == 1).sum())
         want[(doc_id, len(b), bytes(np.frombuffer(b, np.uint8)[~gone[:-1]]), int(gone.sum()), runs)] += 1
-    assert Counter((r.doc_id, r.n_bytes, bytes(r.kept), r.n_removed, r.n_spans) for r in got) == want
+    return want
+
+
+@pytest.mark.parametrize("hot", [20_000, 2])
+def test_repeats_by_hand(spark, hot):
+    rows = [(r.doc_id, r.text) for r in read_documents(spark, SF).select("doc_id", "text").limit(80).collect()]
+    rows += [(r[0], r[1][:8000] if r[1] else r[1]) for r in edge_rows()]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot).collect()
+    assert Counter((r.doc_id, r.n_bytes, bytes(r.kept), r.n_removed, r.n_spans) for r in got) == plain_repeats(rows)
+
+
+def test_copies_are_compared_once(spark, monkeypatch):
+    """Many copies and a few variants: the dictionary holds a phrase once, and every byte is judged as before."""
+    base = prose(9, 200)
+    half = len(base) // 2
+    rows = [(i, base) for i in range(240)] + [(500, base[:half] + " other " + base[half:]), (501, "start " + base[40:]), (502, base[:half - 30]),
+                                              (503, prose(10, 120))]
+    compared = []
+    monkeypatch.setattr(repeats, "_compare", lambda d, *a, inner=repeats._compare: compared.append(d) or inner(d, *a))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = repeats.remove_repeats(docs).collect()
+    assert Counter((r.doc_id, r.n_bytes, bytes(r.kept), r.n_removed, r.n_spans) for r in got) == plain_repeats(rows)
+    assert compared[0].groupBy("m", "f").count().where("count > 1").count() == 0 and 0 < compared[0].count() < 200
 
 
 def test_lm_scores_the_order_of_words(spark):

@@ -21,7 +21,7 @@ NAMES = [name for name, _ in corpus_pipeline.STAGES]
 def test_stages_and_registration():
     assert NAMES == ["quality_classifier", "simhash_near_dedup", "secret_scans", "source_mixing", "best_fit_packing"]
     found = __spark_entry__.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {k.split("_")[0] + "_" for k in found if k.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {k.split("_")[0] + "_" for k in found if k.startswith("op")}
     assert "pipeline" in found and "pipeline" not in __spark_entry__.oracle_sql()
 
 
