@@ -11,9 +11,12 @@ for tests and benchmarks.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -110,9 +113,46 @@ def checkpoint_root(spark: SparkSession) -> str:
     return local_dir
 
 
+_collectors: list[list[str]] = []
+
+
+@contextmanager
+def work_dirs_made() -> Iterator[list[str]]:
+    """The work folders that the block asks for, in order."""
+    made: list[str] = []
+    _collectors.append(made)
+    try:
+        yield made
+    finally:
+        _collectors.remove(made)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint root for one job's tables."""
-    return f"{checkpoint_root(spark)}/tarmac-work/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/tarmac-work/{label}-{uuid.uuid4().hex[:12]}"
+    for made in _collectors:
+        made.append(path)
+    return path
+
+
+def drop_work(spark: SparkSession, paths: Sequence[str], but_for: DataFrame) -> list[str]:
+    """Delete these work folders, except those that ``but_for`` still reads; frames over them stop working.
+
+    Frames nobody holds any more are collected first, so that Spark's cleaner
+    also drops the shuffles behind them. Returns the folders left.
+    """
+    read = {f.split("/tarmac-work/")[1].split("/")[0] for f in but_for.inputFiles() if "/tarmac-work/" in f}
+    jvm = spark.sparkContext._jvm
+    left = []
+    for name in paths:
+        if name.rsplit("/", 1)[1] in read:
+            left.append(name)
+            continue
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
+    return left
 
 
 def materialise(df: DataFrame, label: str = "cut", observe: dict[str, Column] | None = None):
