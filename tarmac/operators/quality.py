@@ -198,6 +198,7 @@ class Link:
     parent: DataFrame
     rule: Callable[[Column | None], Rule]
     skip_null: bool = False
+    parent_rows: int | None = None  # where a write has counted them
 
 
 def with_links(df: DataFrame, links: Sequence[Link], max_rows: int = DIM_BROADCAST_ROWS) -> tuple[DataFrame, list[Rule], list[DataFrame]]:
@@ -210,7 +211,8 @@ def with_links(df: DataFrame, links: Sequence[Link], max_rows: int = DIM_BROADCA
     """
     out, rules, apart = df, [], []
     for i, link in enumerate(links):
-        if link.parent.limit(max_rows + 1).count() > max_rows:
+        rows = link.parent_rows if link.parent_rows is not None else link.parent.limit(max_rows + 1).count()
+        if rows > max_rows:
             apart.append(evaluate(orphans_frame(df, link.parent, link.key, link.skip_null), [link.rule(None)]))
             continue
         found = f"__parent{i}"
@@ -221,21 +223,25 @@ def with_links(df: DataFrame, links: Sequence[Link], max_rows: int = DIM_BROADCA
     return out, rules, apart
 
 
-def repeated_keys(df: DataFrame, keys: Sequence[str], label: str = "twice", max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+def repeated_keys(df: DataFrame, keys: Sequence[str], rows: int | None = None, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
     """The keys that occur more than once, with their number of rows ``__n`` (NULL keys group together).
 
-    Only an 8-byte hash per row is shuffled to find hashes seen twice; these
+    A table known to have at most ``max_rows`` ``rows`` is counted by key at once.
+
+    Otherwise only an 8-byte hash per row is shuffled to find hashes seen twice; these
     candidates are written first. Without any (the usual case) the table is not read
     again; otherwise a second scan counts exactly, and shuffles the
     candidates' rows only.
     """
+    if rows is not None and rows <= max_rows:
+        return duplicates_frame(df, keys).where("__n > 1")
     hashed = F.xxhash64(*keys).alias("__h")
     twice, seen = materialise(df.select(hashed).groupBy("__h").agg(F.count(F.lit(1)).alias("__c")).where("__c > 1").select("__h"),
-                              label, {"rows": F.count(F.lit(1))})
-    rows = seen.get("rows") or 0
-    if not rows:
+                              "twice", {"rows": F.count(F.lit(1))})
+    found = seen.get("rows") or 0
+    if not found:
         return df.sparkSession.createDataFrame([], T.StructType([df.schema[k] for k in keys])).withColumn("__n", F.lit(0).cast("long"))
-    if rows <= max_rows:
+    if found <= max_rows:
         twice = F.broadcast(twice)
     return df.select(*keys, hashed).join(twice, "__h", "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
 

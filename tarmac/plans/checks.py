@@ -164,9 +164,9 @@ def not_null_rules(model: str, columns: Sequence[str]) -> list[Q.Rule]:
     return [Q.failing_rows(f"not_null_{model}_{c}", model, F.col(c).isNull()) for c in columns]
 
 
-def link_of(child: str, key: str, parent: DataFrame) -> Q.Link:
+def link_of(child: str, key: str, parent: DataFrame, parent_rows: int | None = None) -> Q.Link:
     """Failures = child rows with a non-NULL key missing from the parent."""
-    return Q.Link(key, parent, lambda condition: Q.failing_rows(f"relationships_{child}_{key}", child, condition), skip_null=True)
+    return Q.Link(key, parent, lambda condition: Q.failing_rows(f"relationships_{child}_{key}", child, condition), True, parent_rows)
 
 
 def unique_tests(models: Mapping[str, DataFrame], tests: Mapping[str, list[str]] = UNIQUE_TESTS) -> DataFrame:
@@ -191,19 +191,25 @@ def relationship_tests(models: Mapping[str, DataFrame], tests=RELATIONSHIP_TESTS
     return Q.union_all(frames)
 
 
-def suite(bronze: DataFrame, models: Mapping[str, DataFrame], gold_fact: DataFrame, gold_carriers: DataFrame,
-          gold_airports: DataFrame, gold_dates: DataFrame, now: Column) -> DataFrame:
+def suite(bronze: DataFrame, models: Mapping[str, DataFrame], gold_fact: DataFrame, gold_dims: Mapping[str, DataFrame],
+          now: Column, sizes: Mapping[str, int] | None = None) -> DataFrame:
     """Every check of every layer, with one scan per table for all row and foreign-key rules and one for
     the hashes of its unique columns.
 
-    ``models`` are the tables of UNIQUE_TESTS and NOT_NULL_TESTS, by name. Nothing
-    is read a third time unless a hash occurs twice.
+    ``models`` are the tables of UNIQUE_TESTS and NOT_NULL_TESTS, by name,
+    ``gold_dims`` the three published dimensions. Nothing is read a third time
+    unless a hash occurs twice. ``sizes`` are row counts that writes have
+    observed, by name; they save counting parents and hashing small tables.
     """
+    sizes = sizes or {}
     staging, fact = "stg_airline_delay_data", "fact_flight_delays"
-    links = [link_of(c, key, models[parent]) for c, key, parent in RELATIONSHIP_TESTS if c == fact]
-    gold_links = [Q.Link(key, frame, lambda condition, key=key: _count_check(f"no_orphaned_{key.replace('_key', '')}_keys", "gold", condition))
-                  for key, frame in (("carrier_key", gold_carriers), ("airport_key", gold_airports), ("date_key", gold_dates))]
-    repeated = dict(zip(models, in_parallel(*[lambda m=m: Q.repeated_keys(models[m], UNIQUE_TESTS[m]) for m in models]), strict=True))
+    links = [link_of(c, key, models[parent], sizes.get(parent)) for c, key, parent in RELATIONSHIP_TESTS if c == fact]
+    gold_links = [Q.Link(key, gold_dims[name], lambda condition, check=check: _count_check(check, "gold", condition), parent_rows=sizes.get(name))
+                  for name, key, check in (("gold_dim_carrier", "carrier_key", "no_orphaned_carrier_keys"),
+                                           ("gold_dim_airport", "airport_key", "no_orphaned_airport_keys"),
+                                           ("gold_dim_date", "date_key", "no_orphaned_date_keys"))]
+    found = in_parallel(*[lambda m=m: Q.repeated_keys(models[m], UNIQUE_TESTS[m], sizes.get(m)) for m in models])
+    repeated = dict(zip(models, found, strict=True))
     frames = [bronze_checks(bronze, now)]
     for model, df in models.items():
         rules, apart = not_null_rules(model, NOT_NULL_TESTS[model]), []
@@ -219,7 +225,8 @@ def suite(bronze: DataFrame, models: Mapping[str, DataFrame], gold_fact: DataFra
                                              _ok("unique_surrogate_key")))
         frames.append(Q.evaluate(repeated[model], keys))
     linked, rules, apart = Q.with_links(gold_fact, gold_links)
-    frames.append(Q.evaluate(linked, [_fact_rows(), *rules]))
-    frames += apart
-    frames.append(gold_checks(gold_fact, gold_carriers, gold_airports, gold_dates, only={"no_null_carrier_columns", "no_null_airport_columns"}))
+    frames += [Q.evaluate(linked, [_fact_rows(), *rules]), *apart]
+    for code in ("carrier", "airport"):
+        columns = [f"{code}_key", code, f"{code}_name"]
+        frames.append(Q.evaluate(gold_dims[f"gold_dim_{code}"], [_empty_text(columns, f"no_null_{code}_columns")]))
     return Q.union_all(frames)

@@ -26,7 +26,7 @@ from tarmac.plans.fact import fact_flight_delays
 from tarmac.plans.marts import CARRIER_SUMS, carrier_mart_of, monthly_delay_trends
 from tarmac.session import in_parallel
 from tarmac.sinks import tables as sink
-from tarmac.sinks.commits import NULL_VALUE, Record, in_values
+from tarmac.sinks.commits import NULL_VALUE, Record, Staged, in_values
 
 #: property of the commit record: staging partition -> folder the marts were built from
 BUILT_FROM = "marts_built_from"
@@ -82,7 +82,7 @@ def maintain_marts(store: sink.Store, chunk_size: int | None = None, full: bool
     replaces = None if first else changed
 
     def slices(table: str, *columns: str):
-        return log.stage(touched.select("year", *columns).distinct().hint("rebalance", "year"), table, "year", replaces)[0]
+        return log.stage(touched.select("year", *columns).distinct(), table, "year", replaces)[0]  # a few rows a year
 
     staged = in_parallel(lambda: slices("carriers_by_year", "carrier", "carrier_name"),
                          lambda: slices("airports_by_year", "airport", "airport_name"),
@@ -107,13 +107,16 @@ def maintain_marts(store: sink.Store, chunk_size: int | None = None, full: bool
                                sort_cols=FACT_SORT, bloom_cols=FACT_BLOOMS)]
     seen = log.merged(seen, facts)
     fact = log.read("fact_flight_delays", seen, rebuilt)
-    state = partial_state(fact, ["carrier_key", "carrier", "carrier_name"], CARRIER_SUMS)
-    marts = in_parallel(
-        lambda: sink.stage_slices(state, store, "carrier_sums_by_year", None if first else rebuilt, "year"),
-        lambda: sink.stage_slices(monthly_delay_trends(fact, ordered=False), store, "monthly_delay_trends",
-                                  None if first else rebuilt, "year", chunk_size))
-    merged = log.read("carrier_sums_by_year", log.merged(seen, marts[:1]))
-    mart, _ = log.stage(carrier_mart_of(merged), "carrier_delay_performance")
+    years = None if first else rebuilt
+
+    def carriers_mart() -> list[Staged]:
+        sums = partial_state(fact, ["carrier_key", "carrier", "carrier_name"], CARRIER_SUMS)
+        state = sink.stage_slices(sums, store, "carrier_sums_by_year", years, "year", as_is=True)
+        merged = log.read("carrier_sums_by_year", log.merged(seen, [state]))
+        return [state, log.stage(carrier_mart_of(merged), "carrier_delay_performance")[0]]
+
+    marts = in_parallel(carriers_mart, lambda: [sink.stage_slices(
+        monthly_delay_trends(fact, ordered=False), store, "monthly_delay_trends", years, "year", chunk_size, as_is=True)])
     built = {v: e["location"] for v, e in base.parts("staging").items()}
-    log.commit([*staged, *dims, *facts, *marts, mart], base, {BUILT_FROM: built})
+    log.commit([*staged, *dims, *facts, *marts[0], *marts[1]], base, {BUILT_FROM: built})
     return Maintained(changed, rebuilt)

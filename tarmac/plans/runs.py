@@ -26,6 +26,7 @@ from tarmac.sources.csv_source import read_raw_csv
 
 #: property of the commit record: newest ``_ingested_at`` in staging, microseconds since 1970 UTC
 STAGING_MARK = "staging_mark"
+GOLD_DIMS = ("gold_dim_carrier", "gold_dim_airport", "gold_dim_date")
 GOLD_TRIO = ("gold_fact_flight_delays", "gold_carrier_state", "gold_monthly_state")
 
 
@@ -82,13 +83,13 @@ def build_marts(store: sink.Store, chunk_size: int | None = None) -> Maintained:
 
 
 def publish_dims(store: sink.Store, chunk_size: int | None = None) -> None:
-    """Gold dims: full reload from the marts, stamped with ``_updated_at``."""
+    """Gold dims: full reload from the marts, stamped with ``_updated_at``; the three change with one commit."""
     now = F.current_timestamp()
-    in_parallel(*[
-        (lambda name=name: sink.full_reload(store.read(name).withColumn("_updated_at", now), store, f"gold_{name}",
-                                            chunk_size))
-        for name in ("dim_carrier", "dim_airport", "dim_date")
-    ])
+    base = store.log.head()
+    options = {"maxRecordsPerFile": chunk_size} if chunk_size else {}
+    staged = in_parallel(*[lambda name=name: store.log.stage(store.read(name.removeprefix("gold_")).withColumn("_updated_at", now), name,
+                                                             options=options)[0] for name in GOLD_DIMS])
+    store.log.commit(staged, base)
 
 
 def publish_fact_years(store: sink.Store, years: list[int], chunk_size: int | None = None) -> int:
@@ -106,8 +107,8 @@ def publish_fact_years(store: sink.Store, years: list[int], chunk_size: int | No
     fact, states, months = GOLD_TRIO
     staged = in_parallel(
         lambda: sink.stage_slices(source, store, fact, years, chunk_size=chunk_size),
-        lambda: sink.stage_slices(carrier_state(source), store, states, years, chunk_size=chunk_size),
-        lambda: sink.stage_slices(monthly_state(source), store, months, years, chunk_size=chunk_size),
+        lambda: sink.stage_slices(carrier_state(source), store, states, years, chunk_size=chunk_size, as_is=True),
+        lambda: sink.stage_slices(monthly_state(source), store, months, years, chunk_size=chunk_size, as_is=True),
     )
     store.log.commit(staged, base)
     return staged[0].rows
@@ -127,8 +128,8 @@ def all_checks(store: sink.Store, now: Column) -> DataFrame:
     read = lambda name: store.log.read(name, head) if name in head.tables else store.read(name)
     models = {"stg_airline_delay_data": read("staging")} | {name: read(name) for name in (
         "dim_carrier", "dim_airport", "dim_date", "fact_flight_delays", "carrier_delay_performance", "monthly_delay_trends")}
-    return checks.suite(read("bronze"), models, read("gold_fact_flight_delays"), read("gold_dim_carrier"),
-                        read("gold_dim_airport"), read("gold_dim_date"), now)
+    sizes = {name: rows for name in (*models, *GOLD_DIMS) if (rows := head.rows(name)) is not None}
+    return checks.suite(read("bronze"), models, read("gold_fact_flight_delays"), {name: read(name) for name in GOLD_DIMS}, now, sizes)
 
 
 def run_daily(batch: DataFrame | str, store: sink.Store, month_key: str, ingested_at=None, now=None,

@@ -175,17 +175,20 @@ def replace_slice(df: DataFrame, store: Store, table: str, year: int, partition_
 
 
 def stage_slices(df: DataFrame, store: Store, table: str, values: Iterable | None, partition_col: str = "year",
-                 chunk_size: int | None = None, sort_cols: Sequence[str] = (), bloom_cols: Sequence[str] = ()) -> Staged:
+                 chunk_size: int | None = None, sort_cols: Sequence[str] = (), bloom_cols: Sequence[str] = (),
+                 as_is: bool = False) -> Staged:
     """Write the rows of these partition values once, for a later ``store.log.commit``.
 
     Values without rows go with the commit; None replaces the whole table.
     With ``sort_cols`` the files have the serving layout (see ``write_layout``).
+    ``as_is`` writes rows where they are: for small aggregates, whose own
+    shuffle has gathered them already.
     """
     _check_chunk(chunk_size)
     if values is not None:
         values = list(dict.fromkeys(values))
         df = df.where(in_values(partition_col, values))
-    arranged = _layout(df, partition_col, sort_cols) if sort_cols else _by_partition(df, partition_col)
+    arranged = _layout(df, partition_col, sort_cols) if sort_cols else df if as_is else _by_partition(df, partition_col)
     staged, _ = store.log.stage(arranged, table, partition_col, replaces=values, options={**_chunk(chunk_size), **_blooms(bloom_cols)})
     return staged
 

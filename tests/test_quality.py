@@ -159,7 +159,8 @@ def test_suite_equals_the_single_checks(spark):
     models["dim_date"] = models["dim_date"].where("month <> 3")
     bronze, now = bronze_from_star(spark, SF_SMALL), utc_stamp(NOW)
     gold = [models["fact_flight_delays"], lay.dim_carrier.where("carrier_key < '8'"), lay.dim_airport, models["dim_date"]]
-    whole = checks.suite(bronze, models, *gold, now)
+    whole = checks.suite(bronze, models, gold[0], dict(zip(("gold_dim_carrier", "gold_dim_airport", "gold_dim_date"), gold[1:], strict=True)), now,
+                         {"dim_carrier": 25, "gold_dim_airport": 25})
     apart = [checks.bronze_checks(bronze, now), checks.silver_checks(models["stg_airline_delay_data"]), checks.gold_checks(*gold),
              checks.unique_tests(models), checks.not_null_tests(models), checks.relationship_tests(models)]
     rows = lambda df: sorted(map(tuple, df.collect()))
