@@ -223,13 +223,17 @@ def _deal(rows: DataFrame, count: int, round_no: int, group_rows: int) -> DataFr
 
 
 def pack(tagged: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """sequence_id and offset for rows (row id, length) of ``with_row_ids``.
+    """sequence_id, offset, bins and bound for rows (row id, length) of ``with_row_ids``.
 
     Lengths are 1..capacity. A full piece is a sequence by itself. No group
-    holds many more than ``group_rows`` lengths, whatever the input.
+    holds many more than ``group_rows`` lengths, whatever the input. ``bins``
+    is the number of sequences of the row's group and ``bound`` the fewest any
+    packing of it needs: the certificate, and what is left open where the
+    exchange no longer saved a sequence.
     """
+    one = F.lit(1).cast("long")
     full = tagged.where(F.col("length") == capacity).select(
-        UID, (-F.col(UID) - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+        UID, (-F.col(UID) - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), one.alias("bins"), one.alias("bound"))
     open_rows = tagged.where(F.col("length") < capacity)
     totals = {"rows": F.count(F.lit(1))}
     placed, seen = materialise(_pack_groups(_deal(open_rows, open_rows.count(), 0, group_rows), capacity, 0), "packed", totals)
@@ -248,15 +252,17 @@ def pack(tagged: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
         placed = again
     for part in done:
         placed = placed.unionByName(part)
-    return full.unionByName(placed.select(UID, "sequence_id", "offset"))
+    return full.unionByName(placed.select(UID, "sequence_id", "offset", "bins", "bound"))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS,
-                   with_ids: bool = False) -> DataFrame:
+                   with_ids: bool = False, certificate: bool = False) -> DataFrame:
     """The pieces of ``docs`` with sequence_id and offset (gapless from 0 in a sequence).
 
     Empty tables give an empty result; null ids stay null; ties in length go by
-    row. ``with_ids`` keeps the token ids of each piece.
+    row. ``with_ids`` keeps the token ids of each piece, ``certificate`` the bins
+    and bound of its group (see ``pack``).
     """
     tagged = with_row_ids(pieces(docs, tokenizer, capacity, with_ids), "pieces")
-    return tagged.join(pack(tagged, capacity, group_rows), UID).drop(UID)
+    placed = pack(tagged, capacity, group_rows)
+    return tagged.join(placed if certificate else placed.drop("bins", "bound"), UID).drop(UID)

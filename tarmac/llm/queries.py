@@ -26,8 +26,8 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(read_documents(spark, sf_dir), tokenizer_path(), capacity=2048).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packing.pack_documents(read_documents(spark, sf_dir), tokenizer_path(), capacity=2048, certificate=True).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "bins", "bound")
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -166,6 +166,23 @@ def test_packing_is_gapless_and_complete(spark):
     assert per_doc == {i: sum(n * c for (j, n), c in want.items() if j == i) for i, _ in want}
 
 
+def test_packing_certificate(spark):
+    docs = spark.createDataFrame([(i, prose(i, 20 + 37 * i % 900)) for i in range(120)], "doc_id long, text string")
+    got = packing.pack_documents(docs, tokenizer_path(), group_rows=40, certificate=True).collect()
+    groups: dict = {}
+    for r in got:
+        if r.length < 2048:
+            groups.setdefault((r.sequence_id >> 56, r.sequence_id >> 28), []).append(r)
+        else:
+            assert (r.bins, r.bound) == (1, 1)
+    assert len(groups) > 1
+    for rows in groups.values():
+        assert {(r.bins, r.bound) for r in rows} == {(len({r.sequence_id for r in rows}), packing.lower_bound(np.array([r.length for r in rows]), 2048))}
+        assert rows[0].bins >= rows[0].bound
+    plain = packing.pack_documents(docs, tokenizer_path(), group_rows=40)
+    assert "bins" not in plain.columns
+
+
 def test_lm_base_counts_by_hand(spark, monkeypatch):
     monkeypatch.setattr(lm, "FREQUENT", 50)  # most tokens then meet their counts in the join
     rows = edge_rows()
