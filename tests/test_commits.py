@@ -92,6 +92,7 @@ def test_vacuum_deletes_what_no_kept_record_names(spark, store):
     assert len(folders()) == 5 and store.log.vacuum() == 0  # young folders may be a write in progress
     assert store.log.vacuum(keep=2, min_age=0) == 3 and len(folders()) == 2 and store.log.versions() == [3, 4]
     assert rows_of(store.read("t")) == [("a", 3, 2020)] and rows_of(store.log.read("t", store.log.at(3))) == [("a", 2, 2020)]
+    assert len(spark.catalog.listTables(store.log.database)) == 2
 
 
 def test_text_partitions_and_tables_without_one(spark, store):
