@@ -218,7 +218,9 @@ def fingerprint_table(docs: DataFrame, low: float = IDF_LOW, high: float = IDF_H
 
     The next document is the next lower doc_id (the highest after the last);
     null ids come last, equal ids go by text hash. Null text is empty. A table
-    of one row is its own next; an empty table gives an empty result.
+    of one row is its own next; an empty table gives an empty result. Ids are
+    cast to long (text that is no number raises under ANSI); rows equal in id and
+    text are interchangeable. A very long text is signed by itself.
 
     Texts move once, compressed, into parts of consecutive rows; a copy of the
     first row of each part goes to the part before it as its last row's next.

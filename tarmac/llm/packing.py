@@ -260,7 +260,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, gr
     """The pieces of ``docs`` with sequence_id and offset (gapless from 0 in a sequence).
 
     Empty tables give an empty result; null ids stay null; ties in length go by
-    row. ``with_ids`` keeps the token ids of each piece, ``certificate`` the bins
+    row; a very long text is encoded by itself and cut into full pieces. ``with_ids`` keeps the token ids of each piece, ``certificate`` the bins
     and bound of its group (see ``pack``).
     """
     tagged = with_row_ids(pieces(docs, tokenizer, capacity, with_ids), "pieces")

@@ -141,7 +141,13 @@ def with_scores(docs: DataFrame, model: Model, name: str, text: str = "text") ->
 
 
 def quality_table(docs: DataFrame, labels: DataFrame, held_out_folds: int = 5, threshold: float = 0.3) -> DataFrame:
-    """doc_id, held_out, score, predicted per row of ``docs``; learns only from rows not held out."""
+    """doc_id, held_out, score, predicted per row of ``docs``; learns only from rows not held out.
+
+    Repeated rows are scored each; an empty table gives no rows. Among labelled
+    vectors of equal similarity at the last place, the partial sort's choice
+    counts, which depends on the sample alone. Up to BLOCK texts are projected at
+    once, whole, however long. See ``with_scores`` for null and empty texts.
+    """
     model = fit(docs, labels.where(fold(F.col("doc_id"), held_out_folds) != 0))
     scored = with_scores(docs.select("doc_id", "text"), model, "score")
     return scored.select("doc_id", (fold(F.col("doc_id"), held_out_folds) == 0).alias("held_out"), "score",

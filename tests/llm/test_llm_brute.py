@@ -129,3 +129,23 @@ def test_planted_secrets_of_all_kinds_are_found_and_lookalikes_left(spark):
     recall = {k: hits[k] / totals[k] for k in ("hex", "named hex", "base64", "jwt", "password")}
     false = {k: wrong[k] / totals[k] for k in ("slug", "path", "number", "version", "date")}
     assert min(recall.values()) >= 0.9 and max(false.values()) <= 0.1, (recall, false)
+
+
+def test_redact_keeps_columns_named_like_its_own(spark):
+    key = "0f1e2d3c4b" * 4
+    rows = [(i, f'some words before token = "{key}" and after it number {i}', "cand", 7, "b", "a", 0.5, "u", True) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, candidate string, start int, before string, after string, score double, "
+                                       "key string, is_secret boolean")
+    out = secrets.redact(docs)
+    assert out.columns == docs.columns
+    got = sorted(out.collect())
+    assert [tuple(r)[2:] for r in got] == [r[2:] for r in rows]
+    assert all(key not in r.text and secrets.REDACTED in r.text for r in got)
+
+
+def test_ties_at_the_last_neighbour_do_not_depend_on_the_batch():
+    texts = [prose(1, 30)] * 40 + [prose(2, 30)] * 40
+    model = quality.learn(texts, np.array(([1.0, 0.0] * 20) * 2))
+    asked = [prose(1, 30), prose(2, 30), prose(3, 30)]
+    one = [float(model.score([t])[0]) for t in asked]
+    assert model.score(asked).tolist() == pytest.approx(one, abs=1e-6) and all(0 <= s <= 1 for s in one)
