@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.dates import age_tenths_half_up
-from tarmac.operators.broadcast import DIM_BROADCAST_ROWS
+from tarmac.operators.broadcast import DIM_BROADCAST_ROWS, fits
 from tarmac.session import materialise
 
 # Message formats of the checks (kept word for word).
@@ -204,15 +204,15 @@ class Link:
 def with_links(df: DataFrame, links: Sequence[Link], max_rows: int = DIM_BROADCAST_ROWS) -> tuple[DataFrame, list[Rule], list[DataFrame]]:
     """``df`` with its parents' keys joined on, rules over them, and check rows of links to large parents.
 
-    Parents of at most ``max_rows`` rows (counted, not estimated) are broadcast,
+    Parents whose keys fit (counted rows and bytes, no estimate) are broadcast,
     so all their foreign keys are counted in the scan that serves the table's
     other rules; distinct keys are joined, so no row is doubled. A larger
     parent gets the anti join on counted keys of ``orphans_frame`` instead.
     """
     out, rules, apart = df, [], []
     for i, link in enumerate(links):
-        rows = link.parent_rows if link.parent_rows is not None else link.parent.limit(max_rows + 1).count()
-        if rows > max_rows:
+        known = link.parent_rows
+        if known > max_rows if known is not None else not fits(link.parent.select(link.key), max_rows):
             apart.append(evaluate(orphans_frame(df, link.parent, link.key, link.skip_null), [link.rule(None)]))
             continue
         found = f"__parent{i}"

@@ -78,3 +78,13 @@ def test_gold_publish_reads_only_the_year_partition(spark, store):
     pf = [line for line in plan.splitlines() if line.startswith("PartitionFilters:")][0]
     assert "year#" in pf and "1998" in pf
     assert "/year=1998]" in plan  # only that directory is listed
+
+
+def test_broadcast_is_bounded_by_rows_and_by_bytes(spark):
+    from tarmac.operators.broadcast import bounded_broadcast, fits
+
+    df = spark.range(50).select(F.col("id"), F.repeat(F.lit("é"), 100).alias("name"), F.lit(None).cast("string").alias("none"))
+    assert fits(df, 50, 50 * 208) and not fits(df, 49) and not fits(df, 50, 50 * 208 - 1)
+    assert fits(df.limit(0), 0, 0)
+    hinted = lambda *bounds: "ResolvedHint" in bounded_broadcast(df, *bounds)._jdf.queryExecution().analyzed().toString()
+    assert hinted(50) and not hinted(49) and not hinted(50, 1000)
