@@ -27,23 +27,43 @@ AXES = 64
 NEIGHBOURS = 25
 PER_CLASS = 1500
 BLOCK = 256
+#: bytes whose trigrams are counted at once
+CHUNK = 1 << 20
 #: last columns of the term space: repetition terms
 REPEATS = 8
 
 
+def _pieces(raw: list[bytes]) -> Iterator[list[tuple[int, bytes]]]:
+    """(text, bytes) pieces in lots of about CHUNK bytes; a longer text is cut, two bytes shared at each cut."""
+    lot, held = [], 0
+    for i, b in enumerate(raw):
+        for at in range(0, max(1, len(b) - 2), CHUNK):
+            piece = b[at:at + CHUNK + 2]
+            if lot and held + len(piece) > CHUNK:
+                yield lot
+                lot, held = [], 0
+            lot.append((i, piece))
+            held += len(piece)
+    if lot:
+        yield lot
+
+
 def term_counts(texts: list[str]) -> np.ndarray:
-    """Log-damped term counts, one row per text."""
+    """Log-damped term counts, one row per text; memory beyond the rows is bounded, however long a text."""
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-    sizes = np.array([len(b) for b in raw], np.int64)
     counts = np.zeros((len(raw), TERMS), np.float32)
-    if sizes.sum() >= 3:
-        flat = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32)
-        owner = np.repeat(np.arange(len(raw)), sizes)
+    for lot in _pieces(raw):
+        flat = np.frombuffer(b"".join(b for _, b in lot), np.uint8).astype(np.uint32)
+        if len(flat) < 3:
+            continue
+        piece = np.repeat(np.arange(len(lot)), [len(b) for _, b in lot])
         code = (flat[:-2] << 16) | (flat[1:-1] << 8) | flat[2:]
         term = ((code * np.uint32(2654435761)) >> np.uint32(8)) % np.uint32(TERMS - REPEATS)
-        inside = owner[:-2] == owner[2:]
-        at = owner[:-2][inside] * TERMS + term[inside]
-        counts = np.bincount(at, minlength=len(raw) * TERMS).reshape(len(raw), TERMS).astype(np.float32)
+        inside = piece[:-2] == piece[2:]
+        first, last = lot[0][0], lot[-1][0]  # neighbours in the list of texts
+        text = np.array([i - first for i, _ in lot])
+        found = np.bincount(text[piece[:-2][inside]] * TERMS + term[inside], minlength=(last - first + 1) * TERMS)
+        counts[first:last + 1] += found.reshape(-1, TERMS)
     counts = np.log1p(counts)
     for i, b in enumerate(raw):
         words = b.split()
@@ -145,8 +165,8 @@ def quality_table(docs: DataFrame, labels: DataFrame, held_out_folds: int = 5, t
 
     Repeated rows are scored each; an empty table gives no rows. Among labelled
     vectors of equal similarity at the last place, the partial sort's choice
-    counts, which depends on the sample alone. Up to BLOCK texts are projected at
-    once, whole, however long. See ``with_scores`` for null and empty texts.
+    counts, which depends on the sample alone. Very long texts are counted whole,
+    in pieces. See ``with_scores`` for null and empty texts.
     """
     model = fit(docs, labels.where(fold(F.col("doc_id"), held_out_folds) != 0))
     scored = with_scores(docs.select("doc_id", "text"), model, "score")

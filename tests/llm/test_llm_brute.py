@@ -29,6 +29,15 @@ def plain_terms(text: str) -> np.ndarray:
     return out
 
 
+def test_terms_do_not_depend_on_the_pieces(monkeypatch):
+    texts = ["", "ab", "abc", prose(1, 50), prose(2, 400), "xy", "é", prose(3, 30)]
+    whole = quality.term_counts(texts)
+    assert np.allclose(whole, np.stack([plain_terms(t) for t in texts]), rtol=1e-5)
+    for size in (1, 2, 3, 7, 100, 1000):
+        monkeypatch.setattr(quality, "CHUNK", size)
+        assert (quality.term_counts(texts) == whole).all()
+
+
 def test_quality_votes_by_plain_cosines():
     rng = random.Random(6)
     good = [prose(i, rng.randint(20, 80)) for i in range(40)]
