@@ -40,7 +40,8 @@ LENGTH = 200
 GRAM = 32
 HOT = 20_000
 BLOOM_BITS = 1 << 27
-BATCH_BYTES = 2 << 20
+#: bytes parsed at once; the arrays over them take about 100 times as much
+BATCH_BYTES = 1 << 19
 _ODD = 0x9E3779B97F4A7C15
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _U = np.uint64
