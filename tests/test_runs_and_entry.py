@@ -67,7 +67,7 @@ def test_entry_and_registry(spark):
 
 
 ORACLE_SAMPLE = ["mod_01", "mod_06", "mod_07", "mod_10", "mod_11", "win_01", "dq_01", "dq_06", "agg_18", "joi_06",
-                 "agg_11", "snk_11", "snk_17", "cnd_03"]
+                 "agg_11", "snk_11", "snk_17", "cnd_03", "flt_02", "dq_24", "snk_14", "snk_19", "mod_16"]
 
 
 @pytest.mark.parametrize("key", ORACLE_SAMPLE)
