@@ -10,9 +10,11 @@ sort key that keeps several columns' ranges narrow at once.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,6 +22,9 @@ from pyspark.sql import functions as F
 from tarmac.operators.broadcast import DIM_BROADCAST_ROWS, bounded_broadcast
 from tarmac.session import materialise
 
+# the footer reader travels with the job: executors need pyarrow, not this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Field numbers of the Parquet footer (Thrift compact protocol).
 ROW_GROUPS, COLUMNS, NUM_ROWS, META_DATA, PATH, BLOOM_OFFSET = 4, 1, 3, 3, 3, 14
 
