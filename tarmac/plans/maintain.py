@@ -55,7 +55,8 @@ def changed_years(record: Record) -> list[int | None]:
 
 def _years_of_changed_codes(old: DataFrame, new: DataFrame, slices: DataFrame, code: str) -> list[int]:
     """Years holding a code whose set of names differs between two states of a dimension."""
-    changed = old.exceptAll(new).unionByName(new.exceptAll(old)).select(code).distinct()
+    both = old.withColumn("__side", F.lit(1)).unionByName(new.withColumn("__side", F.lit(-1)))
+    changed = both.groupBy(*old.columns).agg(F.sum("__side").alias("__d")).where("__d <> 0").select(code).distinct()
     return [r[0] for r in slices.join(changed, code, "left_semi").select("year").distinct().collect()]
 
 
@@ -96,8 +97,9 @@ def maintain_marts(store: sink.Store, chunk_size: int | None = None, full: bool
     new = {s.table: log.read(s.table, seen) for s in dims}
     rebuilt = set(changed)
     if not first:
-        for table, code, by_year in (("dim_carrier", "carrier", carriers), ("dim_airport", "airport", airports)):
-            rebuilt.update(_years_of_changed_codes(log.read(table, base), new[table], by_year, code))
+        rebuilt.update(*in_parallel(*[
+            lambda table=table, code=code, by_year=by_year: _years_of_changed_codes(log.read(table, base), new[table], by_year, code)
+            for table, code, by_year in (("dim_carrier", "carrier", carriers), ("dim_airport", "airport", airports))]))
     rebuilt = sorted(rebuilt, key=lambda y: (y is not None, y or 0))
 
     rows = {s.table: s.rows for s in dims}

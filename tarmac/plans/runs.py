@@ -9,7 +9,9 @@ what cuts the lineage between stages.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ from tarmac.plans.staging import check_schema, check_target, rows_after, stage
 from tarmac.schemas import BRONZE, CSV_COLUMNS, FACT_COLUMNS
 from tarmac.session import in_parallel
 from tarmac.sinks import tables as sink
+from tarmac.sinks.commits import Record
 from tarmac.sources.csv_source import read_raw_csv
 
 #: property of the commit record: newest ``_ingested_at`` in staging, microseconds since 1970 UTC
@@ -119,12 +122,18 @@ class RunResult:
     bronze_rows: int
     silver_rows: int
     gold_fact_rows: int
-    checks: DataFrame
+    make_checks: Callable[[], DataFrame]
 
+    @cached_property
+    def checks(self) -> DataFrame:
+        """Every check of the tables as this run left them; made when first asked for."""
+        return self.make_checks()
 
-def all_checks(store: sink.Store, now: Column) -> DataFrame:
-    """Every check of the run; at most two scans of any table (see ``checks.suite``)."""
-    head = store.log.head()
+
+def all_checks(store: sink.Store, now: Column, head: Record | None = None) -> DataFrame:
+    """Every check of the tables as of ``head`` (the last commit by default); at most two scans of any
+    table (see ``checks.suite``)."""
+    head = head or store.log.head()
     read = lambda name: store.log.read(name, head) if name in head.tables else store.read(name)
     models = {"stg_airline_delay_data": read("staging")} | {name: read(name) for name in (
         "dim_carrier", "dim_airport", "dim_date", "fact_flight_delays", "carrier_delay_performance", "monthly_delay_trends")}
@@ -147,7 +156,8 @@ def run_daily(batch: DataFrame | str, store: sink.Store, month_key: str, ingeste
     fact_rows = publish_fact_years(store, [year], chunk_size)
     store.log.vacuum()
     now_col = utc_stamp(now) if now is not None else F.current_timestamp()
-    return RunResult(bronze_rows, silver_rows, fact_rows, all_checks(store, now_col))
+    head = store.log.head()
+    return RunResult(bronze_rows, silver_rows, fact_rows, lambda: all_checks(store, now_col, head))
 
 
 def backfill(store: sink.Store, start_key: str, end_key: str, chunk_size: int | None = None) -> int:
