@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tarmac.functions.dates import month_key_of, month_name, month_start, quarter_of, utc_stamp
 from tarmac.functions.keys import code_key
-from tarmac.functions.numeric import exact_ratio
+from tarmac.functions.numeric import exact_ratio, sql_exact_ratio
 from tarmac.operators import quality as Q
 from tarmac.operators.dedupe import collapse_latest, latest_per_key
 from tarmac.operators.partial_state import merge_states
@@ -465,19 +465,21 @@ def cnd_02(spark, sf_dir):
 
 
 def cnd_03(spark, sf_dir):
-    """Lateral alias reuse with GROUP BY and HAVING, in Spark SQL, over the lines."""
+    """Lateral alias reuse with GROUP BY and HAVING, in Spark SQL, over the carriers' partial states."""
+    state = carrier_state(layers(spark, sf_dir).fact)
+    ratio = sql_exact_ratio("total_delayed", "total_flights", factor=100)
     # the frame is passed as a query argument: no session-wide temp view
     return spark.sql(
         """
-        SELECT l_returnflag, l_linestatus,
-               count(*) AS line_count,
-               CAST(sum(CAST(l_quantity AS DECIMAL(10, 2))) AS DOUBLE) AS quantity,
-               quantity / line_count AS quantity_per_line
-        FROM {lines}
-        GROUP BY l_returnflag, l_linestatus
-        HAVING line_count > 10 AND quantity_per_line > 1
+        SELECT carrier,
+               sum(total_flights_state) AS total_flights,
+               sum(total_delayed_state) AS total_delayed,
+               """ + ratio + """ AS delay_rate_pct
+        FROM {state}
+        GROUP BY carrier
+        HAVING total_flights > 0
         """,
-        lines=read_table(spark, sf_dir, "lineitem", ["l_returnflag", "l_linestatus", "l_quantity"]),
+        state=state,
     )
 
 

@@ -33,3 +33,13 @@ def exact_ratio(num: str | Column, den: str | Column, num_scale: int = 0, factor
     div = lambda x, y: F.call_function("div", x, y)
     q = F.when(a >= 0, div(2 * a + b, 2 * b)).otherwise(-div(-2 * a + b, 2 * b))
     return (q / F.lit(float(10**digits))).cast("double")
+
+
+def sql_exact_ratio(num: str, den: str, num_scale: int = 0, factor: int = 1, digits: int = 2) -> str:
+    """The same rounding rule as Spark SQL text."""
+    a = f"(CAST(({num}) * {10**num_scale} AS BIGINT) * {factor * 10**digits})"
+    b = f"(CAST(NULLIF({den}, 0) AS BIGINT) * {10**num_scale})"
+    return (
+        f"CAST(CASE WHEN {a} >= 0 THEN (2 * {a} + {b}) div (2 * {b}) "
+        f"ELSE -((-2 * {a} + {b}) div (2 * {b})) END / {float(10**digits)} AS DOUBLE)"
+    )

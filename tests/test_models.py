@@ -1,5 +1,5 @@
 import datetime as dt
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
 
@@ -92,3 +92,17 @@ def test_top_k_tie_break_having_and_headline(spark):
     h = {r.metric: r for r in headline(top_carriers(state, 10), monthly_trend(ms)).collect()}
     assert h["worst_carrier"].label == "BB" and h["latest_month"].label == "2024-02-01"
     assert h["latest_month"].delay_rate_pct == 30.0
+
+
+def test_lateral_aliases_merge_the_states_of_the_whole_chain(spark):
+    """cnd_03 sums the carriers' states built from staging and fact, not one raw table."""
+    import __spark_entry__ as E
+
+    sf_dir = "/root/testdata/sf0.001"
+    got = {r.carrier: r for r in E.queries()["cnd_03"](spark, sf_dir).collect()}
+    want = {r.carrier: r for r in E.queries()["agg_15"](spark, sf_dir).collect() if r.total_flights}
+    assert got and set(got) == set(want)
+    for carrier, row in got.items():
+        assert (row.total_flights, row.total_delayed) == (want[carrier].total_flights, want[carrier].total_delayed)
+        exact = Decimal(100 * row.total_delayed) / Decimal(row.total_flights)
+        assert row.delay_rate_pct == float(exact.quantize(Decimal("0.01"), ROUND_HALF_UP))
