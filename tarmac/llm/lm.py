@@ -12,7 +12,7 @@ of a text (a cluster of the training texts: a language, a register) is coded
 first, so the score is a proper log probability of the sequence; bits per byte divide it
 by the bytes of the words and terminators.
 
-What is learnt, in order: classes from a bounded sample; exact token counts of
+What is learnt, in order: classes, in rounds over all training texts; exact token counts of
 all training documents (combined in each task, then by Spark); context counts from
 every token occurrence of every training text, by the tasks that hold them, into
 tables of a fixed size; mixing weights and map online over all training texts, each
@@ -30,6 +30,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -48,8 +49,10 @@ OFFSETS = np.cumsum([0] + [1 << k[2] for k in CONTEXT_KINDS])
 GATING = (5, 6, 3, 2)
 CLASSES = 12
 CLASS_BUCKETS = 2048
-CLASS_SAMPLE = 2_000
 CLASS_STARTS = 6
+#: rounds that all starts take, and that the best of them may take; a gain (share of the log likelihood) not worth a round
+CLASS_TRIALS, CLASS_ROUNDS = 3, 25
+CLASS_GAIN = 1e-5
 #: tokens whose counts are broadcast
 FREQUENT = 1 << 17
 ROUND_WORDS = 500
@@ -332,46 +335,103 @@ def buckets(words: list[bytes]) -> np.ndarray:
     return np.fromiter((digest(w) % CLASS_BUCKETS for w in words), np.int64, len(words))
 
 
-def learn_classes(rows: np.ndarray) -> Classes:
-    """Hard expectation-maximisation over (texts x buckets) counts; the likeliest of a few fixed starts."""
-    if not len(rows):
-        return Classes(np.zeros(1), np.zeros((1, CLASS_BUCKETS)))
-    damped = np.sqrt(rows)
-    damped = damped / np.maximum(np.linalg.norm(damped, axis=1, keepdims=True), 1e-9)
-    sizes = rows.sum(axis=1)
-    long_half = np.flatnonzero(sizes >= np.median(sizes))  # short texts are like nothing
-    random = np.random.default_rng(1)
-    best, found = -np.inf, None
-    for _ in range(CLASS_STARTS):
-        centres = random.choice(long_half, min(CLASSES, len(long_half)), replace=False)
-        own = (damped @ damped[centres].T).argmax(axis=1)
-        for _ in range(25):
-            share = np.bincount(own, minlength=len(centres)) + 0.5
-            words = np.stack([rows[own == k].sum(axis=0) for k in range(len(centres))]) + 0.05
-            log_share, log_words = np.log(share / share.sum()), np.log(words / words.sum(axis=1, keepdims=True))
-            log = rows @ log_words.T + log_share
-            now = log.argmax(axis=1)
-            if (now == own).all():
-                break
-            own = now
-        if log.max(axis=1).sum() > best:
-            best, found = log.max(axis=1).sum(), Classes(log_share, log_words)
-    return found
+def histograms(texts: DataFrame) -> DataFrame:
+    """The hash buckets of each text's words and their counts: one row per text with a word."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_parts(batches, 500):
+            bags = Bags.of(batch.column(0))
+            full = np.bincount(bags.owner * CLASS_BUCKETS + buckets(bags.words)[bags.ids], minlength=bags.texts * CLASS_BUCKETS)
+            key = np.flatnonzero(full)
+            edges = np.searchsorted(key, np.arange(bags.texts + 1) * CLASS_BUCKETS)
+            spots, counts = (key % CLASS_BUCKETS).astype("<u2"), full[key].astype("<i4")
+            rows = [(spots[a:b].tobytes(), counts[a:b].tobytes(), int(counts[a:b].sum(dtype=np.int64)))
+                    for a, b in zip(edges, edges[1:], strict=False) if a < b]
+            columns = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.binary(), pa.int64()), strict=True)],
+                                  names=["spots", "counts", "words"])
+
+    return texts.select(text_or_empty().alias("text")).mapInArrow(count, "spots binary, counts binary, words long")
+
+
+def _unpacked(spots: pa.Array, counts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, bucket, count) of the entries of some rows of histograms()."""
+    owner = np.repeat(np.arange(len(spots)), pc.binary_length(spots).to_numpy(zero_copy_only=False) // 2)
+    spot, n = (np.frombuffer(b"".join(c.to_pylist()), t) for c, t in ((spots, "<u2"), (counts, "<i4")))
+    return owner, spot.astype(np.int64), n
+
+
+def first_centres(kept: DataFrame, mean_words: float) -> np.ndarray:
+    """(starts x classes x buckets): where the clusterings begin, different long texts least by hash."""
+    chosen = kept.where(F.col("words") >= F.lit(mean_words)).withColumn("h", F.xxhash64("spots", "counts", F.lit(23)))  # short texts are like nothing
+    least = chosen.select("h").distinct().orderBy("h").limit(CLASS_STARTS * CLASSES)
+    rows = chosen.join(F.broadcast(least), "h").dropDuplicates(["h"]).orderBy("h").select("spots", "counts").toArrow().combine_chunks()
+    owner, spot, n = _unpacked(rows.column(0).combine_chunks(), rows.column(1).combine_chunks())
+    damped = np.zeros((rows.num_rows, CLASS_BUCKETS))
+    damped[owner, spot] = np.sqrt(n)
+    damped /= np.maximum(np.linalg.norm(damped, axis=1, keepdims=True), 1e-9)
+    starts = max(1, rows.num_rows // CLASSES)
+    return np.stack([damped[k::starts][:CLASSES] for k in range(starts)])
+
+
+def tallied(kept: DataFrame, weights: np.ndarray, bias: np.ndarray, damped: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every text goes to its best class of each start: (texts per class, words per class and bucket, sum of the best values)."""
+    starts, kinds, _ = weights.shape
+    shared = kept.sparkSession.sparkContext.broadcast((weights.reshape(starts * kinds, -1).T.astype(np.float32), bias.ravel()))
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_bucket, start_at = shared.value
+        texts, words, value = np.zeros((starts, kinds), np.int64), np.zeros((starts, kinds * CLASS_BUCKETS)), np.zeros(starts)
+        for batch in in_parts(batches, 500):
+            owner, spot, n = _unpacked(batch.column(0), batch.column(1))
+            rows = np.zeros((batch.num_rows, CLASS_BUCKETS), np.float32)
+            rows[owner, spot] = np.sqrt(n) if damped else n
+            fit = (rows @ by_bucket + start_at).reshape(-1, starts, kinds)
+            own = fit.argmax(axis=2)
+            value += fit.max(axis=2).sum(axis=0)
+            for k in range(starts):
+                texts[k] += np.bincount(own[:, k], minlength=kinds)
+                words[k] += np.bincount(own[owner, k] * CLASS_BUCKETS + spot, weights=n, minlength=kinds * CLASS_BUCKETS)
+        at = [(k, c) for k in range(starts) for c in range(kinds) if texts[k, c]]
+        yield pa.record_batch([
+            pa.array([k for k, _ in at], pa.int32()), pa.array([c for _, c in at], pa.int32()), pa.array([texts[a] for a in at], pa.int64()),
+            pa.array([words.reshape(starts, kinds, -1)[a].astype("<f8").tobytes() for a in at], pa.binary()),
+            pa.array([value[k] if c == texts[k].argmax() else 0.0 for k, c in at], pa.float64())], names=["start", "class", "n", "words", "value"])
+
+    def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(w, "<f8") for w in frame["words"]], axis=0)
+        return pd.DataFrame({"start": frame["start"][:1], "class": frame["class"][:1], "n": frame["n"].sum(),
+                             "words": [total.tobytes()], "value": frame["value"].sum()})
+
+    schema = "start int, class int, n long, words binary, value double"
+    texts, words, value = np.zeros((starts, kinds)), np.zeros((starts, kinds, CLASS_BUCKETS)), np.zeros(starts)
+    for r in kept.select("spots", "counts").mapInArrow(tally, schema).groupBy("start", "class").applyInPandas(merge, schema).collect():
+        texts[r["start"], r["class"]] = r["n"]
+        words[r["start"], r["class"]] = np.frombuffer(r["words"], "<f8")
+        value[r["start"]] += r["value"]
+    shared.unpersist()
+    return texts, words, value
 
 
 def fit_classes(texts: DataFrame) -> Classes:
-    """Classes from CLASS_SAMPLE texts, least by hash (the bound of the sample)."""
-    def histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_parts(batches, 500):
-            bags = Bags.of(batch.column(0))
-            at = bags.owner * CLASS_BUCKETS + buckets(bags.words)[bags.ids]
-            rows = np.bincount(at, minlength=bags.texts * CLASS_BUCKETS).reshape(-1, CLASS_BUCKETS).astype(np.int32)
-            yield pa.record_batch([pa.array([r.tobytes() for r in rows], pa.binary())], names=["h"])
-
-    t = text_or_empty()
-    sample = texts.select(t.alias("text")).where("length(text) > 0").distinct().orderBy(F.xxhash64("text", F.lit(23)), "text").limit(CLASS_SAMPLE)
-    got = [np.frombuffer(r[0], np.int32) for r in sample.mapInArrow(histograms, "h binary").collect()]
-    return learn_classes(np.stack(got).astype(np.float32) if got else np.zeros((0, CLASS_BUCKETS), np.float32))
+    """Hard expectation-maximisation over all texts' buckets: each round, every text goes to its likeliest
+    class, and shares and words of the classes are those of all their texts. The likeliest of a few
+    fixed starts is followed until its rounds change nothing, or gain next to nothing."""
+    kept, seen = materialise(histograms(texts), "classes", {"texts": F.count(F.lit(1)), "words": F.sum("words")})
+    if not seen["texts"]:
+        return Classes(np.zeros(1), np.zeros((1, CLASS_BUCKETS)))
+    weights = first_centres(kept, seen["words"] / seen["texts"])
+    bias, before, reached = np.zeros(weights.shape[:2]), None, -np.inf
+    for round_no in range(CLASS_ROUNDS):
+        sizes, sums, value = tallied(kept, weights, bias, damped=round_no == 0)
+        if len(value) > 1 and round_no == CLASS_TRIALS:
+            best = [int(value.argmax())]
+            sizes, sums, value = sizes[best], sums[best], value[best]
+        elif len(value) == 1 and (np.array_equal(sums, before) or round_no > 1 and value[0] - reached < CLASS_GAIN * abs(reached)):
+            break
+        before, reached = sums, value[0]
+        share, words = sizes + 0.5, sums + 0.05
+        bias, weights = np.log(share / share.sum(axis=1, keepdims=True)), np.log(words / words.sum(axis=2, keepdims=True))
+    return Classes(bias[0], weights[0])
 
 
 def token_counts(texts: DataFrame, classes: Classes) -> DataFrame:

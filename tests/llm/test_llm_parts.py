@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from llm_cases import WORD, components, edge_rows, prose
@@ -241,3 +242,27 @@ def test_signatures_by_plain_integers():
 def test_letters_are_of_category_l():
     assert not any(langid.has_letter(t) for t in ("", "²", "½ 3", "Ⅷ", "1_2", "٣", "!?", "\u0301"))
     assert all(langid.has_letter(t) for t in ("a", "3é", "漢", "ª", "1ʰ"))
+
+
+def test_lm_classes_are_learnt_from_every_text(spark):
+    """Shares and words of the classes add up to all texts: no text is left out, copies count."""
+    two = [("the cat and the dog " * 4, 2100), ("der hund und die katze " * 4, 700)]
+    rows = [(f"{text}{i if i % 2 else 'x'}",) for text, times in two for i in range(times)] + [("",), (None,), (" \t",)]
+    classes = lm.fit_classes(spark.createDataFrame(rows, "text string").repartition(5))
+    sizes = np.exp(classes.log_share) * (2800 + 0.5 * len(classes.log_share))
+    assert np.allclose(sizes - 0.5, np.round(sizes - 0.5), atol=1e-6) and round((sizes - 0.5).sum()) == 2800
+    bags = lm.Bags.of(pa.array([t for t, _ in two]))
+    own = classes.of(bags)
+    assert own[0] != own[1]
+    spots = lm.buckets([b"cat", b"katze"])
+    per_text = np.exp(classes.log_words[own][:, spots])
+    assert per_text[0, 0] > 50 * per_text[0, 1] and per_text[1, 1] > 50 * per_text[1, 0]
+
+
+def test_lm_classes_without_a_word(spark):
+    empty = spark.createDataFrame([("",), (None,)], "text string")
+    for texts in (empty, empty.limit(0)):
+        classes = lm.fit_classes(texts)
+        assert classes.log_share.tolist() == [0.0] and classes.of(lm.Bags.of(pa.array(["a b", ""]))).tolist() == [0, 0]
+    one = lm.fit_classes(spark.createDataFrame([("just one text",)], "text string"))
+    assert len(one.log_share) == 1
