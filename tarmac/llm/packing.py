@@ -20,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import UID, text_or_empty, with_row_ids
+from tarmac.llm.common import UID, in_parts, text_or_empty, with_row_ids
 from tarmac.plans.layers import materialise
 
 CAPACITY = 2048
 GROUP_ROWS = 32_768
 MAX_ROUNDS = 8
 END_ID = 0
+#: texts whose pieces a worker holds at once
+PART_TEXTS = 500
 #: encoded chunks a worker keeps (about 200 bytes each); the cache starts afresh beyond it
 CACHE_CHUNKS = 500_000
 
@@ -128,7 +130,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         end = np.array([END_ID], "<u4").tobytes()
-        for batch in batches:
+        for batch in in_parts(batches, PART_TEXTS):
             rows: list[tuple] = []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 ids = encoder.encode(text) + end

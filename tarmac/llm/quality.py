@@ -134,13 +134,20 @@ def learn(texts: list[str], labels: np.ndarray) -> Model:
     if not texts:
         empty = np.zeros((0, AXES), np.float32)
         return Model(np.zeros(TERMS, np.float32), np.zeros((TERMS, AXES), np.float32), empty, labels, 0.5)
-    counts = np.concatenate([term_counts(texts[i:i + BLOCK]) for i in range(0, len(texts), BLOCK)])
-    weights = np.log((1 + len(texts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(0.1)
-    weighted = counts * weights
-    weighted /= np.maximum(np.sqrt((weighted ** 2).sum(axis=1, keepdims=True)), 1e-12)
-    _, axes = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
-    model = Model(weights, np.ascontiguousarray(axes[:, ::-1][:, :AXES]).astype(np.float32), np.zeros((0, AXES), np.float32),
+    counts = np.empty((len(texts), TERMS), np.float32)
+    for i in range(0, len(texts), BLOCK):
+        counts[i:i + BLOCK] = term_counts(texts[i:i + BLOCK])
+    weights = np.log((1 + len(texts)) / (1 + np.count_nonzero(counts, axis=0))).astype(np.float32) + np.float32(0.1)
+    for i in range(0, len(texts), BLOCK):  # in place: the driver holds the sample's counts once
+        part = counts[i:i + BLOCK]
+        part *= weights
+        part /= np.maximum(np.sqrt((part ** 2).sum(axis=1, keepdims=True)), 1e-12)
+    products = (counts.T @ counts).astype(np.float64)
+    del counts, part
+    axes = np.linalg.eigh(products)[1][:, ::-1][:, :AXES]
+    model = Model(weights, np.ascontiguousarray(axes).astype(np.float32), np.zeros((0, AXES), np.float32),
                   labels, float(labels.mean()))
+    del axes, products
     model.vectors = np.concatenate([model.project(texts[i:i + BLOCK]) for i in range(0, len(texts), BLOCK)])
     return model
 

@@ -266,3 +266,72 @@ def test_lm_classes_without_a_word(spark):
         assert classes.log_share.tolist() == [0.0] and classes.of(lm.Bags.of(pa.array(["a b", ""]))).tolist() == [0, 0]
     one = lm.fit_classes(spark.createDataFrame([("just one text",)], "text string"))
     assert len(one.log_share) == 1
+
+
+class Tasks:
+    """Stands for a frame: keeps the function its tasks would run first."""
+
+    def __init__(self, schema=None):
+        self.schema, self.first = schema, None
+
+    def select(self, *_):
+        return self
+
+    coalesce = repartition = select
+
+    def mapInArrow(self, fn, _):  # noqa: N802
+        self.first = self.first or fn
+        return self
+
+
+def test_lm_tasks_send_blocks_of_counts(spark, monkeypatch):
+    """A task sends a block of its table per row, not a row per slot, and never lists all slots at once."""
+    texts = pa.array([prose(i, 60) for i in range(40)])
+    classes, code = lm.Classes(np.zeros(1), np.zeros((1, lm.CLASS_BUCKETS))), lm.Code(np.ones(256))
+    tasks = Tasks()
+    monkeypatch.setattr(lm, "materialise", lambda df, _: type("Empty", (), {"toLocalIterator": lambda self: iter(())})())
+    lm.context_counts(tasks, 1, code, classes)
+    sent = list(tasks.first(iter([pa.record_batch([texts], names=["text"])])))
+    size = int(lm.OFFSETS[-1])
+    assert sum(b.num_rows for b in sent) <= -(-2 * size // lm.BLOCK_SLOTS) and max(b.nbytes for b in sent) < 7 * lm.BLOCK_SLOTS
+    want = np.zeros((2, size), np.float32)
+    for words, own, owner in lm.sequences(iter([pa.record_batch([texts], names=["text"])]), classes):
+        lm.add_counts(want, code, words, own, np.ones(len(words)), owner)
+    monkeypatch.undo()
+    frame = spark.createDataFrame([(t,) for t in texts.to_pylist()], "text string").repartition(3)
+    monkeypatch.setattr(lm, "TASK_TOKENS", 900)  # three tasks
+    assert (lm.context_counts(frame, 2700, code, classes) == want).all() and want.sum() > 10_000
+
+
+def test_pieces_are_made_from_few_texts_at_once(spark):
+    """Ids of a whole batch are never held together; the pieces are the same."""
+    docs = spark.createDataFrame([(i, prose(i, 30)) for i in range(1_700)], "doc_id long, text string").coalesce(1)
+    tasks = Tasks(docs.schema)
+    packing.pieces(tasks, public_tokenizers.path("byte_bpe_50k.json"), 16, with_ids=True)
+    batch = docs.toArrow().combine_chunks().to_batches()[0]
+    sent = list(tasks.first(iter([batch])))
+    assert len(sent) > 1 and max(len(set(b.column(0).to_pylist())) for b in sent) <= packing.PART_TEXTS
+    assert [i for b in sent for i in dict.fromkeys(b.column(0).to_pylist())] == list(range(1_700))
+    want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids: dict[int, list[int]] = {}
+    for b in sent:
+        for i, part in zip(b.column(0).to_pylist(), b.column(5).to_pylist(), strict=True):
+            ids.setdefault(i, []).extend(part)
+    for i in (0, 499, 500, 1_699):
+        assert ids[i] == [*want.encode(prose(i, 30), add_special_tokens=False).ids, 0]
+
+
+def test_learning_quality_holds_the_counts_once():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega"], 8)) for _ in range(3_000)]
+    tracemalloc.start()
+    try:
+        model = quality.learn(texts, np.arange(3_000) % 2.0)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    square, counts = quality.TERMS ** 2 * 8, 3_000 * quality.TERMS * 4
+    assert peak < 2 * square + counts + (8 << 20)  # products and axes, or the counts once
+    assert model.vectors.shape == (3_000, quality.AXES)
