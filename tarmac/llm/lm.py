@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import UID, fold, text_or_empty, with_row_ids
+from tarmac.llm.common import UID, fold, in_parts, text_or_empty, with_row_ids
 from tarmac.plans.layers import materialise
 
 #: (last bytes, or "word" so far alone, after the previous word, after the previous two; joined with the class?; log2 of slots)
@@ -62,6 +62,9 @@ LEAD = 4
 SEEN_GATES, PLACE_GATES = 256, 64
 MAP_STEPS = 24
 TASK_TOKENS = 4_000_000
+#: slots of a block of the count table (their numbers in it take 16 bits), and parts that add blocks up
+BLOCK_SLOTS = 1 << 14
+COUNT_PARTS = 64
 LEARN_RATE = 0.02
 DELTA = 0.1
 SMOOTH = 0.1
@@ -106,12 +109,6 @@ class Bags:
         return np.bincount(self.owner, weights=value[self.ids], minlength=self.texts)
 
 
-def in_parts(batches: Iterator[pa.RecordBatch], texts: int = 2_000) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, texts):
-            yield batch.slice(at, texts)
-
-
 def _stirred(h: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return (h ^ (h >> _U(29))) * _U(0xC4CEB9FE1A85EC53)
@@ -462,10 +459,16 @@ def sequences(batches: Iterator[pa.RecordBatch], classes: Classes) -> Iterator[t
         yield words, classes.of(bags)[texts], texts
 
 
+def _block_row(block: int, slot: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([block], pa.int32()), pa.array([slot.astype("<u2").tobytes()], pa.binary()),
+                            pa.array([c.astype("<f4").tobytes()], pa.binary())], names=["block", "slot", "c"])
+
+
 def context_counts(texts: DataFrame, tokens: int, code: Code, classes: Classes) -> np.ndarray:
     """(2, slots) context counts of all token occurrences; each task sums its own texts first.
 
-    A task takes about TASK_TOKENS tokens, as each sends up to one whole table.
+    A task takes about TASK_TOKENS tokens, as each sends up to one whole table,
+    in blocks of BLOCK_SLOTS slots; the tasks' blocks are dealt out and added up.
     """
     size = int(OFFSETS[-1])
 
@@ -473,24 +476,32 @@ def context_counts(texts: DataFrame, tokens: int, code: Code, classes: Classes)
         table = np.zeros((2, size), np.float32)
         for words, own, owner in sequences(batches, classes):
             add_counts(table, code, words, own, np.ones(len(words)), owner)
-        for value in (0, 1):
-            slot = np.flatnonzero(table[value])
-            for at in range(0, len(slot), 50_000):
-                part = slot[at:at + 50_000]
-                yield pa.record_batch([pa.array((part * 2 + value).astype(np.int32)), pa.array(table[value][part].astype(np.int32))], names=["slot", "c"])
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # few large values instead of many rows
+        flat = table.reshape(-1)
+        for block in range(-(-flat.size // BLOCK_SLOTS)):
+            part = flat[block * BLOCK_SLOTS:(block + 1) * BLOCK_SLOTS]
+            slot = np.flatnonzero(part)
+            if len(slot):
+                yield _block_row(block, slot, part[slot])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            yield pa.record_batch([pa.array([batch.column(0).to_numpy().astype("<i4").tobytes()], pa.binary()),
-                                   pa.array([batch.column(1).to_numpy().astype("<f4").tobytes()], pa.binary())], names=["slot", "c"])
-
-    dealt = texts.select(text_or_empty().alias("text")).coalesce(max(1, -(-tokens // TASK_TOKENS)))
-    summed = dealt.mapInArrow(count, "slot int, c int").groupBy("slot").agg(F.sum("c").alias("c"))
-    table = np.zeros((2, size), np.float32)
-    for slots_packed, counts_packed in summed.mapInArrow(pack, "slot binary, c binary").coalesce(4).toLocalIterator():
-        slot = np.frombuffer(slots_packed, "<i4")
-        table[slot & 1, slot >> 1] = np.frombuffer(counts_packed, "<f4")
-    return table
+            for block, slot, c in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if block not in sums:
+                    sums[block] = np.zeros(BLOCK_SLOTS, np.float64)
+                sums[block][np.frombuffer(slot, "<u2")] += np.frombuffer(c, "<f4")
+        for block, part in sums.items():
+            slot = np.flatnonzero(part)
+            yield _block_row(block, slot, part[slot])
+
+    schema = "block int, slot binary, c binary"
+    tasks = max(1, -(-tokens // TASK_TOKENS))
+    dealt = texts.select(text_or_empty().alias("text")).coalesce(tasks)
+    summed = dealt.mapInArrow(count, schema).repartition(max(COUNT_PARTS, tasks), "block").mapInArrow(add, schema)
+    flat = np.zeros(2 * size, np.float32)
+    for block, slot, c in materialise(summed, "contexts").toLocalIterator():
+        flat[block * BLOCK_SLOTS + np.frombuffer(slot, "<u2").astype(np.int64)] = np.frombuffer(c, "<f4")
+    return flat.reshape(2, size)
 
 
 def fit_weights(texts: DataFrame, model: Model, table: np.ndarray, classes: Classes) -> None:
