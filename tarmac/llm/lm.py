@@ -461,7 +461,7 @@ def sequences(batches: Iterator[pa.RecordBatch], classes: Classes) -> Iterator[t
 
 def _block_row(block: int, slot: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array([block], pa.int32()), pa.array([slot.astype("<u2").tobytes()], pa.binary()),
-                            pa.array([c.astype("<f4").tobytes()], pa.binary())], names=["block", "slot", "c"])
+                            pa.array([c.tobytes()], pa.binary())], names=["block", "slot", "c"])
 
 
 def context_counts(texts: DataFrame, tokens: int, code: Code, classes: Classes) -> np.ndarray:
@@ -480,8 +480,10 @@ def context_counts(texts: DataFrame, tokens: int, code: Code, classes: Classes)
         for block in range(-(-flat.size // BLOCK_SLOTS)):
             part = flat[block * BLOCK_SLOTS:(block + 1) * BLOCK_SLOTS]
             slot = np.flatnonzero(part)
-            if len(slot):
-                yield _block_row(block, slot, part[slot])
+            small = part[slot] < 256
+            for some, kind in ((slot[small], "u1"), (slot[~small], "<f4")):  # most counts take one byte
+                if len(some):
+                    yield _block_row(block, some, part[some].astype(kind))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -489,10 +491,10 @@ def context_counts(texts: DataFrame, tokens: int, code: Code, classes: Classes)
             for block, slot, c in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 if block not in sums:
                     sums[block] = np.zeros(BLOCK_SLOTS, np.float64)
-                sums[block][np.frombuffer(slot, "<u2")] += np.frombuffer(c, "<f4")
+                sums[block][np.frombuffer(slot, "<u2")] += np.frombuffer(c, "u1" if 2 * len(c) == len(slot) else "<f4")
         for block, part in sums.items():
             slot = np.flatnonzero(part)
-            yield _block_row(block, slot, part[slot])
+            yield _block_row(block, slot, part[slot].astype("<f4"))
 
     schema = "block int, slot binary, c binary"
     tasks = max(1, -(-tokens // TASK_TOKENS))
