@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
-from llm_cases import edge_docs, no_docs
+from llm_cases import edge_docs, label_rows, no_docs, prose
 from pyspark.sql import functions as F
 
 import __spark_entry__
@@ -39,6 +39,26 @@ def test_stages_on_edges(spark, make):
             assert out.count() == 0
 
 
+def test_the_driver_does_not_learn_the_classifier(spark):
+    import tracemalloc
+
+    texts = [prose(k, 40) for k in range(300)]
+    docs = spark.createDataFrame([(k, t, None, None) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    labels = label_rows(spark, [(k, k % 2, 0) for k in range(300)])
+    quality.fit(docs, labels)  # what Spark and the libraries keep
+    tracemalloc.start()
+    try:
+        model = quality.fit(docs, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < quality.TERMS ** 2 * 8 / 4  # the products alone took four times as much
+    assert model.vectors.shape == (300, quality.AXES) and model.labels.tolist() == [0.0] * 150 + [1.0] * 150
+    ids = [r[0] for r in docs.select("doc_id", F.xxhash64("doc_id", F.lit(17)).alias("h")).orderBy(F.col("doc_id") % 2, "h").collect()]
+    here = quality.learn([texts[i] for i in ids], np.array([i % 2 for i in ids], np.float64))
+    assert np.allclose(model.score(texts), here.score(texts), atol=1e-4) and model.prior == here.prior
+
+
 def test_each_stage_does_its_operators_work(spark, tmp_path):
     docs = read_documents(spark, SF)
 
