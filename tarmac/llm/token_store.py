@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -47,7 +48,8 @@ DICT_BYTES = 64 << 10
 SAMPLE_TEXTS = 2_000
 SAMPLE_BYTES = 8 << 20
 LEVEL = 3
-#: words whose ids a worker keeps (about 150 bytes each); the cache starts afresh beyond it
+#: parts whose ids a worker keeps (about 150 bytes each); beyond it the cache starts afresh, of pre-tokens
+#: with the full one beside it
 CACHE_WORDS = 400_000
 
 # ASCII white space: the tokenizer's pattern drops it, so no token reaches across.
@@ -60,17 +62,20 @@ PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # The same cuts for texts of printable ASCII, ASCII white space and the letters (and two signs) of
 # U+00C0 to U+00FF, where normal forms change nothing and lower case is one to one.
 PLAIN = re.compile(r"[\t\n\x0b\x0c\r -~\xc0-\xff]*")
-PLAIN_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\t\n\x0b\x0c\r a-z0-9\xdf-\xf6\xf8-\xff]+")
+# The line feed stands behind each word.
+WORD_PARTS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+|\n|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\t\n\x0b\x0c\r a-z0-9\xdf-\xf6\xf8-\xff]+")
 
 
 class Encoder:
     """Serialised ids of whole texts for a tokenizer whose pre-tokens never hold white space.
 
-    A plain text falls apart into pre-tokens, any other one at ASCII white
-    space; each distinct part is encoded once per worker by the tokenizers
+    Texts fall apart at ASCII white space, the words of plain ones further into
+    pre-tokens; each distinct part is encoded once per worker by the tokenizers
     library (its special tokens included), and the parts' ids are joined. New
     pre-tokens are encoded together, as one text with spaces between them, and
-    their ids told apart by the end-of-word mark that closes each.
+    their ids told apart by the end-of-word mark that closes each. Of plain
+    texts only the distinct words of a call are cut, and only their distinct
+    pre-tokens looked up.
     """
 
     def __init__(self, path: str):
@@ -79,7 +84,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.inner = Tokenizer.from_file(path)
         self.width = id_width(path)
-        self.tokens: dict[str, bytes] = {}
+        self.tokens: dict[str, bytes] = {"\n": b""}  # ends a word, see _plain()
+        self.older: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
@@ -107,21 +113,56 @@ class Encoder:
             told, places = ids.astype(kind).tobytes(), (ends * self.width).tolist()
             self.tokens.update(zip(some, map(lambda a, b: told[a:b], [0, *places[:-1]], places), strict=True))
 
+    def _known(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct pre-tokens; those met again move on when the cache starts afresh."""
+        if len(self.tokens) > CACHE_WORDS:
+            self.older, self.tokens = self.tokens, {"\n": b""}
+        new = [w for w in parts if w not in self.tokens]
+        again = [w for w in new if w in self.older]
+        self.tokens.update((w, self.older[w]) for w in again)
+        self._new_tokens([w for w in new if w not in self.older] if again else new)
+        return list(map(self.tokens.__getitem__, parts))
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        lists = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.string()))
+        words = pc.dictionary_encode(lists.flatten())
+        # white space at the ends gives empty words, which have no pre-token
+        listed = pc.binary_join(pa.ListArray.from_arrays([0, len(words.dictionary)], words.dictionary), "\n")[0].as_py() + "\n"
+        parts = pc.dictionary_encode(pa.array(WORD_PARTS.findall(listed), pa.string()))
+        distinct = parts.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist() takes five times as long
+        told = self._known(distinct)
+        size = np.fromiter(map(len, told), np.int64, len(told)) // self.width
+        part = parts.indices.to_numpy()
+        ids, upto = gathered(np.frombuffer(b"".join(told), f"<u{self.width}"), size, part)
+        ids, upto = gathered(ids, np.diff(upto[part == distinct.index("\n")], prepend=0), words.indices.to_numpy())
+        edges = np.r_[0, upto].take(lists.offsets.to_numpy()).tolist()
+        return [ids[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         plain = [i for i, t in enumerate(texts) if self.cuts and PLAIN.fullmatch(t) and "<|" not in t]
+        if plain:
+            for i, ids in zip(plain, self._plain([texts[i] for i in plain]), strict=True):
+                out[i] = ids
         other = sorted(set(range(len(texts))).difference(plain))
-        for rows, known, cut, learn in ((plain, self.tokens, lambda t: PLAIN_TOKENS.findall(t.lower()), self._new_tokens),
-                                        (other, self.chunks, APART.findall, self._new_chunks)):
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            parts = [cut(texts[i]) for i in rows]
-            learn([w for w in set().union(*parts) if w not in known])
-            for i, words in zip(rows, parts, strict=True):
-                out[i] = b"".join(map(known.__getitem__, words))
+        if len(self.chunks) > CACHE_WORDS:
+            self.chunks.clear()
+        parts = [APART.findall(texts[i]) for i in other]
+        self._new_chunks([w for w in set().union(*parts) if w not in self.chunks])
+        for i, words in zip(other, parts, strict=True):
+            out[i] = b"".join(map(self.chunks.__getitem__, words))
         return out
 
 
+def gathered(flat: np.ndarray, size: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat``, which have these sizes, in that order; and the end of each in what is returned."""
+    n = size.take(order)
+    upto = np.cumsum(n)
+    at = np.repeat((np.cumsum(size) - size).take(order) - (upto - n), n)
+    at += np.arange(len(at))
+    return flat.take(at), upto
+
+
 def id_width(path: str) -> int:
     """Bytes of a stored id: 2 if every id of the vocabulary fits, else 4."""
     from tokenizers import Tokenizer

@@ -55,6 +55,20 @@ def test_odd_texts_match_the_untouched_tokenizer(spark):
     assert got == dict(enumerate(expected(texts)))
 
 
+def test_parts_met_again_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(token_store, "CACHE_WORDS", 50)
+    encoder = token_store.Encoder(PATH)
+    sent: list[str] = []
+    real = encoder._new_tokens
+    monkeypatch.setattr(encoder, "_new_tokens", lambda parts: (sent.extend(parts), real(parts))[1])
+    lots = [["  it's Ünder 3½ ", "", "\n", "don't' '' 12", "aé\x0bb"], *[[prose(k, 300, 80) for k in range(3)]] * 2, ["it's new here", "日本 it's"]]
+    for texts in lots:  # the cache starts afresh on the way
+        ids = [[*np.frombuffer(b, f"<u{encoder.width}").tolist(), 1] for b in encoder.encode(texts)]
+        assert ids == expected(texts)
+    assert len(encoder.older) > 50 and len(sent) > 200
+    assert len(sent) == len(set(sent))
+
+
 def test_small_blocks_and_lookup(spark, many_parts):
     texts = [prose(i, 5 + 37 * i % 300) for i in range(300)]
     docs = spark.createDataFrame([(i * 7 % 300, texts[i * 7 % 300]) for i in range(300)], "doc_id long, text string").repartition(5)
