@@ -2,8 +2,8 @@
 
 A text is its class, its lower-cased words in their order and one end. Words are
 spelled byte by byte with a terminator (the end is the empty word), each byte by the
-bits of a Huffman code; several predictors, one per hashed context, give a bit's log
-odds from counts. Contexts run across the words of a text: the last 1 to 4 bytes,
+bits of the Huffman code that belongs to the byte before; several predictors, one per
+hashed context, give a bit's log odds from counts. Contexts run across the words of a text: the last 1 to 4 bytes,
 terminators included, the word so far, and the word so far after the previous word and
 after the previous two; some are joined with the class. Two weight vectors, chosen by how much the contexts have seen and by the place
 in the word and the bit, mix them (gated); an adaptive probability map refines
@@ -26,8 +26,9 @@ their counts in a join.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -49,6 +50,8 @@ OFFSETS = np.cumsum([0] + [1 << k[2] for k in CONTEXT_KINDS])
 GATING = (5, 6, 3, 2)
 CLASSES = 12
 CLASS_BUCKETS = 2048
+#: texts whose buckets are counted at once
+CLASS_TEXTS = 250
 CLASS_STARTS = 6
 #: rounds that all starts take, and that the best of them may take; a gain (share of the log likelihood) not worth a round
 CLASS_TRIALS, CLASS_ROUNDS = 3, 25
@@ -114,39 +117,57 @@ def _stirred(h: np.ndarray) -> np.ndarray:
         return (h ^ (h >> _U(29))) * _U(0xC4CEB9FE1A85EC53)
 
 
+@lru_cache(maxsize=4)
+def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        return tuple(np.cumprod(np.r_[_U(1), np.full(n - 1, base, np.uint64)]) for base in (_BASE, _INVERSE))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the hash's base and of its inverse."""
+    power, inverse = _power_table(1 << max(n - 1, 1).bit_length())
+    return power[:n], inverse[:n]
+
+
 def spell(words: list[bytes], classes: np.ndarray, texts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Bytes of the terminated words, their word and place, and the context hashes per kind.
+    """Bytes of the terminated words, their word and place, and the context hashes per kind; last, the byte before each (256: none).
 
     Neighbours with the same number in ``texts`` follow each other in one text;
     without it each word is a text by itself.
     """
     flat = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.uint64)
-    sizes = np.array([len(w) + 1 for w in words], np.int64)
-    begins = np.cumsum(sizes) - sizes
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
     owner = np.repeat(np.arange(len(words)), sizes)
-    place = np.arange(len(flat)) - begins[owner]
+    place = np.arange(len(flat)) - begins.take(owner)
     texts = np.arange(len(words)) if texts is None else texts
     opens = np.r_[True, texts[1:] != texts[:-1]]
-    since = np.arange(len(flat)) - begins[np.maximum.accumulate(np.where(opens, np.arange(len(words)), 0))][owner]
-    joined = (classes.astype(np.uint64)[owner] + _U(1)) * _U(0xC2B2AE3D27D4EB4F)
+    starts = begins[opens]
+    lengths = np.diff(np.r_[starts, len(flat)])
+    joined = ((classes.astype(np.uint64) + _U(1)) * _U(0xC2B2AE3D27D4EB4F)).take(owner)
     with np.errstate(over="ignore"):
         history, rows = np.zeros(len(flat), np.uint64), {}
         for back in range(1, 5):  # the last 1, 2, .. bytes; 256 stands for "before the text"
-            shifted = np.r_[np.zeros(min(back, len(flat)), np.uint64), flat[:-back]][:len(flat)]
-            history = (history << _U(9)) | np.where(since >= back, shifted, _U(256))
+            shifted = np.zeros(len(flat), np.uint64)
+            shifted[back:] = flat[:-back]
+            for k in range(back):
+                shifted[starts[lengths > k] + k] = 256
+            history = (history << _U(9)) | shifted
             rows[back] = history * _U(_BASE) + _U(back)
-        power = np.cumprod(np.r_[_U(1), np.full(len(flat), _BASE, np.uint64)])[:-1]
-        inverse = np.cumprod(np.r_[_U(1), np.full(len(flat), _INVERSE, np.uint64)])[:-1]
-        total = np.r_[_U(0), np.cumsum((flat + _U(1)) * power)]
-        prefix = (total[np.arange(len(flat))] - total[begins[owner]]) * inverse[begins[owner]]
+        power, inverse = _powers(len(flat))
+        total = np.zeros(len(flat) + 1, np.uint64)
+        np.cumsum((flat + _U(1)) * power, out=total[1:])
+        upto, back_to_one = total.take(begins), inverse.take(begins)
+        prefix = (total[:-1] - upto.take(owner)) * back_to_one.take(owner)
         rows["word"] = (prefix ^ (prefix >> _U(31))) * _U(0xBF58476D1CE4E5B9) + _U(99)
-        whole = _stirred((total[begins + sizes] - total[begins]) * inverse[begins])
+        whole = _stirred((total.take(ends) - upto) * back_to_one)
         one = np.where(opens, _U(1), np.r_[_U(0), whole[:-1]])
         two = np.where(opens, _U(1), np.r_[_U(0), one[:-1]])
-        rows["after one"] = rows["word"] ^ _stirred(one * _U(_BASE) + _U(7))[owner]
-        rows["after two"] = rows["word"] ^ _stirred(_stirred(one * _U(_BASE) + _U(11)) + two * _U(0xD6E8FEB86659FD93))[owner]
+        rows["after one"] = rows["word"] ^ _stirred(one * _U(_BASE) + _U(7)).take(owner)
+        rows["after two"] = rows["word"] ^ _stirred(_stirred(one * _U(_BASE) + _U(11)) + two * _U(0xD6E8FEB86659FD93)).take(owner)
     kinds = [rows[back] ^ joined if by_class else rows[back] for back, by_class, _ in CONTEXT_KINDS]
-    return flat, owner, place, [_stirred(h) for h in kinds]
+    return flat, owner, place, [*[_stirred(h) for h in kinds], history >> _U(27)]
 
 
 def spelled(words: list[bytes], classes: np.ndarray, texts: np.ndarray | None, step: int) -> Iterator[tuple]:
@@ -159,6 +180,15 @@ def spelled(words: list[bytes], classes: np.ndarray, texts: np.ndarray | None, s
         yield at, len(words[at:at + step]), (flat[own:], owner[own:] - lead, place[own:], [c[own:] for c in contexts])
 
 
+def rounds(words: list[bytes], classes: np.ndarray, texts: np.ndarray | None) -> Iterator[tuple]:
+    """What spelled() gives, spelled in chunks and handed out ROUND_WORDS words at a time."""
+    for at, n, (flat, owner, place, contexts) in spelled(words, classes, texts, CHUNK_WORDS):
+        edges = np.searchsorted(owner, np.arange(0, n + ROUND_WORDS, ROUND_WORDS))
+        for k, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
+            first = k * ROUND_WORDS
+            yield at + first, min(ROUND_WORDS, n - first), (flat[a:b], owner[a:b] - first, place[a:b], [c[a:b] for c in contexts])
+
+
 def slots(contexts: list[np.ndarray], node: np.ndarray) -> list[np.ndarray]:
     """Table slots per context for the binary node of each byte."""
     out = []
@@ -171,55 +201,90 @@ def slots(contexts: list[np.ndarray], node: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _paths(counts: np.ndarray) -> tuple[list[int], np.ndarray]:
+    """The lengths of the symbols' paths in the Huffman tree of the counts, and all their (node, bit) decisions."""
+    heap = [(float(c), i, i) for i, c in enumerate(counts)]
+    heapq.heapify(heap)
+    parent: dict[int, tuple[int, int]] = {}
+    for node in range(256, 511):
+        for bit in (0, 1):
+            weight, _, child = heapq.heappop(heap)
+            parent[child] = (node, bit)
+            total = weight if bit == 0 else total + weight
+        heapq.heappush(heap, (total, node, node))
+    paths = []
+    for symbol in range(256):
+        path, at = [], symbol
+        while at in parent:
+            at, bit = parent[at]
+            path.append((at, bit))
+        paths.append(path[::-1])
+    return [len(p) for p in paths], np.array([step for p in paths for step in p], np.uint16)
+
+
 class Code:
-    """A Huffman code of the 256 bytes: the binary decisions (node, bit) that spell each byte."""
+    """A Huffman code of the 256 bytes: the binary decisions (node, bit) that spell each byte.
+
+    With a row of counts per byte before, each has a code of its own (the start of a
+    text counts as a terminator): every context holds the byte before, so nodes of
+    different codes never meet in one.
+    """
 
     def __init__(self, byte_counts: np.ndarray):
-        heap = [(float(c), i, i) for i, c in enumerate(byte_counts + 1e-3)]
-        heapq.heapify(heap)
-        parent: dict[int, tuple[int, int]] = {}
-        for node in range(256, 511):
-            for bit in (0, 1):
-                weight, _, child = heapq.heappop(heap)
-                parent[child] = (node, bit)
-                total = weight if bit == 0 else total + weight
-            heapq.heappush(heap, (total, node, node))
-        paths = []
-        for symbol in range(256):
-            path, at = [], symbol
-            while at in parent:
-                at, bit = parent[at]
-                path.append((at, bit))
-            paths.append(path[::-1])
-        self.length = np.array([len(p) for p in paths])
-        self.node, self.bit = (np.zeros((self.length.max(), 256), np.uint64) for _ in range(2))
-        for symbol, path in enumerate(paths):
-            for k, (node, bit) in enumerate(path):
-                self.node[k, symbol], self.bit[k, symbol] = node, bit
+        self.many = byte_counts.ndim == 2
+        if self.many:
+            overall = byte_counts.sum(axis=0)
+            codes = [_paths(counts + overall / max(overall.sum(), 1) + 1e-3) for counts in byte_counts]
+        else:
+            codes = [_paths(byte_counts + 1e-3)]
+        self.length = np.concatenate([lengths for lengths, _ in codes])
+        self.first = np.cumsum(self.length) - self.length
+        steps = np.concatenate([s for _, s in codes])
+        self.node, self.bit = steps[:, 0].copy(), steps[:, 1].astype(np.uint8)
+
+    def symbols(self, flat: np.ndarray, contexts: list[np.ndarray]) -> np.ndarray:
+        """The number of each byte in the codes' tables."""
+        symbol = flat.astype(np.int64)
+        if self.many:
+            before = contexts[-1].astype(np.int64)
+            symbol += np.where(before < 256, before, 32) * 256
+        return symbol
 
     def decisions(self, flat: np.ndarray, contexts: list[np.ndarray]) -> Iterator[tuple]:
         """(step, bytes still being spelled, node, bit, their context hashes), step by step."""
-        symbol = flat.astype(np.int64)
-        at = np.arange(len(flat))
-        for k in range(len(self.node)):
-            on = np.flatnonzero(self.length.take(symbol) > k)
+        symbol = self.symbols(flat, contexts)
+        length, first = self.length.take(symbol), self.first.take(symbol)
+        at, contexts = np.arange(len(flat)), contexts[:CONTEXTS]
+        for k in range(length.max(initial=0)):
+            on = np.flatnonzero(length > k)
             if len(on) < len(at):
-                at, symbol, contexts = at.take(on), symbol.take(on), [c.take(on) for c in contexts]
-            if not len(at):
-                return
-            yield k, at, self.node[k].take(symbol), self.bit[k].take(symbol), contexts
+                at, length, first, contexts = at.take(on), length.take(on), first.take(on), [c.take(on) for c in contexts]
+            yield k, at, self.node.take(first + k).astype(np.uint64), self.bit.take(first + k), contexts
+
+    def every(self, flat: np.ndarray, contexts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(step, byte, node, bit) of all decisions at once, byte by byte."""
+        symbol = self.symbols(flat, contexts)
+        length = self.length.take(symbol)
+        begins = np.cumsum(length) - length
+        at = np.repeat(np.arange(len(flat)), length)
+        step = np.arange(len(at)) - begins.take(at)
+        path = self.first.take(symbol).take(at) + step
+        return step, at, self.node.take(path).astype(np.uint64), self.bit.take(path)
 
 
 def add_counts(table: np.ndarray, code: Code, words: list[bytes], classes: np.ndarray, times: np.ndarray,
                texts: np.ndarray | None = None) -> None:
     """Add the words' bits, weighted, to the (2, slots) count table."""
+    counts = table.reshape(-1)
     for at, n, (flat, owner, _, contexts) in spelled(words, classes, texts, CHUNK_WORDS):
-        weight = times[at:at + n][owner].astype(table.dtype)
+        own = times[at:at + n].astype(table.dtype)
+        alike = bool((own == own[0]).all())
+        weight = own[0] if alike else own[owner]
         for _, still, node, bit, rows in code.decisions(flat, contexts):
-            side, w = bit.astype(bool), weight.take(still)
+            side, w = bit * np.int64(table.shape[1]), weight if alike else weight.take(still)
             for where in slots(rows, node):
-                np.add.at(table[0], where[~side], w[~side])
-                np.add.at(table[1], where[side], w[side])
+                where += side
+                np.add.at(counts, where, w)
 
 
 def stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -245,6 +310,16 @@ def packed(table: np.ndarray) -> np.ndarray:
     return odds * np.int16(4) + experience(table[0] + table[1]).astype(np.int16)
 
 
+def left_out(table: np.ndarray) -> np.ndarray:
+    """packed() with one occurrence of the bit taken away, per bit and slot: what a word's neighbours say of it."""
+    out = np.empty(table.shape, np.int16)
+    for at in range(0, table.shape[1], 1 << 18):  # never a second table in floats
+        part = table[:, at:at + (1 << 18)]
+        for bit in (0, 1):
+            out[bit, at:at + (1 << 18)] = packed(np.stack([np.maximum(c - (side == bit), 0) for side, c in enumerate(part)]))
+    return out
+
+
 @dataclass
 class Model:
     code: Code
@@ -253,11 +328,11 @@ class Model:
     by_place: np.ndarray = field(default_factory=lambda: _mean_weights(PLACE_GATES))
     refined: np.ndarray = field(default_factory=lambda: np.tile(np.linspace(-12, 12, MAP_STEPS + 1, dtype=np.float32), 4 * PLACE_GATES))
 
-    def _gates(self, seen: list[np.ndarray], place: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _gates(self, seen: list[np.ndarray], place: np.ndarray, k: int | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         first = np.zeros(len(place), np.int32)
         for i in GATING:
             first = first * 4 + seen[i]
-        spot = np.minimum(place, 7) * 8 + min(k, 7)
+        spot = np.minimum(place, 7) * 8 + np.minimum(k, 7)
         return first, spot, seen[GATING[0]].astype(np.int64) * PLACE_GATES + spot
 
     def _mix(self, inputs: np.ndarray, first: np.ndarray, spot: np.ndarray) -> np.ndarray:
@@ -273,44 +348,48 @@ class Model:
     def log10_words(self, words: list[bytes], classes: np.ndarray, texts: np.ndarray | None = None) -> np.ndarray:
         """log10 probability of each word (terminator included) after the words before it in its text."""
         out = np.zeros(len(words))
-        for at, n, (flat, owner, place, contexts) in spelled(words, classes, texts, CHUNK_WORDS):
-            log = np.zeros(len(flat))
-            for k, still, node, bit, rows in self.code.decisions(flat, contexts):
-                inputs, seen = np.empty((len(still), CONTEXTS), np.float32), []
-                for i, where in enumerate(slots(rows, node)):
-                    value = self.slots.take(where)
-                    seen.append(value & 3)
-                    inputs[:, i] = value >> 2
-                first, spot, cell = self._gates(seen, place.take(still), k)
-                x = self._mix(inputs, first, spot) * np.float32(1.0 / ODDS_STEPS)
-                np.clip(x, -11.99, 11.99, out=x)
-                x += self._refine(x, cell)[0]
-                x *= np.where(bit == 1, np.float32(-0.5), np.float32(0.5))
-                log[still] -= np.log1p(np.exp(x))
-            out[at:at + n] = np.bincount(owner, weights=log, minlength=n)
+        for at, n, (flat, owner, place, contexts) in rounds(words, classes, texts):
+            k, still, node, bit = self.code.every(flat, contexts)
+            inputs, first, spot, cell = self._inputs(self.slots, None, k, still, node, place, contexts)
+            x = self._mix(inputs, first, spot) * np.float32(1.0 / ODDS_STEPS)
+            np.clip(x, -11.99, 11.99, out=x)
+            x += self._refine(x, cell)[0]
+            x *= np.float32(0.5) - bit
+            out[at:at + n] = np.bincount(owner.take(still), weights=-np.log1p(np.exp(x)), minlength=n)
         return out / np.log(10.0)
 
-    def learn(self, table: np.ndarray, words: list[bytes], classes: np.ndarray, texts: np.ndarray | None = None) -> None:
-        """One online pass over the words: each bit is predicted before weights and map learn from it."""
-        for _, _, (flat, _, place, contexts) in spelled(words, classes, texts, ROUND_WORDS):
-            for k, still, node, bit, rows in self.code.decisions(flat, contexts):
-                y = bit.astype(np.float64)
-                where = slots(rows, node)
-                # the word's own occurrence is left out of the counts
-                zeros = [np.maximum(table[0][s] - (1 - y), 0) for s in where]
-                ones = [np.maximum(table[1][s] - y, 0) for s in where]
-                first, spot, cell = self._gates([experience(a + b) for a, b in zip(zeros, ones, strict=True)], place[still], k)
-                inputs = np.stack([stretch(a, b) for a, b in zip(zeros, ones, strict=True)], axis=1)
-                x = np.clip(self._mix(inputs, first, spot), -11.99, 11.99)
-                error = y - 1 / (1 + np.exp(-x))
-                for weights, gate in ((self.by_seen, first), (self.by_place, spot)):
-                    step = np.zeros(weights.shape)
-                    np.add.at(step, gate, error[:, None] * inputs)
-                    weights += (LEARN_RATE * step / np.sqrt(np.maximum(np.bincount(gate, minlength=len(weights)), 1.0))[:, None]).astype(np.float32)
-                fine, at_cell = self._refine(x, cell)
-                off = y - 1 / (1 + np.exp(-fine))
-                move, hits = (np.bincount(at_cell, weights=v, minlength=len(self.refined)) for v in (off, None))
-                self.refined = np.clip(self.refined + 0.5 * move / (np.sqrt(hits) + 1.0), -16, 16).astype(np.float32)
+    def _inputs(self, odds: np.ndarray, side: np.ndarray | None, k: np.ndarray, still: np.ndarray, node: np.ndarray, place: np.ndarray,
+                contexts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The contexts' packed odds per decision, and its gates and map cell; ``side`` moves the slots to a part of ``odds``."""
+        inputs, seen = np.empty((len(still), CONTEXTS), np.float32), []
+        for i, where in enumerate(slots([c.take(still) for c in contexts[:CONTEXTS]], node)):
+            if side is not None:
+                where += side
+            value = odds.take(where)
+            seen.append(value & 3)
+            inputs[:, i] = value >> 2
+        return inputs, *self._gates(seen, place.take(still), k)
+
+    def learn(self, odds: np.ndarray, words: list[bytes], classes: np.ndarray, texts: np.ndarray | None = None) -> None:
+        """One online pass over the words, in rounds: each bit is predicted before weights and map learn from it.
+
+        ``odds``: see left_out(); the word's own occurrence is left out of the counts.
+        """
+        size, flat_odds = odds.shape[1], odds.reshape(-1)
+        for _, _, (flat, _, place, contexts) in rounds(words, classes, texts):
+            k, still, node, bit = self.code.every(flat, contexts)
+            inputs, first, spot, cell = self._inputs(flat_odds, bit * np.int64(size), k, still, node, place, contexts)
+            x = np.clip(self._mix(inputs, first, spot) * np.float32(1.0 / ODDS_STEPS), -11.99, 11.99)
+            error = bit - 1 / (1 + np.exp(-x))
+            error *= np.float32(1.0 / ODDS_STEPS)
+            steps = [error * column for column in inputs.T]
+            for weights, gate in ((self.by_seen, first), (self.by_place, spot)):
+                step = np.stack([np.bincount(gate, weights=s, minlength=len(weights)) for s in steps], axis=1)
+                weights += (LEARN_RATE * step / np.sqrt(np.maximum(np.bincount(gate, minlength=len(weights)), 1.0))[:, None]).astype(np.float32)
+            fine, at_cell = self._refine(x, cell)
+            off = bit - 1 / (1 + np.exp(-fine))
+            move, met = (np.bincount(at_cell, weights=v, minlength=len(self.refined)) for v in (off, None))
+            self.refined = np.clip(self.refined + 0.5 * move / (np.sqrt(met) + 1.0), -16, 16).astype(np.float32)
 
 
 @dataclass
@@ -322,9 +401,15 @@ class Classes:
 
     def of(self, bags: Bags) -> np.ndarray:
         """The class of each text; texts without a word take the most frequent one."""
-        spot = buckets(bags.words)
-        log = np.stack([share + bags.sums(words[spot]) for share, words in zip(self.log_share, self.log_words, strict=True)])
-        return log.argmax(axis=0)
+        spot = buckets(bags.words)[bags.ids]
+        edges = np.searchsorted(bags.owner, np.arange(0, bags.texts + CLASS_TEXTS, CLASS_TEXTS))
+        out = np.zeros(bags.texts, np.int64)
+        for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            texts = min(CLASS_TEXTS, bags.texts - k * CLASS_TEXTS)
+            key = (bags.owner[a:b] - k * CLASS_TEXTS) * CLASS_BUCKETS + spot[a:b]
+            found = np.bincount(key, minlength=texts * CLASS_BUCKETS).reshape(texts, CLASS_BUCKETS)
+            out[k * CLASS_TEXTS:][:texts] = (found @ self.log_words.T + self.log_share).argmax(axis=1)
+        return out
 
 
 def buckets(words: list[bytes]) -> np.ndarray:
@@ -506,9 +591,9 @@ def context_counts(texts: DataFrame, tokens: int, code: Code, classes: Classes)
     return flat.reshape(2, size)
 
 
-def fit_weights(texts: DataFrame, model: Model, table: np.ndarray, classes: Classes) -> None:
+def fit_weights(texts: DataFrame, model: Model, odds: np.ndarray, classes: Classes) -> None:
     """Mixing weights and map from every training text: learnt by each task, averaged by tokens."""
-    shared = texts.sparkSession.sparkContext.broadcast((model.code, table, classes))
+    shared = texts.sparkSession.sparkContext.broadcast((model.code, odds, classes))
     parts = ("by_seen", "by_place", "refined")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -522,7 +607,7 @@ def fit_weights(texts: DataFrame, model: Model, table: np.ndarray, classes: Clas
 
     total, sums = 0, {p: np.zeros(getattr(model, p).shape) for p in parts}
     found = texts.select(text_or_empty().alias("text")).mapInArrow(learn, "n long, by_seen binary, by_place binary, refined binary")
-    for row in found.toLocalIterator():
+    for row in materialise(found, "weights").toLocalIterator():  # all tasks at once; the driver takes one result after the other
         total += row["n"]
         for p in parts:
             sums[p] += row["n"] * np.frombuffer(row[p], np.float32).reshape(sums[p].shape)
@@ -541,6 +626,14 @@ class Trained:
     kinds: int       # V
 
 
+def pair_counts(tokens: Iterable[bytes], times: np.ndarray) -> np.ndarray:
+    """(byte before, byte) counts of the terminated tokens, each after a terminator."""
+    words = [bytes(t) + b" " for t in tokens]
+    flat = np.frombuffer(b" " + b"".join(words), np.uint8).astype(np.int64)
+    weight = np.repeat(times, [len(w) for w in words])
+    return np.bincount(flat[:-1] * 256 + flat[1:], weights=weight, minlength=1 << 16).reshape(256, 256)
+
+
 def train(texts: DataFrame) -> tuple[Trained, DataFrame]:
     """Learn from every row of ``texts``; also the table of all token counts, in the shared folder."""
     classes = fit_classes(texts)
@@ -548,13 +641,12 @@ def train(texts: DataFrame) -> tuple[Trained, DataFrame]:
     counts, seen = materialise(by_class.groupBy("token").agg(F.sum("c").alias("c")), "tokens", {"kinds": F.count(F.lit(1)), "words": F.sum("c")})
     tokens, kinds = int(seen["words"] or 0), int(seen["kinds"])
     top = counts.orderBy(F.desc("c"), "token").limit(FREQUENT).toPandas()  # a table of fixed size
-    bytes_seen = np.zeros(256)
-    for token, c in zip(top["token"], top["c"], strict=True):
-        np.add.at(bytes_seen, np.frombuffer(bytes(token) + b" ", np.uint8), c)
-    code = Code(bytes_seen)
+    code = Code(pair_counts(top["token"], top["c"].to_numpy(np.float64)))
     table = context_counts(texts, tokens, code, classes)
     model = Model(code, packed(table))
-    fit_weights(texts, model, table, classes)
+    odds = left_out(table)
+    del table
+    fit_weights(texts, model, odds, classes)
     return Trained(model, classes, {bytes(t): int(c) for t, c in zip(top["token"], top["c"], strict=True)}, tokens, kinds), counts
 
 

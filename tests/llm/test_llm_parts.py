@@ -305,6 +305,63 @@ def test_lm_tasks_send_blocks_of_counts(spark, monkeypatch):
     assert (lm.context_counts(frame, 2700, code, classes) == want).all() and want.sum() > 10_000
 
 
+def test_lm_weights_are_learnt_by_all_tasks_at_once(spark):
+    """The tasks that learn weights run in one job, not one job after the other."""
+    texts = [prose(i, 40) for i in range(60)]
+    classes, code = lm.Classes(np.zeros(1), np.zeros((1, lm.CLASS_BUCKETS))), lm.Code(np.ones(256))
+    table = np.zeros((2, int(lm.OFFSETS[-1])), np.float32)
+    for words, own, owner in lm.sequences(iter([pa.record_batch([pa.array(texts)], names=["text"])]), classes):
+        lm.add_counts(table, code, words, own, np.ones(len(words)), owner)
+    context = spark.sparkContext
+    frame = spark.createDataFrame(context.parallelize([(t,) for t in texts], 5), "text string")
+    model = lm.Model(code, lm.packed(table))
+    context.setJobGroup("lm weights", "")
+    try:
+        lm.fit_weights(frame, model, lm.left_out(table), classes)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("lm weights")]
+    stages = [tracker.getStageInfo(s) for j in jobs for s in j.stageIds]
+    assert max(s.numTasks for s in stages if s) == 5 and not np.array_equal(model.by_seen, lm.Model(code, model.slots).by_seen)
+
+
+def test_lm_code_follows_the_byte_before():
+    """Each byte before has a complete code of its own; what is scored, bit by bit, is what a plain loop over the tables gives."""
+    text = [b"the", b"then", b"hat", b"qu\xc3\xa9", b"the", b""]
+    pairs = lm.pair_counts(text, np.array([9.0, 2, 3, 1, 0, 1]))
+    assert pairs.sum() == 9 * 4 + 2 * 5 + 3 * 4 + 5 + 1 and pairs[32, ord("t")] == 11 and pairs[ord("t"), 32] == 3 and pairs[32, 32] == 1
+    code = lm.Code(pairs)
+    assert np.allclose((2.0 ** -code.length.reshape(256, 256)).sum(axis=1), 1)
+    assert code.length[ord("t") * 256 + ord("h")] == 1 < lm.Code(pairs.sum(axis=0)).length[ord("h")]
+    kinds, texts = np.array([0, 0, 0, 1, 1, 1]), np.array([0, 0, 0, 1, 1, 1])
+    table = np.zeros((2, int(lm.OFFSETS[-1])), np.float32)
+    lm.add_counts(table, code, text, kinds, np.ones(6), texts)
+    flat, owner, place, contexts = lm.spell(text, kinds, texts)
+    plain, logs = {}, np.zeros(6)
+    steps = [[(k, int(n), int(b), rows) for k, _, (n,), (b,), rows in code.decisions(flat[i:i + 1], [c[i:i + 1] for c in contexts])] for i in range(len(flat))]
+    for step in steps:
+        for _, node, bit, rows in step:
+            for where in lm.slots(rows, np.array([node], np.uint64)):
+                plain[bit, int(where[0])] = plain.get((bit, int(where[0])), 0) + 1
+    assert {(b, int(s)): int(table[b, s]) for b, s in zip(*np.nonzero(table), strict=True)} == plain
+    model = lm.Model(code, lm.packed(table))
+    for i, step in enumerate(steps):
+        for k, node, bit, rows in step:
+            values = [model.slots.take(s) for s in lm.slots(rows, np.array([node], np.uint64))]
+            first, spot, cell = model._gates([v & 3 for v in values], place[i:i + 1], k)
+            x = np.clip(model._mix(np.stack([v >> 2 for v in values], axis=1).astype(np.float32), first, spot) / lm.ODDS_STEPS, -11.99, 11.99)
+            x = 0.5 * (x + model._refine(x, cell)[0])
+            logs[owner[i]] -= np.log10(1 + np.exp(-x if bit else x))[0]
+    assert np.allclose(model.log10_words(text, kinds, texts), logs, atol=1e-5)
+    # one occurrence less, whichever bit
+    odds = lm.left_out(table)
+    for bit in (0, 1):
+        less = table.copy()
+        less[bit] = np.maximum(less[bit] - 1, 0)
+        assert (odds[bit] == lm.packed(less)).all()
+
+
 def test_pieces_are_made_from_few_texts_at_once(spark):
     """Ids of a whole batch are never held together; the pieces are the same."""
     docs = spark.createDataFrame([(i, prose(i, 30)) for i in range(1_700)], "doc_id long, text string").coalesce(1)
