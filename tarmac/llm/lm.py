@@ -28,7 +28,6 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -60,6 +59,8 @@ CLASS_GAIN = 1e-5
 FREQUENT = 1 << 17
 ROUND_WORDS = 500
 CHUNK_WORDS = 4_000
+#: powers of the hash's base that are kept
+MOST_POWERS = 1 << 16
 #: words before a chunk that its first contexts can reach
 LEAD = 4
 SEEN_GATES, PLACE_GATES = 256, 64
@@ -117,16 +118,19 @@ def _stirred(h: np.ndarray) -> np.ndarray:
         return (h ^ (h >> _U(29))) * _U(0xC4CEB9FE1A85EC53)
 
 
-@lru_cache(maxsize=4)
-def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        return tuple(np.cumprod(np.r_[_U(1), np.full(n - 1, base, np.uint64)]) for base in (_BASE, _INVERSE))
+_KEPT: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the hash's base and of its inverse."""
-    power, inverse = _power_table(1 << max(n - 1, 1).bit_length())
-    return power[:n], inverse[:n]
+    size = max(n, MOST_POWERS)
+    found = _KEPT.get(size)
+    if found is None:
+        with np.errstate(over="ignore"):
+            found = tuple(np.cumprod(np.r_[_U(1), np.full(size - 1, base, np.uint64)]) for base in (_BASE, _INVERSE))
+        if size == MOST_POWERS:  # a very long word's are not kept
+            _KEPT[size] = found
+    return found[0][:n], found[1][:n]
 
 
 def spell(words: list[bytes], classes: np.ndarray, texts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
